@@ -16,8 +16,8 @@ FOLD_SEPARATOR = ", "
 
 
 def month_of(day: Column) -> Column:
-    """``yyyy-MM`` of a date; NULL stays NULL."""
-    return F.date_format(day, "yyyy-MM")
+    """``yyyy-MM`` of a date; NULL stays NULL. Cheaper per row than a format pattern."""
+    return F.substring(day.cast("string"), 1, 7)
 
 
 def full_name(first: Column, last: Column) -> Column:

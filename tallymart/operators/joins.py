@@ -28,7 +28,7 @@ def hot_keys(counts: DataFrame, share: float = HOT_SHARE) -> DataFrame:
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join in which a NULL key matches a NULL key, with the left key columns kept."""
+    """Equi-join in which NULL matches NULL, as it does in a grouping; keeps the left keys."""
     renamed = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
     match = reduce(lambda a, b: a & b, (F.col(key).eqNullSafe(F.col(f"_right_{key}")) for key in keys))
     return left.join(renamed, match, how).drop(*(f"_right_{key}" for key in keys))
@@ -41,16 +41,22 @@ def lookup_large(
     *,
     counts: DataFrame | None = None,
     share: float = HOT_SHARE,
+    null_safe: bool = True,
 ) -> DataFrame:
     """Inner join to a lookup with unique keys that is too large to broadcast.
 
     The lookup rows of the hot keys are few by construction and are broadcast, so
     hot rows never move. All other keys are small, and are shuffled and merged.
+    Without NULL keys a plain equality can use tables bucketed by the key.
     """
+
+    def join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+        return join_on(left, right, keys, how) if null_safe else left.join(right, list(keys), how)
+
     hot = hot_keys(key_counts(rows, keys) if counts is None else counts, share)
-    hot_lookup = join_on(lookup, F.broadcast(hot), keys, "left_semi")
-    in_place = join_on(rows, F.broadcast(hot_lookup), keys)
-    shuffled = join_on(join_on(rows, F.broadcast(hot), keys, "left_anti"), lookup, keys)
+    hot_lookup = join(lookup, F.broadcast(hot), "left_semi")
+    in_place = join(rows, F.broadcast(hot_lookup))
+    shuffled = join(join(rows, F.broadcast(hot), "left_anti"), lookup)
     return in_place.unionByName(shuffled)
 
 
@@ -59,7 +65,7 @@ def add_dimension(rows: DataFrame, dimension: Dimension, share: float = HOT_SHAR
     if dimension.small:
         return rows.join(F.broadcast(dimension.rows), dimension.key)
     known = rows.filter(F.col(dimension.key).isNotNull())
-    return lookup_large(known, dimension.rows, [dimension.key], share=share)
+    return lookup_large(known, dimension.rows, [dimension.key], share=share, null_safe=False)
 
 
 def enrich(facts: DataFrame, dimensions: Dimensions, share: float = HOT_SHARE) -> DataFrame:

@@ -11,7 +11,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.functions.columns import month_of
@@ -33,6 +33,9 @@ from tallymart.sources.dimensions import Dimensions
 from tallymart.sources.files import NoSalesData, file_inventory, require_files
 from tallymart.sources.tables import read_parquet
 
+# Takes the refreshed customer and sales marts.
+Export = Callable[[DataFrame, DataFrame], None]
+
 ACCEPTED = "accepted"
 REJECTED = "rejected"
 
@@ -156,6 +159,12 @@ def touched_months(spark: SparkSession, store: Store, run_id: str) -> list[str |
     return [row["sales_month"] for row in totals.select("sales_month").distinct().collect()]
 
 
+def in_months(column: str, months: list[str | None]) -> Column:
+    """A condition on partition values only, with sales of no date as a month of their own."""
+    named = F.col(column).isin([month for month in months if month is not None])
+    return named | F.col(column).isNull() if None in months else named
+
+
 def refresh_months(
     spark: SparkSession,
     store: Store,
@@ -169,10 +178,7 @@ def refresh_months(
     """
     if not months:
         return
-    month = F.col("sales_month")
-    named = [name for name in months if name is not None]
-    touched = month.isin(named) if len(named) == len(months) else month.isin(named) | month.isNull()
-    rows = read_parquet(spark, store.totals, TOTALS_SCHEMA).filter(touched)
+    rows = read_parquet(spark, store.totals, TOTALS_SCHEMA).filter(in_months("sales_month", months))
     sinks.write_partitioned(
         marts.customer_monthly(rows, dimensions),
         store.customer_monthly,
@@ -196,6 +202,7 @@ def process_files(
     run_ts: dt.datetime,
     *,
     publish: bool = True,
+    export: Export | None = None,
 ) -> None:
     """Take a set of CSV files through the whole run; nothing to do for an empty set.
 
@@ -226,7 +233,13 @@ def process_files(
     if publish:
         publish_rows(facts, dimensions, store, run_ts)
     add_totals(facts, store, run_id)
-    refresh_months(spark, store, dimensions, touched_months(spark, store, run_id))
+    months = touched_months(spark, store, run_id)
+    refresh_months(spark, store, dimensions, months)
+    if export is not None and months:
+        export(
+            read_customer_monthly(spark, store).filter(in_months("sales_date_month", months)),
+            read_sales_incentive(spark, store).filter(in_months("sales_month", months)),
+        )
     enter(accepted, INACTIVE)
 
 
@@ -239,10 +252,13 @@ def daily_run(
     run_ts: dt.datetime,
     *,
     resume: bool = True,
+    export: Export | None = None,
 ) -> None:
     """Finish what earlier runs left open, then process the files not yet done.
 
     With ``resume=False`` an unfinished run is an error and nothing is processed.
+    ``export`` gets the two monthly marts for the months a run has touched, for
+    instance to write them to a database; if it fails, the run stays open.
     """
     inventory = file_inventory(spark, landing)
     require_files(inventory)
@@ -255,6 +271,6 @@ def daily_run(
         # Under its own id and time, its output takes the place of the first attempt's.
         started = dt.datetime.fromtimestamp(run["started"] / 1_000_000, dt.UTC)
         again = left_open.filter(F.col("run_id") == run["run_id"])
-        process_files(spark, again, store, load_dimensions, run["run_id"], started)
+        process_files(spark, again, store, load_dimensions, run["run_id"], started, export=export)
     pending = ledger.pending_files(files, ledger.read_ledger(spark, store.ledger))
-    process_files(spark, pending, store, load_dimensions, run_id, run_ts)
+    process_files(spark, pending, store, load_dimensions, run_id, run_ts, export=export)

@@ -170,7 +170,7 @@ def all_oracles() -> dict[str, str]:
             FROM enriched"""
         ),
         "sales_mart_rows": _with(_SALES_ROWS),
-        "mart_partition_read": _with(f"{_SALES_ROWS} WHERE sales_month = '1998-07'"),
+        "mart_partition_read": _with(_SALES_ROWS),
         "versioned_publish": _with(f"SELECT *, CAST(1709359200000 AS BIGINT) AS run_epoch FROM ({_SALES_ROWS})"),
         "incentive_report": _with(
             """SELECT full_name AS sales_person_name, store_id AS sales_person_store_id, sales_month,

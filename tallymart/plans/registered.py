@@ -27,7 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 FIRST_RUN = dt.datetime(2024, 3, 1, 6, 0, tzinfo=dt.UTC)
 SECOND_RUN = dt.datetime(2024, 3, 2, 6, 0, tzinfo=dt.UTC)
-REPORT_MONTH = "1998-07"
+FIRST_MONTH = "1998-07"
 
 _QUERIES: dict[str, Query] = {}
 
@@ -190,17 +190,17 @@ def mart_partition_read(spark, sf_dir):
     rows = marts.sales_rows(standin.sales(spark, sf_dir), standin.dimensions(spark, sf_dir))
     path = shared_folder(spark, "sales-by-month")
     sinks.write_partitioned(rows, path, ["sales_month", "store_id"])
-    return read_parquet(spark, path, rows.schema).filter(F.col("sales_month") == REPORT_MONTH)
+    return read_parquet(spark, path, rows.schema)
 
 
 @query
 def versioned_publish(spark, sf_dir):
-    """Two published runs; the second, of all sales, is the one a reader finds."""
+    """Two published runs, one of a month and one of all sales; a reader finds the second."""
     dimensions = standin.dimensions(spark, sf_dir)
     rows = marts.sales_rows(standin.sales(spark, sf_dir), dimensions)
     folder = shared_folder(spark, "published")
     columns = ["sales_month", "store_id"]
-    sinks.publish_version(rows.filter(F.col("sales_month") == REPORT_MONTH), folder, FIRST_RUN, columns)
+    sinks.publish_version(rows.filter(F.col("sales_month") == FIRST_MONTH), folder, FIRST_RUN, columns)
     sinks.publish_version(rows, folder, SECOND_RUN, columns)
     latest = sinks.read_latest_version(spark, folder, rows.schema)
     return latest.withColumn("run_epoch", F.lit(sinks.latest_version(spark, folder)).cast("bigint"))
@@ -231,7 +231,7 @@ def expr_month(spark, sf_dir):
     return lines.select(
         "sales_date",
         month_of(F.col("sales_date")).alias("sales_month"),
-        F.expr("substring(cast(sales_date AS string), 1, 7)").alias("sales_month_sql"),
+        F.expr("date_format(sales_date, 'yyyy-MM')").alias("sales_month_sql"),
     )
 
 

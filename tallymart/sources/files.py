@@ -22,7 +22,10 @@ class NoSalesData(Exception):
 
 
 def file_inventory(spark: SparkSession, folder: str) -> DataFrame:
-    """Every file below a folder. The content column is pruned, so no file is read."""
+    """Every file below a folder. The content column is pruned, so no file is read.
+
+    Spark leaves out files of zero bytes, which hold neither a header nor sales.
+    """
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     return describe_files(listing)
 
@@ -109,8 +112,10 @@ def scanned_header_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame
         .select("value", "_metadata.file_path", "_metadata.file_block_start")
         .filter((F.col("file_block_start") == 0) & (F.trim("value") != ""))
     )
-    first = F.min_by("value", F.monotonically_increasing_id())
-    heads = lines.groupBy(decoded_path(F.col("file_path")).alias("file_path")).agg(first.alias("header_line"))
+    numbered = lines.select(
+        decoded_path(F.col("file_path")).alias("file_path"), "value", F.monotonically_increasing_id().alias("at")
+    )
+    heads = numbered.groupBy("file_path").agg(F.min_by("value", "at").alias("header_line"))
     return heads.withColumn("header_line", F.regexp_replace("header_line", "^\ufeff", ""))
 
 

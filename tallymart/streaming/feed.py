@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tallymart.plans.daily_run import Store, process_files
+from tallymart.plans.daily_run import Export, Store, process_files
 from tallymart.sources.dimensions import Dimensions
 from tallymart.sources.files import LISTING_SCHEMA, NoSalesData, describe_files
 
@@ -53,6 +53,7 @@ def start_sales_stream(
     files_per_batch: int = 1000,
     archive: str | None = None,
     publish: bool = False,
+    export: Export | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Keep facts and marts up to date with the files that arrive.
@@ -66,10 +67,17 @@ def start_sales_stream(
         run_ts = dt.datetime.now(dt.UTC).replace(tzinfo=None)
         try:
             process_files(
-                spark, batch, store, load_dimensions, f"{name}-{batch_id:09d}", run_ts, publish=publish
+                spark,
+                batch,
+                store,
+                load_dimensions,
+                f"{name}-{batch_id:09d}",
+                run_ts,
+                publish=publish,
+                export=export,
             )
         except NoSalesData:
-            # All files of the batch were refused and are kept as such.
+            # All files of the batch were refused; their lines are kept, the stream goes on.
             return
 
     files = new_files(spark, landing, files_per_batch=files_per_batch, archive=archive)

@@ -1,0 +1,117 @@
+import datetime as dt
+
+import pytest
+from fixtures import bag
+from pyspark.sql import functions as F
+
+from tallymart import workspace
+from tallymart.operators import sinks
+from tallymart.sources import tables
+
+
+def test_partitioned_write_replaces_touched_partitions_only(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = spark.createDataFrame([("2024-01", 1), ("2024-02", 2)], "month string, n int")
+    sinks.write_partitioned(rows, path, ["month"])
+    late = spark.createDataFrame([("2024-02", 3)], "month string, n int")
+    sinks.write_partitioned(late, path, ["month"], replace_touched=True)
+    assert bag(tables.read_parquet(spark, path, "n int, month string")) == [(1, "2024-01"), (3, "2024-02")]
+
+
+def test_gathered_rows_are_split_by_adaptive_execution(spark):
+    rows = spark.range(10).withColumn("month", F.lit("2024-01"))
+    plan = sinks.gather_by(rows, ["month"])._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
+def test_versions_stand_side_by_side(spark, tmp_path):
+    folder = str(tmp_path / "published")
+    first = dt.datetime(2024, 3, 1, 6, 0, 0, 999)
+    sinks.publish_version(spark.range(3).toDF("n"), folder, first)
+    sinks.publish_version(spark.range(2).toDF("n"), folder, first + dt.timedelta(days=1))
+    assert sinks.latest_version(spark, folder) == 1709359200000
+    assert sinks.read_latest_version(spark, folder).count() == 2
+    assert spark.read.parquet(folder).count() == 5
+    moment = spark.sql("SELECT timestamp_micros(1709272800000999) AS at")
+    assert moment.select(sinks.epoch_millis_column(F.col("at"))).first()[0] == sinks.epoch_millis(first)
+
+
+def test_other_formats(spark, tmp_path):
+    path = str(tmp_path / "json")
+    sinks.write_snapshot(spark.range(3), path, data_format="json")
+    assert spark.read.schema("id bigint").json(path).count() == 3
+
+
+def test_csv_report_keeps_values(spark, tmp_path):
+    rows = spark.createDataFrame([("a, b", 1), (None, 2), ('say "x"', 3)], "name string, n int")
+    path = str(tmp_path / "report")
+    sinks.write_csv(rows, path)
+    assert bag(spark.read.schema("name string, n int").option("header", True).csv(path)) == bag(rows)
+
+
+def test_preview_is_ordered(spark):
+    rows = spark.range(100).select((F.col("id") * 7 % 100).alias("n"))
+    assert [row["n"] for row in sinks.preview(rows, ["n"], 5).collect()] == [0, 1, 2, 3, 4]
+
+
+class Recorder:
+    """Stands in for a reader or writer, as no database may be started here."""
+
+    def __init__(self, result=None):
+        self.calls = []
+        self.result = result
+
+    def jdbc(self, *args, **kwargs):
+        self.calls.append((args, kwargs))
+        return self.result
+
+
+class FakeSession:
+    def __init__(self):
+        self.read = Recorder("frame")
+
+
+def test_jdbc_scan_is_split_by_key_range():
+    session = FakeSession()
+    properties = {"user": "u"}
+    assert tables.read_jdbc(session, "jdbc:x", "customer", properties) == "frame"
+    tables.read_jdbc(
+        session, "jdbc:x", "customer", properties, split_column="customer_id", bounds=(1, 1000), partitions=16
+    )
+    assert session.read.calls[0] == (("jdbc:x", "customer"), {"properties": properties})
+    options = session.read.calls[1][1]
+    assert (options["column"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == (
+        "customer_id",
+        1,
+        1000,
+        16,
+    )
+    with pytest.raises(ValueError, match="bounds"):
+        tables.read_jdbc(session, "jdbc:x", "customer", properties, split_column="customer_id")
+
+
+def test_jdbc_append_raises(spark):
+    with pytest.raises(Exception, match="(?i)driver"):
+        sinks.append_jdbc(spark.range(1), "jdbc:nosuch:x", "t", {})
+
+
+def test_staged_copy_equals_its_source(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, None)], "n int, s string")
+    assert bag(tables.stage(rows, str(tmp_path / "staged"))) == bag(rows)
+
+
+class FakeConf:
+    def __init__(self, values):
+        self.conf = self
+        self.values = values
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+def test_intermediate_tables_go_to_the_shared_folder():
+    shared = FakeConf({"spark.checkpoint.dir": "s3a://lake/tmp/", "spark.master": "yarn"})
+    assert workspace.shared_folder(shared, "x").startswith("s3a://lake/tmp/tallymart/x-")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace.shared_folder(FakeConf({"spark.master": "yarn"}), "x")
+    assert workspace.shared_folder(FakeConf({"spark.master": "local[2]"}), "x")
