@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.functions.columns import month_of
-from tallymart.operators.joins import HOT_SHARE, lookup_large
+from tallymart.operators.joins import hot_keys, join_on
 from tallymart.schemas import MONEY
-from tallymart.sources.dimensions import Dimension
+
+# Above this share of the rows a group is not left to one task.
+HOT_GROUP_SHARE = 0.0001
 
 
 def with_month(facts: DataFrame) -> DataFrame:
@@ -33,44 +35,23 @@ def sum_cost(rows: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.sum("total_cost").cast(MONEY).alias(name))
 
 
-def known_only(
-    rows: DataFrame,
-    dimensions: Sequence[Dimension],
-    keys: Sequence[str],
-    measures: Sequence[str] = ("total_cost",),
-) -> DataFrame:
-    """Rows whose other keys exist in their dimensions, ready to be summed per ``keys``.
-
-    Small dimensions filter in place. Before a large one is asked, rows are summed
-    per key combination, so a hot key reaches that shuffle as few rows.
-    """
-    for dimension in dimensions:
-        if dimension.small:
-            rows = rows.join(F.broadcast(dimension.keys()), dimension.key, "left_semi")
-    large = [dimension for dimension in dimensions if not dimension.small]
-    if large:
-        combined = list(dict.fromkeys([*keys, *(dimension.key for dimension in large)]))
-        kinds = dict(rows.dtypes)
-        rows = rows.groupBy(*combined).agg(*(F.sum(name).cast(kinds[name]).alias(name) for name in measures))
-        for dimension in large:
-            rows = rows.join(dimension.keys(), dimension.key, "left_semi")
-    return rows
-
-
 def attach_group_sum(
     rows: DataFrame,
     keys: Sequence[str],
+    hot_by: Sequence[str],
     name: str,
-    share: float = HOT_SHARE,
+    share: float = HOT_GROUP_SHARE,
 ) -> DataFrame:
-    """Every row with the total of its group, as a sum over a whole window would give.
+    """Every row with the total of its group.
 
-    A window keeps each group in one task. Here the totals come from a partial
-    aggregation and are joined back, the counts telling which groups are hot.
+    A window keeps each group in one task, which suits all groups but hot ones. The
+    keys in ``hot_by``, such as all but the month, tell which groups can be hot.
+    Their totals come from a partial aggregation; there are at most 1 / share times
+    the number of months, and they are broadcast to the rows, which do not move.
     """
-    groups = rows.groupBy(*keys).agg(
-        F.sum("total_cost").cast(MONEY).alias(name),
-        F.count("*").alias("n_rows"),
-    )
-    counts = groups.select(*keys, "n_rows")
-    return lookup_large(rows, groups.drop("n_rows"), keys, counts=counts, share=share)
+    hot = hot_keys(rows, hot_by, share)
+    of_hot = join_on(rows, F.broadcast(hot), hot_by, "left_semi")
+    in_place = join_on(of_hot, F.broadcast(sum_cost(of_hot, keys, name)), keys)
+    others = join_on(rows, F.broadcast(hot), hot_by, "left_anti")
+    total = F.sum("total_cost").over(Window.partitionBy(*keys)).cast(MONEY)
+    return in_place.unionByName(others.withColumn(name, total))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -14,17 +14,22 @@ from tallymart.workspace import shared_folder
 
 # A key is hot when it holds more than this share of the rows. There can be no
 # more than 1 / HOT_SHARE such keys, which bounds what is broadcast for them.
-HOT_SHARE = 0.001
+HOT_SHARE = 0.00001
 
 
-def key_counts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.count("*").alias("n_rows"))
+def hot_keys(rows: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
+    """The keys above the share of all rows, at most 1 / share of them.
 
-
-def hot_keys(counts: DataFrame, share: float = HOT_SHARE) -> DataFrame:
-    """Keys above the share, from counts per key (at most 1 / share of them)."""
-    total = counts.agg(F.sum("n_rows")).scalar()
-    return counts.filter(F.col("n_rows") > total * F.lit(share)).drop("n_rows")
+    Rows are first counted per hash bucket, of which there are few whatever the
+    number of keys. Only keys in a bucket above the share can be hot, so only
+    those are counted one by one. Both counts read nothing but the keys.
+    """
+    keyed = rows.select(*keys, F.pmod(F.xxhash64(*keys), F.lit(int(2 / share))).alias("_bucket"))
+    buckets = keyed.groupBy("_bucket").agg(F.count("*").alias("_rows"))
+    least = buckets.agg(F.sum("_rows")).scalar() * F.lit(share)
+    heavy = buckets.filter(F.col("_rows") > least).select("_bucket")
+    counts = keyed.join(F.broadcast(heavy), "_bucket", "left_semi").groupBy(*keys).agg(F.count("*").alias("_rows"))
+    return counts.filter(F.col("_rows") > least).select(*keys)
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -37,26 +42,24 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
 def lookup_large(
     rows: DataFrame,
     lookup: DataFrame,
-    keys: Sequence[str],
-    *,
-    counts: DataFrame | None = None,
+    key: str,
+    how: str = "inner",
     share: float = HOT_SHARE,
-    null_safe: bool = True,
 ) -> DataFrame:
-    """Inner join to a lookup with unique keys that is too large to broadcast.
+    """Inner or semi join to a lookup with unique keys that is too large to broadcast.
 
     The lookup rows of the hot keys are few by construction and are broadcast, so
-    hot rows never move. All other keys are small, and are shuffled and merged.
-    Without NULL keys a plain equality can use tables bucketed by the key.
-    """
-
-    def join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
-        return join_on(left, right, keys, how) if null_safe else left.join(right, list(keys), how)
+    hot rows never move. All other keys are small, and are shuffled and merged;
+    tables bucketed by the key need no shuffle for that either.
 
-    hot = hot_keys(key_counts(rows, keys) if counts is None else counts, share)
-    hot_lookup = join(lookup, F.broadcast(hot), "left_semi")
-    in_place = join(rows, F.broadcast(hot_lookup))
-    shuffled = join(join(rows, F.broadcast(hot), "left_anti"), lookup)
+    The rows are read four times, twice for the key alone: they should be a stored
+    table rather than the result of further joins.
+    """
+    known = rows.filter(F.col(key).isNotNull())
+    hot = hot_keys(known, [key], share)
+    hot_lookup = lookup.join(F.broadcast(hot), key, "left_semi")
+    in_place = known.join(F.broadcast(hot_lookup), key, how)
+    shuffled = known.join(F.broadcast(hot), key, "left_anti").join(lookup, key, how)
     return in_place.unionByName(shuffled)
 
 
@@ -64,24 +67,56 @@ def add_dimension(rows: DataFrame, dimension: Dimension, share: float = HOT_SHAR
     """Inner join to one dimension: rows with an unknown or NULL key are lost."""
     if dimension.small:
         return rows.join(F.broadcast(dimension.rows), dimension.key)
-    known = rows.filter(F.col(dimension.key).isNotNull())
-    return lookup_large(known, dimension.rows, [dimension.key], share=share, null_safe=False)
+    return lookup_large(rows, dimension.rows, dimension.key, "inner", share)
+
+
+def keep_known(rows: DataFrame, dimension: Dimension, share: float = HOT_SHARE) -> DataFrame:
+    """Rows whose key exists in a dimension, which adds no columns."""
+    if dimension.small_keys:
+        return rows.join(F.broadcast(dimension.keys()), dimension.key, "left_semi")
+    return lookup_large(rows, dimension.keys(), dimension.key, "left_semi", share)
+
+
+Step = tuple[bool, Callable[[DataFrame], DataFrame]]
+
 
+def _in_turn(rows: DataFrame, steps: Sequence[Step]) -> DataFrame:
+    """Apply joins, those by broadcast first: they drop rows before any shuffle.
 
-def enrich(facts: DataFrame, dimensions: Dimensions, share: float = HOT_SHARE) -> DataFrame:
+    A large one reads its input several times, so what one yields is written to the
+    shared folder before the next large one starts from it.
+    """
+    for by_broadcast, join in steps:
+        if by_broadcast:
+            rows = join(rows)
+    large = [join for by_broadcast, join in steps if not by_broadcast]
+    for at, join in enumerate(large):
+        rows = join(stage(rows, shared_folder(rows.sparkSession, "joined")) if at else rows)
+    return rows
+
+
+def keep_all_known(rows: DataFrame, dimensions: Sequence[Dimension], share: float = HOT_SHARE) -> DataFrame:
+    return _in_turn(
+        rows, [(d.small_keys, lambda part, d=d: keep_known(part, d, share)) for d in dimensions]
+    )
+
+
+def enrich(
+    facts: DataFrame,
+    dimensions: Dimensions,
+    *,
+    checked_only: Sequence[Dimension] = (),
+    share: float = HOT_SHARE,
+) -> DataFrame:
     """Star join to customers, stores and sellers, under unique column names.
 
-    Broadcast dimensions go first: they drop unmatched rows before any shuffle.
-    A large one reads its input more than once, so the result of one is written
-    to the shared folder before the next large one starts from it.
+    Dimensions in ``checked_only`` must know the sale but add no columns.
     """
     rows = facts.drop("product_name", "price", "quantity", "additional_column")
+    steps: list[Step] = []
     for dimension in dimensions.all():
-        if dimension.small:
-            rows = add_dimension(rows, dimension)
-    large = [dimension for dimension in dimensions.all() if not dimension.small]
-    for at, dimension in enumerate(large):
-        if at:
-            rows = stage(rows, shared_folder(facts.sparkSession, "enriched"))
-        rows = add_dimension(rows, dimension, share)
-    return rows
+        if dimension in checked_only:
+            steps.append((dimension.small_keys, lambda part, d=dimension: keep_known(part, d, share)))
+        else:
+            steps.append((dimension.small, lambda part, d=dimension: add_dimension(part, d, share)))
+    return _in_turn(rows, steps)

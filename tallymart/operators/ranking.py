@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from tallymart.operators.joins import join_on
 
-# Distinct values ranked by one task; larger groups are cut by value.
-VALUES_PER_SLICE = 1_000_000
+# Rows ranked by one task; larger groups are cut by value.
+ROWS_PER_TASK = 1_000_000
 
 
 def attach_group_max(rows: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
@@ -28,45 +28,63 @@ def attach_rank(
     value: str,
     name: str,
     *,
-    values_per_slice: int = VALUES_PER_SLICE,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """SQL RANK within each group, largest value first and NULLs last.
 
-    Ties are counted before anything is ordered. A group with many distinct
-    values is cut into slices of its value range; a rank is the number of rows in
-    the slices above, plus the number of larger ones in the own slice, plus one.
-    Ordinary groups are a single slice.
+    Groups that fit one task are ranked by a window. The others, of which there
+    are at most a ``rows_per_task``-th of the rows, are cut by value.
     """
-    ties = rows.groupBy(*keys, value).agg(F.count("*").alias("_ties"))
-    spread = ties.groupBy(*keys).agg(
-        F.max(value).alias("_high"),
-        F.min(value).alias("_low"),
-        F.ceil(F.count("*") / F.lit(values_per_slice)).alias("_slices"),
+    sizes = rows.groupBy(*keys).agg(
+        F.count("*").alias("_rows"), F.max(value).alias("_high"), F.min(value).alias("_low")
     )
-    depth = (F.col("_high") - F.col(value)) / F.nullif(F.col("_high") - F.col("_low"), F.lit(0).cast("decimal(1,0)"))
-    within = F.least(F.floor(depth * F.col("_slices")).cast("bigint"), F.col("_slices") - 1)
-    sliced = (
-        join_on(ties, spread, keys)
-        .withColumn(
-            "_slice",
-            F.when(F.col(value).isNull(), F.col("_slices")).otherwise(F.coalesce(within, F.lit(0))),
-        )
-        .drop("_high", "_low", "_slices")
+    big = sizes.filter(F.col("_rows") > rows_per_task)
+    by_window = join_on(rows, F.broadcast(big.select(*keys)), keys, "left_anti").withColumn(
+        name, F.rank().over(Window.partitionBy(*keys).orderBy(F.col(value).desc_nulls_last()))
     )
+    return by_window.unionByName(_rank_by_value(rows, big, keys, value, name, rows_per_task))
 
-    higher = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+
+def _rank_by_value(
+    rows: DataFrame,
+    big: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    name: str,
+    rows_per_task: int,
+) -> DataFrame:
+    """Ranks in big groups: rows in the slices of larger values, plus larger rows in the
+    own slice, plus one.
+
+    Equal values are counted before they are ordered, and slices are parts of the
+    group's value range, so equal values share a slice. NULLs are the last slice.
+    """
+    limits = big.withColumn("_slices", F.ceil(F.col("_rows") / F.lit(rows_per_task))).drop("_rows")
+    of_big = join_on(rows, F.broadcast(big.select(*keys)), keys, "left_semi")
+    values = of_big.groupBy(*keys, value).agg(F.count("*").alias("_ties"))
+    width = F.nullif(F.col("_high") - F.col("_low"), F.lit(0).cast("decimal(1,0)"))
+    depth = F.coalesce((F.col("_high") - F.col(value)) / width, F.lit(0))
+    place = F.least(F.floor(depth * F.col("_slices")).cast("bigint"), F.col("_slices") - 1)
+    sliced = join_on(values, F.broadcast(limits), keys).select(
+        *keys,
+        value,
+        "_ties",
+        F.when(F.col(value).isNull(), F.col("_slices")).otherwise(place).alias("_slice"),
+    )
+
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = (
         sliced.groupBy(*keys, "_slice")
         .agg(F.sum("_ties").alias("_in_slice"))
-        .select(*keys, "_slice", F.coalesce(F.sum("_in_slice").over(higher), F.lit(0)).alias("_above"))
+        .select(*keys, "_slice", F.coalesce(F.sum("_in_slice").over(before), F.lit(0)).alias("_above"))
     )
     larger = (
         Window.partitionBy(*keys, "_slice")
         .orderBy(F.col(value).desc_nulls_last())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    sliced = sliced.withColumn("_larger", F.coalesce(F.sum("_ties").over(larger), F.lit(0)))
-    ranked = join_on(sliced, slices, [*keys, "_slice"]).select(
+    within = sliced.withColumn("_larger", F.coalesce(F.sum("_ties").over(larger), F.lit(0)))
+    ranked = join_on(within, slices, [*keys, "_slice"]).select(
         *keys, value, (F.col("_above") + F.col("_larger") + 1).cast("int").alias(name)
     )
-    return join_on(rows, ranked, [*keys, value])
+    return join_on(of_big, ranked, [*keys, value])

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.functions.columns import full_name, incentive, month_of
-from tallymart.operators.aggregates import known_only, sum_cost
-from tallymart.operators.joins import enrich
+from tallymart.operators.aggregates import sum_cost
+from tallymart.operators.joins import enrich, keep_all_known
 from tallymart.operators.ranking import attach_group_max, attach_rank
 from tallymart.schemas import MONEY
 from tallymart.sources.dimensions import Dimension, Dimensions
@@ -30,7 +30,8 @@ def _extend(totals: DataFrame, dimension: Dimension) -> DataFrame:
 
 
 def customer_rows(facts: DataFrame, dimensions: Dimensions) -> DataFrame:
-    return enrich(facts, dimensions).select(
+    rows = enrich(facts, dimensions, checked_only=[dimensions.stores, dimensions.sellers])
+    return rows.select(
         "customer_id",
         F.col("customer_first_name").alias("first_name"),
         F.col("customer_last_name").alias("last_name"),
@@ -43,7 +44,7 @@ def customer_rows(facts: DataFrame, dimensions: Dimensions) -> DataFrame:
 
 
 def sales_rows(facts: DataFrame, dimensions: Dimensions) -> DataFrame:
-    return enrich(facts, dimensions).select(
+    return enrich(facts, dimensions, checked_only=[dimensions.customers]).select(
         "store_id",
         "sales_person_id",
         "sales_person_first_name",
@@ -66,7 +67,7 @@ def sales_rows(facts: DataFrame, dimensions: Dimensions) -> DataFrame:
 def customer_monthly(rows: DataFrame, dimensions: Dimensions) -> DataFrame:
     """Spend per customer and month, over sales whose three dimensions are known."""
     keys = ["customer_id", "sales_month"]
-    known = known_only(rows, [dimensions.stores, dimensions.sellers], keys)
+    known = keep_all_known(rows, [dimensions.stores, dimensions.sellers])
     totals = sum_cost(known, keys, "total_sales")
     return _extend(totals, dimensions.customers).select(
         "customer_id",
@@ -81,7 +82,7 @@ def customer_monthly(rows: DataFrame, dimensions: Dimensions) -> DataFrame:
 def seller_monthly(rows: DataFrame, dimensions: Dimensions) -> DataFrame:
     """Sales per store, seller and month, over sales whose three dimensions are known."""
     keys = ["store_id", "sales_person_id", "sales_month"]
-    known = known_only(rows, [dimensions.customers, dimensions.stores], keys)
+    known = keep_all_known(rows, [dimensions.customers, dimensions.stores])
     totals = sum_cost(known, keys, "total_sales")
     return _extend(totals, dimensions.sellers).select(
         "store_id", "sales_person_id", _name(SELLER_NAME), "sales_month", "total_sales"
@@ -117,13 +118,10 @@ def rank_sellers(monthly: DataFrame, **options) -> DataFrame:
 def daily_purchases(facts: DataFrame, dimensions: Dimensions) -> DataFrame:
     """What each customer bought on each day."""
     keys = ["customer_id", "sales_date"]
-    rows = facts.select(
-        *keys, "store_id", "sales_person_id", "total_cost", F.lit(1).cast("bigint").alias("purchases")
-    )
-    known = known_only(rows, [dimensions.stores, dimensions.sellers], keys, ["total_cost", "purchases"])
+    known = keep_all_known(facts, [dimensions.stores, dimensions.sellers])
     totals = known.groupBy(*keys).agg(
         F.sum("total_cost").cast(MONEY).alias("total_spent"),
-        F.sum("purchases").alias("purchases"),
+        F.count("*").alias("purchases"),
     )
     return _extend(totals, dimensions.customers).select(
         "customer_id", _name(CUSTOMER_NAME), "sales_date", "total_spent", "purchases"
@@ -133,7 +131,7 @@ def daily_purchases(facts: DataFrame, dimensions: Dimensions) -> DataFrame:
 def customers_by_month(rows: DataFrame, dimensions: Dimensions) -> DataFrame:
     """Each customer once per month with a sale."""
     keys = ["customer_id", "sales_month"]
-    known = known_only(rows, [dimensions.stores, dimensions.sellers], keys).select(*keys).distinct()
+    known = keep_all_known(rows, [dimensions.stores, dimensions.sellers]).select(*keys).distinct()
     return _extend(known, dimensions.customers).select(
         "customer_id",
         _name(CUSTOMER_NAME),
@@ -146,7 +144,7 @@ def customers_by_month(rows: DataFrame, dimensions: Dimensions) -> DataFrame:
 def sellers_by_month(rows: DataFrame, dimensions: Dimensions) -> DataFrame:
     """Each seller once per store and month with a sale."""
     keys = ["store_id", "sales_person_id", "sales_month"]
-    known = known_only(rows, [dimensions.customers, dimensions.stores], keys).select(*keys).distinct()
+    known = keep_all_known(rows, [dimensions.customers, dimensions.stores]).select(*keys).distinct()
     return _extend(known, dimensions.sellers).select(
         "store_id", "sales_person_id", _name(SELLER_NAME), "sales_month"
     )

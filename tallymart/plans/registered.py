@@ -18,7 +18,7 @@ from tallymart.schemas import ACTIVE, FACT_COLUMNS, INACTIVE, MANDATORY_COLUMNS
 from tallymart.sources import files as raw_files
 from tallymart.sources import standin
 from tallymart.sources.dimensions import Dimension, Dimensions
-from tallymart.sources.landing import landing_folder
+from tallymart.sources.landing import landing_folder, stored_sales
 from tallymart.sources.tables import read_parquet
 from tallymart.streaming.feed import start_sales_stream
 from tallymart.workspace import shared_folder
@@ -48,7 +48,7 @@ def _months(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _many_customers(spark: SparkSession, sf_dir: str) -> Dimensions:
     """The dimensions as they are treated when customers do not fit into a broadcast."""
     dimensions = standin.dimensions(spark, sf_dir)
-    return replace(dimensions, customers=replace(dimensions.customers, small=False))
+    return replace(dimensions, customers=replace(dimensions.customers, small=False, small_keys=False))
 
 
 # Monthly marts
@@ -66,12 +66,12 @@ def customer_monthly_mart(spark, sf_dir):
 
 @query
 def sales_incentive_mart_many_customers(spark, sf_dir):
-    return marts.sales_incentive(_months(spark, sf_dir), _many_customers(spark, sf_dir))
+    return marts.sales_incentive(with_month(stored_sales(spark, sf_dir)), _many_customers(spark, sf_dir))
 
 
 @query
 def customer_monthly_mart_many_customers(spark, sf_dir):
-    return marts.customer_monthly(_months(spark, sf_dir), _many_customers(spark, sf_dir))
+    return marts.customer_monthly(with_month(stored_sales(spark, sf_dir)), _many_customers(spark, sf_dir))
 
 
 @query
@@ -99,14 +99,16 @@ def distinct_salesperson_month(spark, sf_dir):
 
 @query
 def window_customer_month_sum(spark, sf_dir):
-    rows = _months(spark, sf_dir).select("customer_id", "sales_month", "total_cost")
-    return attach_group_sum(rows, ["customer_id", "sales_month"], "total_sales_every_month_by_each_customer")
+    rows = with_month(stored_sales(spark, sf_dir)).select("customer_id", "sales_month", "total_cost")
+    keys = ["customer_id", "sales_month"]
+    return attach_group_sum(rows, keys, keys[:1], "total_sales_every_month_by_each_customer")
 
 
 @query
 def window_salesperson_month_sum(spark, sf_dir):
-    rows = _months(spark, sf_dir).select("store_id", "sales_person_id", "sales_month", "total_cost")
-    return attach_group_sum(rows, ["store_id", "sales_person_id", "sales_month"], "total_sales_every_month")
+    keys = ["store_id", "sales_person_id", "sales_month"]
+    rows = with_month(stored_sales(spark, sf_dir)).select(*keys, "total_cost")
+    return attach_group_sum(rows, keys, keys[:2], "total_sales_every_month")
 
 
 @query
@@ -163,7 +165,7 @@ def enriched_sales(spark, sf_dir):
 
 @query
 def enriched_sales_many_customers(spark, sf_dir):
-    return enrich(standin.sales(spark, sf_dir), _many_customers(spark, sf_dir))
+    return enrich(stored_sales(spark, sf_dir), _many_customers(spark, sf_dir))
 
 
 # Row-level marts and sinks, read back from what was written

@@ -7,21 +7,28 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many bytes of text a dimension is shipped to every executor.
+# Up to this many bytes a dimension is shipped to every executor. Its rows count with
+# their text; where only the keys are needed, each counts as an entry of a hash table.
 BROADCAST_BYTES = 64 * 1024 * 1024
+BYTES_PER_KEY = 24
 
 
 class DuplicateKey(Exception):
     """A dimension key occurs twice; joining would multiply sales."""
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Dimension:
-    """One dimension under unique column names, keyed like the fact column it extends."""
+    """One dimension under unique column names, keyed like the fact column it extends.
+
+    ``small`` and ``small_keys`` tell whether its rows, or at least its keys, have been
+    found to fit into a broadcast.
+    """
 
     key: str
     rows: DataFrame
     small: bool
+    small_keys: bool
 
     def keys(self) -> DataFrame:
         return self.rows.select(self.key)
@@ -95,6 +102,7 @@ def checked_dimensions(
         keyed = sized if keyed is None else keyed.unionByName(sized)
     per_key = keyed.groupBy("dimension", "key").agg(F.count("*").alias("copies"), F.sum("bytes").alias("bytes"))
     profile = per_key.groupBy("dimension").agg(
+        F.count("*").alias("keys"),
         F.sum("bytes").alias("bytes"),
         F.max("copies").alias("copies"),
         F.max_by("key", "copies").alias("worst"),
@@ -105,7 +113,12 @@ def checked_dimensions(
             raise DuplicateKey(f"{key} {row['worst']} occurs {row['copies']} times in its dimension")
 
     def dimension(key: str) -> Dimension:
-        size = found[key]["bytes"] if key in found else 0
-        return Dimension(key, tables[key].filter(F.col(key).isNotNull()), size <= broadcast_bytes)
+        keys, size = (found[key]["keys"], found[key]["bytes"]) if key in found else (0, 0)
+        return Dimension(
+            key,
+            tables[key].filter(F.col(key).isNotNull()),
+            small=size <= broadcast_bytes,
+            small_keys=keys * BYTES_PER_KEY <= broadcast_bytes,
+        )
 
     return Dimensions(dimension("customer_id"), dimension("store_id"), dimension("sales_person_id"))

@@ -1,4 +1,4 @@
-"""A landing folder of raw sales files, written from the driver's order tables.
+"""Stored sales and a landing folder of raw files, written from the driver's order tables.
 
 Feeds differ in their header, as the shops that send them do. Together they carry
 every order line once:
@@ -15,25 +15,41 @@ must end in quarantine.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymart.operators.sinks import write_snapshot
 from tallymart.schemas import MANDATORY_COLUMNS
 from tallymart.sources import standin
-from tallymart.sources.tables import stage
+from tallymart.sources.tables import read_parquet, stage
 from tallymart.workspace import shared_folder
 
-_written: dict[tuple[str, str], str] = {}
+_written: dict[tuple[str, str, str], str] = {}
 
 
-def landing_folder(spark: SparkSession, sf_dir: str) -> str:
-    """Path of the landing folder, written once per session and data directory."""
-    key = (spark.conf.get("spark.app.id", ""), sf_dir)
+def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[SparkSession, str, str], None]) -> str:
+    """Path of something derived from a data directory, written once per session."""
+    key = (spark.conf.get("spark.app.id", ""), sf_dir, name)
     if key not in _written:
-        _written[key] = write_landing(spark, sf_dir, shared_folder(spark, "landing"))
+        path = shared_folder(spark, name)
+        write(spark, sf_dir, path)
+        _written[key] = path
     return _written[key]
 
 
+def stored_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales of the order tables as one table, for queries that read them repeatedly."""
+    sales = standin.sales(spark, sf_dir)
+    path = _once(spark, sf_dir, "sales", lambda *where: write_snapshot(sales, where[2]))
+    return read_parquet(spark, path, sales.schema)
+
+
+def landing_folder(spark: SparkSession, sf_dir: str) -> str:
+    return _once(spark, sf_dir, "landing", write_landing)
+
+
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = standin.sold_lines(
         spark,
@@ -59,7 +75,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_landing(spark: SparkSession, sf_dir: str, folder: str) -> str:
+def write_landing(spark: SparkSession, sf_dir: str, folder: str) -> None:
     staged = stage(raw_sales(spark, sf_dir), f"{folder}-staged")
     refused = F.when(F.col("tax") == 0, "n/a").otherwise(F.col("total_cost").cast("string"))
     feeds = {
@@ -82,4 +98,3 @@ def write_landing(spark: SparkSession, sf_dir: str, folder: str) -> str:
             .csv(f"{folder}/feed={feed}")
         )
     standin.table(spark, sf_dir, "customer").select("c_name").write.text(f"{folder}/feed=notes/sales_year=0")
-    return folder

@@ -8,7 +8,7 @@ import pytest
 from fixtures import bag, customers, dimensions, fact, facts, sellers, stores
 from pyspark.sql import functions as F
 
-from tallymart.operators.joins import enrich, hot_keys, key_counts, lookup_large
+from tallymart.operators.joins import enrich, hot_keys, lookup_large
 from tallymart.operators.ranking import attach_rank
 
 
@@ -23,26 +23,23 @@ def skewed(spark):
 
 
 def test_hot_keys_are_those_above_the_share(spark):
-    counts = key_counts(skewed(spark), ["customer_id"])
-    assert bag(hot_keys(counts, 0.4)) == [(1,)]
-
-
-@pytest.mark.parametrize("share", [0.0, 0.05, 0.4, 1.0])
-def test_split_join_equals_plain_join(spark, share):
-    rows = skewed(spark).filter("customer_id IS NOT NULL")
+    rows = skewed(spark)
+    assert bag(hot_keys(rows, ["customer_id"], 0.4)) == [(1,)]
+    assert bag(hot_keys(rows, ["customer_id"], 1.0)) == []
+    assert hot_keys(rows, ["customer_id", "store_id"], 1e-9).count() == 9
+    for share in (0.02, 0.1, 0.12):
+        least = share * rows.count()
+        counted = rows.groupBy("customer_id").count().filter(F.col("count") > least).drop("count")
+        assert bag(hot_keys(rows, ["customer_id"], share)) == bag(counted)
+
+
+@pytest.mark.parametrize("how", ["inner", "left_semi"])
+@pytest.mark.parametrize("share", [1e-9, 0.05, 0.4, 1.0])
+def test_split_join_equals_plain_join(spark, share, how):
+    rows = skewed(spark)
     lookup = customers(spark).select("customer_id", "phone_number")
-    plain = rows.join(lookup, "customer_id")
-    for null_safe in (True, False):
-        split = lookup_large(rows, lookup, ["customer_id"], share=share, null_safe=null_safe)
-        assert bag(split, *plain.columns) == bag(plain)
-
-
-def test_split_join_matches_null_with_null(spark):
-    rows = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("b", 4)], "month string, n int")
-    lookup = spark.createDataFrame([(None, 10), ("a", 20)], "month string, total int")
-    for share in (0.0, 0.4, 1.0):
-        joined = lookup_large(rows, lookup, ["month"], share=share)
-        assert bag(joined, "n", "total") == [(1, 10), (2, 10), (3, 20)]
+    plain = rows.join(lookup, "customer_id", how)
+    assert bag(lookup_large(rows, lookup, "customer_id", how, share), *plain.columns) == bag(plain)
 
 
 def test_large_dimensions_give_the_same_star(spark):
@@ -77,7 +74,7 @@ def test_sliced_rank_equals_brute_force(spark, per_slice):
         total = None if kind < 0.1 else Decimal("7.00") if kind < 0.4 else Decimal(rng.randint(-500, 90000)) / 100
         rows.append((store, seller, total))
     df = spark.createDataFrame(rows, "store_id bigint, seller bigint, total decimal(18,2)")
-    ranked = attach_rank(df, ["store_id"], "total", "rnk", values_per_slice=per_slice)
+    ranked = attach_rank(df, ["store_id"], "total", "rnk", rows_per_task=per_slice)
     found = Counter(tuple(row) for row in ranked.select("store_id", "seller", "total", "rnk").collect())
     assert found == Counter(brute_ranks(rows))
 
@@ -88,7 +85,7 @@ def test_rank_equals_the_window_function(spark):
         F.col("id").alias("seller"),
         (F.col("id") * 37 % 50).cast("decimal(18,2)").alias("total"),
     )
-    ranked = attach_rank(df, ["store_id"], "total", "rnk", values_per_slice=7)
+    ranked = attach_rank(df, ["store_id"], "total", "rnk", rows_per_task=7)
     df.createOrReplaceTempView("ranked_input")
     window = spark.sql(
         "SELECT *, rank() OVER (PARTITION BY store_id ORDER BY total DESC NULLS LAST) rnk FROM ranked_input"
