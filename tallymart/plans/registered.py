@@ -18,7 +18,7 @@ from tallymart.schemas import ACTIVE, FACT_COLUMNS, INACTIVE, MANDATORY_COLUMNS
 from tallymart.sources import files as raw_files
 from tallymart.sources import standin
 from tallymart.sources.dimensions import Dimension, Dimensions
-from tallymart.sources.landing import landing_folder, stored_sales
+from tallymart.sources.landing import landing_folder, once, stored_sales
 from tallymart.sources.tables import read_parquet
 from tallymart.streaming.feed import start_sales_stream
 from tallymart.workspace import shared_folder
@@ -397,32 +397,33 @@ def batch_run_sales_mart(spark, sf_dir):
     return daily_run.read_sales_incentive(spark, store)
 
 
-def _streamed(spark: SparkSession, sf_dir: str, name: str) -> daily_run.Store:
-    root = shared_folder(spark, name)
-    store = daily_run.Store(f"{root}/store")
+def _run_stream(spark: SparkSession, sf_dir: str, root: str) -> None:
     stream = start_sales_stream(
         spark,
         landing_folder(spark, sf_dir),
-        store,
+        daily_run.Store(f"{root}/store"),
         lambda: standin.dimensions(spark, sf_dir),
         f"{root}/checkpoint",
-        name=name,
         files_per_batch=20,
     )
     stream.awaitTermination()
-    return store
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> daily_run.Store:
+    """The store a stream over the whole landing folder has filled, once per session."""
+    return daily_run.Store(f"{once(spark, sf_dir, 'stream', _run_stream)}/store")
 
 
 @query
 def stream_ingest(spark, sf_dir):
-    return daily_run.read_facts(spark, _streamed(spark, sf_dir, "stream-ingest"))
+    return daily_run.read_facts(spark, _streamed(spark, sf_dir))
 
 
 @query
 def stream_sales_mart(spark, sf_dir):
-    return daily_run.read_sales_incentive(spark, _streamed(spark, sf_dir, "stream-mart"))
+    return daily_run.read_sales_incentive(spark, _streamed(spark, sf_dir))
 
 
 @query
 def stream_customer_mart(spark, sf_dir):
-    return daily_run.read_customer_monthly(spark, _streamed(spark, sf_dir, "stream-customers"))
+    return daily_run.read_customer_monthly(spark, _streamed(spark, sf_dir))

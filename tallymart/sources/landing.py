@@ -29,7 +29,7 @@ from tallymart.workspace import shared_folder
 _written: dict[tuple[str, str, str], str] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[SparkSession, str, str], None]) -> str:
+def once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[SparkSession, str, str], None]) -> str:
     """Path of something derived from a data directory, written once per session."""
     key = (spark.conf.get("spark.app.id", ""), sf_dir, name)
     if key not in _written:
@@ -42,12 +42,12 @@ def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[SparkSes
 def stored_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sales of the order tables as one table, for queries that read them repeatedly."""
     sales = standin.sales(spark, sf_dir)
-    path = _once(spark, sf_dir, "sales", lambda *where: write_snapshot(sales, where[2]))
+    path = once(spark, sf_dir, "sales", lambda *where: write_snapshot(sales, where[2]))
     return read_parquet(spark, path, sales.schema)
 
 
 def landing_folder(spark: SparkSession, sf_dir: str) -> str:
-    return _once(spark, sf_dir, "landing", write_landing)
+    return once(spark, sf_dir, "landing", write_landing)
 
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
