@@ -15,13 +15,22 @@ def write_snapshot(df: DataFrame, path: str, *, mode: str = "overwrite", data_fo
     df.write.format(data_format).mode(mode).save(path)
 
 
-def gather_by(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Bring the rows of an output partition together without one task per partition.
+# Up to this many rows an output is small enough for any of its partitions to be one
+# task's work, and what costs is the number of files.
+FEW_ROWS = 10_000_000
+
+
+def gather_by(df: DataFrame, columns: list[str], at_most: int | None = None) -> DataFrame:
+    """Bring the rows of an output partition together, so that it gets few files.
 
     REBALANCE lets adaptive execution split a partition that outgrows its advisory
     size and merge small ones, so a dominant store and month is written by many
-    tasks while the others still get few files.
+    tasks. Merging goes by size alone and would have one task write thousands of
+    tiny files one after the other; an output known to have few rows is therefore
+    spread over all cores instead.
     """
+    if at_most is not None and at_most <= FEW_ROWS:
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *columns)
     return df.hint("rebalance", *(F.col(column) for column in columns))
 
 
@@ -31,10 +40,14 @@ def write_partitioned(
     columns: list[str],
     *,
     gather: bool = True,
+    at_most: int | None = None,
     replace_touched: bool = False,
 ) -> None:
-    """Parquet partitioned by columns; optionally only the touched partitions are replaced."""
-    rows = gather_by(df, columns) if gather else df
+    """Parquet partitioned by columns; optionally only the touched partitions are replaced.
+
+    ``at_most`` is a known upper limit of the number of rows, if there is one.
+    """
+    rows = gather_by(df, columns, at_most) if gather else df
     writer = rows.write.mode("overwrite").partitionBy(*columns)
     if replace_touched:
         writer = writer.option("partitionOverwriteMode", "dynamic")
@@ -56,11 +69,12 @@ def publish_version(
     folder: str,
     run_ts: dt.datetime,
     partition_columns: list[str] | None = None,
+    at_most: int | None = None,
 ) -> str:
     """Write one run's output into its own directory; earlier runs stay as they are."""
     path = f"{folder}/run_epoch={epoch_millis(run_ts)}"
     if partition_columns:
-        write_partitioned(df, path, partition_columns)
+        write_partitioned(df, path, partition_columns, at_most=at_most)
     else:
         write_snapshot(df, path)
     return path

@@ -144,7 +144,8 @@ def publish_rows(facts: DataFrame, dimensions: Dimensions, store: Store, run_ts:
     written = sinks.publish_version(sales, store.sales_rows, run_ts)
     # The partitioned copy comes from the written one, so the joins run once.
     copy = read_parquet(facts.sparkSession, written, sales.schema)
-    sinks.publish_version(copy, store.sales_by_month_and_store, run_ts, ["sales_month", "store_id"])
+    columns = ["sales_month", "store_id"]
+    sinks.publish_version(copy, store.sales_by_month_and_store, run_ts, columns, at_most=copy.count())
 
 
 def add_totals(facts: DataFrame, store: Store, run_id: str) -> None:

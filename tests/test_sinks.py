@@ -22,6 +22,9 @@ def test_gathered_rows_are_split_by_adaptive_execution(spark):
     rows = spark.range(10).withColumn("month", F.lit("2024-01"))
     plan = sinks.gather_by(rows, ["month"])._jdf.queryExecution().executedPlan().toString()
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
+    assert "REBALANCE" in sinks.gather_by(rows, ["month"], sinks.FEW_ROWS + 1)._jdf.queryExecution().toString()
+    few = sinks.gather_by(rows, ["month"], 10)
+    assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
 
 
 def test_versions_stand_side_by_side(spark, tmp_path):
