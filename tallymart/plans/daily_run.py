@@ -149,9 +149,8 @@ def publish_rows(facts: DataFrame, dimensions: Dimensions, store: Store, run_ts:
 
 
 def add_totals(facts: DataFrame, store: Store, run_id: str) -> None:
-    sinks.write_partitioned(
-        monthly_cube(facts), f"{store.totals}/run_id={run_id}", ["sales_month"], gather=False
-    )
+    path = f"{store.totals}/run_id={run_id}"
+    sinks.write_partitioned(monthly_cube(facts), path, ["sales_month"], at_most=facts.count())
 
 
 def touched_months(spark: SparkSession, store: Store, run_id: str) -> list[str | None]:
@@ -170,28 +169,27 @@ def refresh_months(
     spark: SparkSession,
     store: Store,
     dimensions: Dimensions,
-    months: list[str | None],
+    months: list[str | None] | None = None,
 ) -> None:
     """Recompute both monthly marts for some months, from the totals of all runs.
 
     A late file changes its month's totals, ranks and incentives; the month is
-    replaced as a whole and the other months are not read.
+    replaced as a whole and the other months are not read. Without months both
+    marts are rebuilt, as after a change of the dimensions.
     """
-    if not months:
-        return
-    rows = read_parquet(spark, store.totals, TOTALS_SCHEMA).filter(in_months("sales_month", months))
-    sinks.write_partitioned(
-        marts.customer_monthly(rows, dimensions),
-        store.customer_monthly,
-        ["sales_date_month"],
-        replace_touched=True,
-    )
-    sinks.write_partitioned(
-        marts.sales_incentive(rows, dimensions),
-        store.sales_incentive,
-        ["sales_month"],
-        replace_touched=True,
-    )
+    rows = read_parquet(spark, store.totals, TOTALS_SCHEMA)
+    if months is not None:
+        if not months:
+            return
+        rows = rows.filter(in_months("sales_month", months))
+    outputs = {
+        store.customer_monthly: (marts.customer_monthly(rows, dimensions), "sales_date_month"),
+        store.sales_incentive: (marts.sales_incentive(rows, dimensions), "sales_month"),
+    }
+    # Neither mart has more rows than the totals it sums; file footers tell their number.
+    at_most = rows.count()
+    for path, (mart, month) in outputs.items():
+        sinks.write_partitioned(mart, path, [month], at_most=at_most, replace_touched=months is not None)
 
 
 def process_files(

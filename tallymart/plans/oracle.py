@@ -100,6 +100,11 @@ _ENRICHED_LIST = """
          sales_person_address, sales_person_pincode
   FROM enriched"""
 
+_CUSTOMER_ROWS = """
+  SELECT customer_id, customer_first_name AS first_name, customer_last_name AS last_name,
+         customer_address AS address, customer_pincode AS pincode, phone_number, sales_date, total_cost
+  FROM enriched"""
+
 _SALES_ROWS = """
   SELECT store_id, sales_person_id, sales_person_first_name, sales_person_last_name, store_manager_name,
          manager_id, is_manager, sales_person_address, sales_person_pincode, sales_date, total_cost, sales_month
@@ -164,11 +169,8 @@ def all_oracles() -> dict[str, str]:
         ),
         "enriched_sales": _with(_ENRICHED_LIST),
         "enriched_sales_many_customers": _with(_ENRICHED_LIST),
-        "customer_mart_rows": _with(
-            """SELECT customer_id, customer_first_name AS first_name, customer_last_name AS last_name,
-            customer_address AS address, customer_pincode AS pincode, phone_number, sales_date, total_cost
-            FROM enriched"""
-        ),
+        "customer_mart_rows": _with(_CUSTOMER_ROWS),
+        "versioned_publish_flat": _with(_CUSTOMER_ROWS),
         "sales_mart_rows": _with(_SALES_ROWS),
         "mart_partition_read": _with(_SALES_ROWS),
         "versioned_publish": _with(f"SELECT *, CAST(1709359200000 AS BIGINT) AS run_epoch FROM ({_SALES_ROWS})"),

@@ -215,6 +215,16 @@ def versioned_publish(spark, sf_dir):
     return latest.withColumn("run_epoch", F.lit(sinks.latest_version(spark, folder)).cast("bigint"))
 
 
+@query
+def versioned_publish_flat(spark, sf_dir):
+    """The same for customers, whose versions are not partitioned further."""
+    rows = marts.customer_rows(standin.sales(spark, sf_dir), standin.dimensions(spark, sf_dir))
+    folder = shared_folder(spark, "published-flat")
+    sinks.publish_version(rows.filter(month_of(F.col("sales_date")) == FIRST_MONTH), folder, FIRST_RUN)
+    sinks.publish_version(rows, folder, SECOND_RUN)
+    return sinks.read_latest_version(spark, folder, rows.schema)
+
+
 @query
 def incentive_report(spark, sf_dir):
     mart = marts.sales_incentive(_months(spark, sf_dir), standin.dimensions(spark, sf_dir))

@@ -2,7 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from fixtures import HEADER, bag, dimensions
+from fixtures import HEADER, bag, customers, dimensions
 from test_files import write
 
 from tallymart.operators import ledger
@@ -163,6 +163,18 @@ def test_rows_without_a_date_are_refreshed_too(spark, tmp_path):
     ]
 
 
+def test_rebuild_follows_the_dimensions(spark, tmp_path):
+    landing = write(
+        tmp_path / "landing", {"a.csv": csv(sale(1, 10), sale(2, 20, "2024-04-01", customer=77))}
+    )
+    store = Store(str(tmp_path / "store"))
+    run(spark, landing, store)
+    assert [row[1:3] for row in mart(spark, store)] == [(1, "2024-03")]
+    later = dimensions(spark, customers=customers(spark, ids=(77,)))
+    daily_run.refresh_months(spark, store, later)
+    assert [row[1:3] for row in mart(spark, store)] == [(2, "2024-04")]
+
+
 def test_ledger_states(spark, tmp_path):
     files = spark.createDataFrame(
         [(f"file:///in/{name}", name) for name in ("a.csv", "b.csv", "c.csv")], "file_path string, file_name string"
