@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import chat, sharding
+from tallymart.llm import bpe, chat, mixing, sharding
 from tallymart.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(read_table(spark, sf_dir, "documents"))
+
+
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(mixing.mix(read_table(spark, sf_dir, "documents")))
+
+
 def op6_shard_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(read_table(spark, sf_dir, "documents").select("doc_id"))
 
@@ -22,6 +30,8 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op4_bpe_round_trip": op4_bpe_round_trip,
+        "op5_source_mixing": op5_source_mixing,
         "op6_shard_assignment": op6_shard_assignment,
         "op7_chat_formatting": op7_chat_formatting,
     }
