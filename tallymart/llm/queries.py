@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import bpe, chat, mixing, sharding
+from tallymart.llm import bpe, chat, langid, mixing, quality, sharding
 from tallymart.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(read_table(spark, sf_dir, "documents"))
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"))
 
@@ -30,6 +38,8 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_quality_classifier": op1_quality_classifier,
+        "op3_language_id": op3_language_id,
         "op4_bpe_round_trip": op4_bpe_round_trip,
         "op5_source_mixing": op5_source_mixing,
         "op6_shard_assignment": op6_shard_assignment,
