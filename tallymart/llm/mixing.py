@@ -274,8 +274,9 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHAR
     planned = plan_sources(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), block_words)
     places = kept_table(laid_out(sizes, planned), "mix-places")
     slots = dealt_slots(docs.sparkSession, planned, shard_slots, seed)
-    # Equal keys are a block's pieces times its at most three slots.
-    spans = block_pieces(places, block_words).join(slots, ["source_number", "block"])
+    # Equal keys are a block's pieces times its at most three slots. Slots grow with the
+    # data, though Spark takes them for as small as the plan they are made from.
+    spans = block_pieces(places, block_words).join(slots.hint("merge"), ["source_number", "block"])
     return Mixture(places, spans)
 
 
