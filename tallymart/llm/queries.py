@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import bpe, chat, langid, mixing, quality, sharding
+from tallymart.llm import bpe, chat, embed_dedup, langid, minhash, mixing, quality, sharding, topk
 from tallymart.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(read_table(spark, sf_dir, "embeddings"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(read_table(spark, sf_dir, "documents"))
 
@@ -36,19 +40,33 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.with_control_case(read_table(spark, sf_dir, "conversations")))
 
 
+def op9_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+def op10_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
+        "op2_exact_top_k": op2_exact_top_k,
         "op3_language_id": op3_language_id,
         "op4_bpe_round_trip": op4_bpe_round_trip,
         "op5_source_mixing": op5_source_mixing,
         "op6_shard_assignment": op6_shard_assignment,
         "op7_chat_formatting": op7_chat_formatting,
+        "op9_embedding_near_duplicates": op9_embedding_near_duplicates,
+        "op10_minhash_near_duplicates": op10_minhash_near_duplicates,
     }
 
 
 def llm_oracles() -> dict[str, str]:
     return {
+        "op2_exact_top_k": topk.ORACLE,
         "op6_shard_assignment": sharding.ORACLE,
         "op7_chat_formatting": chat.ORACLE,
+        "op9_embedding_near_duplicates": embed_dedup.ORACLE,
+        "op10_minhash_near_duplicates": minhash.ORACLE,
     }

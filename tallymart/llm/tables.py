@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymart.workspace import shared_folder
@@ -36,12 +36,16 @@ def fold_number(key: str, folds: int) -> Column:
 def sample_per_value(rows: DataFrame, key: str, value: str, per_value: int) -> DataFrame:
     """For each value the ``per_value`` rows with the smallest hash of their key.
 
-    The limit is pushed below the shuffle, so a common value sends no more than
-    ``per_value`` rows from each task. Limits above 1000 would not be pushed down.
+    Values are counted first, and of a common value only rows whose hash lies below four
+    times the share that is needed are put in order, so no task sees more than a few
+    times ``per_value`` rows of a value. Values must be few: their counts are broadcast.
     """
-    if not 0 < per_value <= 1000:
-        raise ValueError("per_value must lie between 1 and 1000")
-    from pyspark.sql import Window
-
-    order = Window.partitionBy(value).orderBy(F.xxhash64(F.col(key).cast("string")), key)
-    return rows.withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= per_value).drop("_nth")
+    if per_value < 1:
+        raise ValueError("per_value must be at least 1")
+    place = F.shiftrightunsigned(F.xxhash64(F.col(key).cast("string")), 11) / F.lit(float(2**53))
+    counts = rows.groupBy(value).agg(F.count("*").alias("_rows"))
+    low = rows.join(F.broadcast(counts), value).withColumn("_place", place)
+    low = low.filter(F.col("_place") * F.col("_rows") < 4 * per_value)
+    order = Window.partitionBy(value).orderBy("_place", key)
+    ranked = low.withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= per_value)
+    return ranked.drop("_nth", "_place", "_rows")
