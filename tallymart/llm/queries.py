@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import bpe, chat, embed_dedup, langid, minhash, mixing, quality, sharding, topk
+from tallymart.llm import bpe, chat, embed_dedup, langid, licenses, minhash, mixing, quality, sharding, topk
 from tallymart.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,13 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.with_control_case(read_table(spark, sf_dir, "conversations")))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
 def op9_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
@@ -57,6 +64,7 @@ def llm_queries() -> dict[str, Query]:
         "op5_source_mixing": op5_source_mixing,
         "op6_shard_assignment": op6_shard_assignment,
         "op7_chat_formatting": op7_chat_formatting,
+        "op8_license_scan": op8_license_scan,
         "op9_embedding_near_duplicates": op9_embedding_near_duplicates,
         "op10_minhash_near_duplicates": op10_minhash_near_duplicates,
     }
