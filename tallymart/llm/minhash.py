@@ -9,10 +9,12 @@ their weighted Jaccard similarity. Only ranks up to about ``k ln k + 2k`` darts
 at, whatever the length of the text; a text with an empty coordinate is looked at further.
 
 Equal texts are one class. Bands of coordinates are hashed to buckets. In a bucket every
-class is compared with the smallest one, the leader. Those that are not similar to their
-leader are compared with all others of their bucket that are not in their component yet.
-Whatever two similar classes share a bucket, they are then united: either both are similar
-to the leader, or one of them has met the other. Similarities are exact.
+class is compared with the smallest one, the leader, and similar ones are united to
+components. In some further rounds, classes outside the main component of a bucket meet
+another member of it. What is apart after that is compared with all others of its bucket
+that are in other components, unless their distances to the leader show that they are
+too far apart. So whatever two similar classes share a bucket, they are united, while a
+large group of near copies costs a few comparisons per class. Similarities are exact.
 
 Defined results: words are runs of letters, digits and anything outside ASCII, A-Z in lower
 case. A text of fewer than five words is one run of them; a text that is NULL or has no
@@ -39,6 +41,7 @@ RUN_WORDS = 5
 LEAST_SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 COORDINATES = BANDS * ROWS
+LEADER_ROUNDS = 4
 BYTES_PER_BLOCK = 1_000_000
 DART_STEP = 0xD1B54A32D192ED03
 
@@ -178,26 +181,41 @@ def element_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
-    """The pairs ``a``, ``b`` with ``similar``: whether their weighted Jaccard similarity reaches ``least``."""
+    """The pairs ``a``, ``b`` with their weighted Jaccard ``similarity``, and whether it reaches ``least``."""
     of = lambda side: sets.select(F.col("node").alias(side), F.col("elements").alias(f"of_{side}"))
     rows = pairs.select("a", "b").join(of("b").hint("merge"), "b").join(of("a").hint("merge"), "a")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            similar = []
+            values = []
             for x, y in zip(batch.column("of_a"), batch.column("of_b"), strict=True):
                 one, other = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                most, fewest = max(len(one), len(other)), min(len(one), len(other))
-                if fewest < least * most:
-                    similar.append(False)
-                    continue
                 common = len(np.intersect1d(one, other, assume_unique=True))
-                similar.append(common >= least * (len(one) + len(other) - common))
+                # Two integers, so the comparison is the same on every machine.
+                values.append((common, len(one) + len(other) - common))
+            common, union = (np.array(v, np.int64) for v in zip(*values, strict=True)) if values else (np.zeros(0), np.ones(0))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(similar, pa.bool_())], names=["a", "b", "similar"]
+                [batch.column("a"), batch.column("b"), pa.array(common / union), pa.array(common >= least * union)],
+                names=["a", "b", "similarity", "similar"],
             )
 
-    return rows.select("a", "b", "of_a", "of_b").mapInArrow(compare, "a long, b long, similar boolean")
+    return rows.select("a", "b", "of_a", "of_b").mapInArrow(
+        compare, "a long, b long, similarity double, similar boolean"
+    )
+
+
+def open_members(members: DataFrame, found: DataFrame, round_: int) -> DataFrame:
+    """Members of buckets (``band``, ``hash``, ``node``) that are not in the bucket's main component.
+
+    ``part`` is their own component. ``leader`` is a member of the main component, the one with most
+    members in the bucket; it differs from bucket to bucket and from round to round.
+    """
+    parts = members.join(found, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+    pick = F.min_by("node", F.xxhash64("node", "band", F.lit(round_)))
+    in_bucket = parts.groupBy("band", "hash", "part").agg(F.count("*").alias("n"), pick.alias("pick"))
+    main = in_bucket.groupBy("band", "hash").agg(F.max(F.struct("n", "part", "pick")).alias("main"))
+    main = main.select("band", "hash", F.col("main.part").alias("main"), F.col("main.pick").alias("leader"))
+    return parts.join(main, ["band", "hash"]).filter(F.col("part") != F.col("main"))
 
 
 def similar_links(docs: DataFrame, classes: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
@@ -205,35 +223,48 @@ def similar_links(docs: DataFrame, classes: DataFrame, least: float = LEAST_SIMI
     buckets = classes.select("node", F.posexplode("bands").alias("band", "hash"))
     shared = buckets.groupBy("band", "hash").agg(F.min("node").alias("leader"), F.count("*").alias("size"))
     shared = shared.filter(F.col("size") > 1)
-    members = kept_table(
+    led = kept_table(
         buckets.join(shared, ["band", "hash"]).select("band", "hash", "leader", "node"), "bucket-members"
     )
-    led = members.filter(F.col("node") != F.col("leader"))
-    pairs = kept_table(led.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "leader-pairs")
+    members = led.select("band", "hash", "node")
     wanted = members.select("node").distinct().join(classes.select("node", "digest"), "node")
     sets = kept_table(element_sets(docs, wanted), "element-sets")
-    first = kept_table(verified(pairs, sets, least), "leader-links")
-    links = first.filter("similar").select("a", "b")
-
-    # What is not similar to its leader meets everything in its bucket that is not in its component.
-    apart = first.filter(~F.col("similar")).select(F.col("a").alias("leader"), F.col("b").alias("node"))
-    left = led.join(apart, ["leader", "node"]).select("band", "hash", "leader", F.col("node").alias("x"))
-    now = components(links)
-    x_part = now.select(F.col("node").alias("x"), F.col("component").alias("x_part"))
-    y_part = now.select(F.col("node").alias("y"), F.col("component").alias("y_part"))
-    others = members.select("band", "hash", F.col("node").alias("y"))
-    met = (
-        left.join(others, ["band", "hash"])
-        .filter((F.col("x") != F.col("y")) & (F.col("y") != F.col("leader")))
-        .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-        .distinct()
-        .join(x_part, "x", "left")
-        .join(y_part, "y", "left")
-        .filter(F.coalesce(F.col("x_part"), F.col("x")) != F.coalesce(F.col("y_part"), F.col("y")))
-        .select(F.col("x").alias("a"), F.col("y").alias("b"))
+
+    def tried(pairs: DataFrame) -> DataFrame:
+        return kept_table(verified(kept_table(pairs.distinct(), "tried-pairs"), sets, least), "tried-links")
+
+    to_leader = tried(
+        led.filter(F.col("node") != F.col("leader")).select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    )
+    links = to_leader.filter("similar").select("a", "b")
+    left = kept_table(open_members(members, components(links), 0), "open-members")
+    for round_ in range(1, LEADER_ROUNDS + 1):
+        # One member of each main component that an open class shares a bucket with.
+        met = left.groupBy("node", "main").agg(F.min_by("leader", F.xxhash64("leader", F.lit(round_))).alias("leader"))
+        more = tried(met.select(F.col("leader").alias("a"), F.col("node").alias("b"))).filter("similar").select("a", "b")
+        if more.isEmpty():
+            break
+        links = kept_table(links.unionByName(more), "all-links")
+        left = kept_table(open_members(members, components(links), round_), "open-members")
+
+    # What is still apart meets what is in another component, unless their distances to the
+    # bucket's first leader tell that they are too far apart: the distance is a metric.
+    far = to_leader.select(F.col("a").alias("leader"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("away"))
+    away = led.join(far, ["leader", "node"], "left").select(
+        "band", "hash", F.col("node").alias("y"), F.coalesce("away", F.lit(0.0)).alias("y_away")
+    )
+    found = components(links).select(F.col("node").alias("y"), "component")
+    parts = away.join(found, "y", "left").withColumn("y_part", F.coalesce("component", "y")).drop("component")
+    own = away.select("band", "hash", F.col("y").alias("node"), F.col("y_away").alias("away"))
+    close = F.abs(F.col("away") - F.col("y_away")) <= 1 - least + 1e-9
+    last = (
+        left.select("band", "hash", "node", "part")
+        .join(own, ["band", "hash", "node"])
+        .join(parts, ["band", "hash"])
+        .filter((F.col("part") != F.col("y_part")) & close)
     )
-    second = verified(kept_table(met, "other-pairs"), sets, least).filter("similar").select("a", "b")
-    return links.unionByName(second)
+    met = last.select(F.least("node", "y").alias("a"), F.greatest("node", "y").alias("b"))
+    return links.unionByName(tried(met).filter("similar").select("a", "b"))
 
 
 def grouped(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
