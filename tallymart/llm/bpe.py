@@ -145,11 +145,13 @@ def piece_starts(code_points: np.ndarray, text_starts: np.ndarray) -> np.ndarray
 def merge_pieces(data: np.ndarray, offsets: np.ndarray, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all pieces, concatenated, and where each piece's ids start (one more at the end)."""
     n = len(data)
-    symbol = vocab.byte_ids[data].tolist() if n else []
+    if not n:
+        return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+    symbol = vocab.byte_ids[data].tolist()
     last = np.zeros(n + 1, bool)
     last[offsets[1:] - 1] = True
     ranks = np.full(n, -1, np.int32)
-    if n > 1:
+    if n > 1:  # a single byte has no pair
         ranks[:-1] = np.where(last[: n - 1], -1, vocab.byte_ranks[data[:-1], data[1:]])
     # The index: rank of a pair -> the positions of its left symbols.
     where: dict[int, list[int]] = {}
