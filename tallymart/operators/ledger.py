@@ -65,6 +65,12 @@ def open_files(files: DataFrame, events: DataFrame) -> DataFrame:
     return files.select("file_path", "file_name").join(started, "file_path").distinct()
 
 
+def vanished_files(files: DataFrame, events: DataFrame) -> DataFrame:
+    """Files that a run has started and not finished and that are no longer there."""
+    started = latest_status(events).filter(F.col("status") == ACTIVE)
+    return started.join(files.select("file_path"), "file_path", "left_anti").select("file_path", "run_id")
+
+
 def pending_files(files: DataFrame, events: DataFrame) -> DataFrame:
     """Present files no run has finished, be it by taking them in or by refusing them."""
     finished = latest_status(events).filter(F.col("status").isin(INACTIVE, REFUSED)).select("file_path")

@@ -15,22 +15,13 @@ def write_snapshot(df: DataFrame, path: str, *, mode: str = "overwrite", data_fo
     df.write.format(data_format).mode(mode).save(path)
 
 
-# Up to this many rows an output is small enough for any of its partitions to be one
-# task's work, and what costs is the number of files.
-FEW_ROWS = 10_000_000
-
-
-def gather_by(df: DataFrame, columns: list[str], at_most: int | None = None) -> DataFrame:
+def gather_by(df: DataFrame, columns: list[str]) -> DataFrame:
     """Bring the rows of an output partition together, so that it gets few files.
 
     REBALANCE lets adaptive execution split a partition that outgrows its advisory
     size and merge small ones, so a dominant store and month is written by many
-    tasks. Merging goes by size alone and would have one task write thousands of
-    tiny files one after the other; an output known to have few rows is therefore
-    spread over all cores instead.
+    tasks. Sizes are only known at run time; the plan is the same for all of them.
     """
-    if at_most is not None and at_most <= FEW_ROWS:
-        return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *columns)
     return df.hint("rebalance", *(F.col(column) for column in columns))
 
 
@@ -40,20 +31,25 @@ def write_partitioned(
     columns: list[str],
     *,
     gather: bool = True,
-    at_most: int | None = None,
     replace_touched: bool = False,
 ) -> None:
-    """Parquet partitioned by columns; optionally only the touched partitions are replaced.
-
-    ``at_most`` is a known upper limit of the number of rows, if there is one.
-    """
-    rows = gather_by(df, columns, at_most) if gather else df
+    """Parquet partitioned by columns; optionally only the touched partitions are replaced."""
+    rows = gather_by(df, columns) if gather else df
     writer = rows.write.mode("overwrite").partitionBy(*columns)
     if replace_touched:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
 
 
+def remove_partitions(spark: SparkSession, path: str, column: str, values: list[str | None]) -> None:
+    """Remove the directories of some values of a partition column, through Spark's own file system."""
+    jvm = spark.sparkContext._jvm
+    for value in values:
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={name}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def epoch_millis(run_ts: dt.datetime) -> int:
     """Whole seconds of the run time, as milliseconds."""
     return int(as_utc(run_ts).timestamp()) * 1000
@@ -69,12 +65,16 @@ def publish_version(
     folder: str,
     run_ts: dt.datetime,
     partition_columns: list[str] | None = None,
-    at_most: int | None = None,
+    run_id: str = "run",
 ) -> str:
-    """Write one run's output into its own directory; earlier runs stay as they are."""
-    path = f"{folder}/run_epoch={epoch_millis(run_ts)}"
+    """Write one run's output into its own directory; other runs stay as they are.
+
+    Run times are whole seconds, so the run's id is part of the path: runs of one
+    second are one version and stand side by side in it.
+    """
+    path = f"{folder}/run_epoch={epoch_millis(run_ts)}/run_id={run_id}"
     if partition_columns:
-        write_partitioned(df, path, partition_columns, at_most=at_most)
+        write_partitioned(df, path, partition_columns)
     else:
         write_snapshot(df, path)
     return path
@@ -101,7 +101,7 @@ def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
 
     One connection per partition, so the number of partitions is limited first.
     """
-    df.coalesce(connections).write.jdbc(url, table, mode="append", properties=properties)
+    df.repartition(connections).write.jdbc(url, table, mode="append", properties=properties)
 
 
 def preview(df: DataFrame, order: list[str], rows: int = 20) -> DataFrame:

@@ -40,6 +40,10 @@ ACCEPTED = "accepted"
 REJECTED = "rejected"
 
 
+# Files an error names.
+NAMED_FILES = 20
+
+
 class UnfinishedRun(Exception):
     """An earlier run started files it never finished."""
 
@@ -137,20 +141,22 @@ def refuse(spark: SparkSession, groups: list[conform.HeaderGroup], store: Store,
     sinks.write_partitioned(lines, f"{store.refused_files}/run_id={run_id}", ["reason"], gather=False)
 
 
-def publish_rows(facts: DataFrame, dimensions: Dimensions, store: Store, run_ts: dt.datetime) -> None:
+def publish_rows(
+    facts: DataFrame, dimensions: Dimensions, store: Store, run_ts: dt.datetime, run_id: str
+) -> None:
     """This run's row-level marts, each version in its own directory."""
-    sinks.publish_version(marts.customer_rows(facts, dimensions), store.customer_rows, run_ts)
+    sinks.publish_version(marts.customer_rows(facts, dimensions), store.customer_rows, run_ts, run_id=run_id)
     sales = marts.sales_rows(facts, dimensions)
-    written = sinks.publish_version(sales, store.sales_rows, run_ts)
+    written = sinks.publish_version(sales, store.sales_rows, run_ts, run_id=run_id)
     # The partitioned copy comes from the written one, so the joins run once.
     copy = read_parquet(facts.sparkSession, written, sales.schema)
     columns = ["sales_month", "store_id"]
-    sinks.publish_version(copy, store.sales_by_month_and_store, run_ts, columns, at_most=copy.count())
+    sinks.publish_version(copy, store.sales_by_month_and_store, run_ts, columns, run_id)
 
 
 def add_totals(facts: DataFrame, store: Store, run_id: str) -> None:
     path = f"{store.totals}/run_id={run_id}"
-    sinks.write_partitioned(monthly_cube(facts), path, ["sales_month"], at_most=facts.count())
+    sinks.write_partitioned(monthly_cube(facts), path, ["sales_month"])
 
 
 def touched_months(spark: SparkSession, store: Store, run_id: str) -> list[str | None]:
@@ -186,10 +192,12 @@ def refresh_months(
         store.customer_monthly: (marts.customer_monthly(rows, dimensions), "sales_date_month"),
         store.sales_incentive: (marts.sales_incentive(rows, dimensions), "sales_month"),
     }
-    # Neither mart has more rows than the totals it sums; file footers tell their number.
-    at_most = rows.count()
     for path, (mart, month) in outputs.items():
-        sinks.write_partitioned(mart, path, [month], at_most=at_most, replace_touched=months is not None)
+        if months is not None:
+            # Replacing touched partitions leaves alone those the new rows lack, so a month that
+            # has become empty, as when its customers left, is taken out first.
+            sinks.remove_partitions(spark, path, month, months)
+        sinks.write_partitioned(mart, path, [month], replace_touched=months is not None)
 
 
 def process_files(
@@ -207,8 +215,12 @@ def process_files(
 
     The set is fixed by the one listing behind the headers: files that arrive
     later belong to the next run. All of them are entered as started before
-    anything is written, so that a repeated run takes the same files.
+    anything is written, so that a repeated run takes the same files. Files that
+    another run has entered, be it a batch or a stream, are that run's and are left out.
     """
+    entered = ledger.latest_status(ledger.read_ledger(spark, store.ledger))
+    others = entered.filter(F.col("run_id") != run_id).select("file_path")
+    files = files.join(others, "file_path", "left_anti")
     groups = conform.header_groups(conform.gate_headers(conform.read_headers(spark, files)))
     accepted = [path for group in groups if group.reason is None for path in group.paths]
     refused = [path for group in groups if group.reason is not None for path in group.paths]
@@ -230,7 +242,7 @@ def process_files(
     dimensions = load_dimensions()
     facts = read_facts(spark, store, run_id)
     if publish:
-        publish_rows(facts, dimensions, store, run_ts)
+        publish_rows(facts, dimensions, store, run_ts, run_id)
     add_totals(facts, store, run_id)
     months = touched_months(spark, store, run_id)
     refresh_months(spark, store, dimensions, months)
@@ -262,7 +274,13 @@ def daily_run(
     inventory = file_inventory(spark, landing)
     require_files(inventory)
     files = inventory.filter("is_csv")
-    left_open = ledger.open_files(files, ledger.read_ledger(spark, store.ledger))
+    events = ledger.read_ledger(spark, store.ledger)
+    gone = ledger.vanished_files(files, events).limit(NAMED_FILES).collect()
+    if gone:
+        # A repeated run would replace its rows without theirs.
+        named = ", ".join(f"{row['file_path']} of run {row['run_id']}" for row in gone)
+        raise UnfinishedRun(f"files of an unfinished run have gone: {named}")
+    left_open = ledger.open_files(files, events)
     runs = left_open.groupBy("run_id").agg(F.unix_micros(F.min("event_ts")).alias("started"))
     for run in runs.orderBy("started", "run_id").collect():
         if not resume:

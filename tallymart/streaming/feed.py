@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallymart.plans.daily_run import Export, Store, process_files
@@ -58,20 +59,24 @@ def start_sales_stream(
 ) -> StreamingQuery:
     """Keep facts and marts up to date with the files that arrive.
 
-    A batch may be delivered twice. Its number names its run, and the checkpoint
-    fixes its files, so the second delivery replaces the first. ``name`` must
-    differ between streams that share a store.
+    A batch may be delivered twice. Its number and its files name its run, and the
+    checkpoint fixes its files, so the second delivery replaces the first. Batches of
+    another checkpoint have other files or are the same run; files that another
+    run has entered are left out, so streams and batch runs can share a store.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         run_ts = dt.datetime.now(dt.UTC).replace(tzinfo=None)
+        # The sum does not depend on the order of the files.
+        names = batch.select(F.xxhash64("file_path").cast("decimal(38,0)").alias("name"))
+        total = names.agg(F.coalesce(F.sum("name"), F.lit(0))).first()[0]
         try:
             process_files(
                 spark,
                 batch,
                 store,
                 load_dimensions,
-                f"{name}-{batch_id:09d}",
+                f"{name}-{batch_id:09d}-{int(total) % 2**64:016x}",
                 run_ts,
                 publish=publish,
                 export=export,

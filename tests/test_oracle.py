@@ -4,6 +4,8 @@ import pytest
 from oracle import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tallymart.plans.oracle import all_oracles
+from tallymart.plans.registered import all_queries
 
 
 @pytest.fixture(scope="module")
@@ -11,13 +13,15 @@ def database(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_matches_sql(spark, sf_dir, database, name):
-    assert compare(queries()[name](spark, sf_dir), database, oracle_sql()[name]) > 0
+    assert compare(all_queries()[name](spark, sf_dir), database, all_oracles()[name]) > 0
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
+    assert set(all_queries()) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
 
 
 def test_entry_runs(spark):

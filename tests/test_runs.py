@@ -256,3 +256,44 @@ def test_stream_of_refused_files_only_goes_on(spark, tmp_path):
     write(tmp_path / "landing", {"a.csv": csv(sale(1, 10))})
     stream(spark, tmp_path, store)
     assert mart(spark, store) == [(121, 1, "2024-03", Decimal("10.00"), Decimal("0.10"))]
+
+
+def test_stream_leaves_what_a_batch_has_taken(spark, tmp_path):
+    landing = write(tmp_path / "landing", {"a.csv": csv(sale(1, 10))})
+    store = Store(str(tmp_path / "store"))
+    run(spark, landing, store)
+    stream(spark, tmp_path, store)
+    assert mart(spark, store) == [(121, 1, "2024-03", Decimal("10.00"), Decimal("0.10"))]
+
+
+def test_new_checkpoint_keeps_the_facts_of_the_old(spark, tmp_path):
+    store = Store(str(tmp_path / "store"))
+    for name in ("one", "two"):
+        write(tmp_path / name / "landing", {f"{name}.csv": csv(sale(1, 10))})
+        stream(spark, tmp_path / name, store)
+    assert daily_run.read_facts(spark, store).count() == 2
+    assert mart(spark, store) == [(121, 1, "2024-03", Decimal("20.00"), Decimal("0.20"))]
+
+
+def test_month_that_becomes_empty_goes(spark, tmp_path):
+    landing = write(tmp_path / "landing", {"a.csv": csv(sale(1, 10))})
+    store = Store(str(tmp_path / "store"))
+    run(spark, landing, store)
+    later = dimensions(spark, customers=customers(spark, ids=(77,)))
+    daily_run.refresh_months(spark, store, later, ["2024-03"])
+    assert daily_run.read_customer_monthly(spark, store).isEmpty()
+
+
+def test_vanished_file_of_an_open_run_is_an_error(spark, tmp_path):
+    landing = write(tmp_path / "landing", {"a.csv": csv(sale(1, 10)), "b.csv": csv(sale(2, 10))})
+    store = Store(str(tmp_path / "store"))
+
+    def unreachable():
+        raise ConnectionError("no dimensions today")
+
+    with pytest.raises(ConnectionError):
+        daily_run.daily_run(spark, landing, store, unreachable, "run-1", DAY)
+    (tmp_path / "landing/b.csv").unlink()
+    with pytest.raises(daily_run.UnfinishedRun, match="b.csv"):
+        run(spark, landing, store, "run-2")
+    assert daily_run.read_facts(spark, store).count() == 2

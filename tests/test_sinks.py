@@ -22,9 +22,6 @@ def test_gathered_rows_are_split_by_adaptive_execution(spark):
     rows = spark.range(10).withColumn("month", F.lit("2024-01"))
     plan = sinks.gather_by(rows, ["month"])._jdf.queryExecution().executedPlan().toString()
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
-    assert "REBALANCE" in sinks.gather_by(rows, ["month"], sinks.FEW_ROWS + 1)._jdf.queryExecution().toString()
-    few = sinks.gather_by(rows, ["month"], 10)
-    assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
 
 
 def test_versions_stand_side_by_side(spark, tmp_path):
@@ -39,6 +36,14 @@ def test_versions_stand_side_by_side(spark, tmp_path):
     assert moment.select(sinks.epoch_millis_column(F.col("at"))).first()[0] == sinks.epoch_millis(first)
 
 
+def test_versions_of_one_second_do_not_replace_each_other(spark, tmp_path):
+    folder = str(tmp_path / "published")
+    first = dt.datetime(2024, 3, 1, 6, 0, 0, 100_000)
+    sinks.publish_version(spark.range(3).toDF("n"), folder, first, run_id="run-1")
+    sinks.publish_version(spark.range(2).toDF("n"), folder, first + dt.timedelta(milliseconds=300), run_id="run-2")
+    assert spark.read.parquet(folder).count() == 5
+
+
 def test_other_formats(spark, tmp_path):
     path = str(tmp_path / "json")
     sinks.write_snapshot(spark.range(3), path, data_format="json")
