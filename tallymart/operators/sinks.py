@@ -89,7 +89,8 @@ def latest_version(spark: SparkSession, folder: str) -> int:
 
 def read_latest_version(spark: SparkSession, folder: str, schema=None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(f"{folder}/run_epoch={latest_version(spark, folder)}")
+    # The runs of a version tell themselves apart by their directories only.
+    return reader.parquet(f"{folder}/run_epoch={latest_version(spark, folder)}").drop("run_id")
 
 
 def write_csv(df: DataFrame, path: str) -> None:
