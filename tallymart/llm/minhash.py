@@ -11,10 +11,10 @@ at, whatever the length of the text; a text with an empty coordinate is looked a
 Equal texts are one class. Bands of coordinates are hashed to buckets. In a bucket every
 class is compared with the smallest one, the leader, and similar ones are united to
 components. In some further rounds, classes outside the main component of a bucket meet
-another member of it. What is apart after that is compared with all others of its bucket
-that are in other components, unless their distances to the leader show that they are
-too far apart. So whatever two similar classes share a bucket, they are united, while a
-large group of near copies costs a few comparisons per class. Similarities are exact.
+another member of it. What is apart after that is compared, block against block, with all
+of its bucket that are in other components. So whatever two similar classes share a bucket,
+they are united, while a large group of near copies costs a few comparisons per class.
+Similarities are exact.
 
 Defined results: words are runs of letters, digits and anything outside ASCII, A-Z in lower
 case. A text of fewer than five words is one run of them; a text that is NULL or has no
@@ -42,6 +42,7 @@ LEAST_SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 COORDINATES = BANDS * ROWS
 LEADER_ROUNDS = 4
+ELEMENTS_PER_BLOCK = 200_000
 BYTES_PER_BLOCK = 1_000_000
 DART_STEP = 0xD1B54A32D192ED03
 
@@ -159,7 +160,7 @@ def signed(docs: DataFrame) -> DataFrame:
 
 
 def element_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node`` and the sorted bytes of its text's elements, for the wanted nodes (``node``, ``digest``)."""
+    """``node``, the sorted bytes of its text's elements and their number, for the wanted nodes (``node``, ``digest``)."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("node"),
         F.col("text").cast("string").alias("text"),
@@ -177,7 +178,8 @@ def element_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     found = rows.select("node", "text").mapInArrow(gather, "node long, elements binary")
     # Rows that repeat an id with its text are one.
-    return found.groupBy("node").agg(F.first("elements").alias("elements"))
+    once = found.groupBy("node").agg(F.first("elements").alias("elements"))
+    return once.withColumn("size", (F.octet_length("elements") / 8).cast("long"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
@@ -218,6 +220,67 @@ def open_members(members: DataFrame, found: DataFrame, round_: int) -> DataFrame
     return parts.join(main, ["band", "hash"]).filter(F.col("part") != F.col("main"))
 
 
+def compared_blocks(left: DataFrame, parts: DataFrame, sets: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
+    """Links ``a``, ``b`` of the classes ``left`` over to similar ones of other parts of their buckets.
+
+    Both have ``band``, ``hash``, ``node`` and ``part``. Classes left over and members of a bucket
+    are dealt to blocks of about ``ELEMENTS_PER_BLOCK`` elements, and every block of the ones
+    meets every block of the others in a task of its own. So a set is shipped once per block it
+    meets, not once per pair, and no pair becomes a row but those found: one per class and part.
+    In a bucket of two, both have met before.
+    """
+    bucket = ["band", "hash"]
+    sizes = sets.select("node", "size")
+    blocks = F.ceil(F.sum("size") / F.lit(ELEMENTS_PER_BLOCK)).cast("int")
+    of_left = left.join(sizes, "node").groupBy(*bucket).agg(blocks.alias("left_blocks"))
+    of_members = (
+        parts.join(of_left.select(*bucket), bucket, "left_semi")
+        .join(sizes, "node")
+        .groupBy(*bucket)
+        .agg(blocks.alias("member_blocks"), F.count("*").alias("members"))
+    )
+    shape = kept_table(of_left.join(of_members.filter(F.col("members") > 2).drop("members"), bucket), "block-shapes")
+
+    def dealt(rows: DataFrame, own: str, other: str, is_left: bool) -> DataFrame:
+        return rows.join(shape, bucket).select(
+            *bucket,
+            F.pmod(F.xxhash64("node"), F.col(f"{own}_blocks")).cast("int").alias(f"{own}_block"),
+            F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)).alias(f"{other}_block"),
+            F.lit(is_left).alias("is_left"),
+            "node",
+            "part",
+        )
+
+    rows = dealt(left, "left", "member", True).unionByName(dealt(parts, "member", "left", False))
+
+    def compare(block: pa.Table) -> pa.Table:
+        is_left, node, part = (block.column(c).to_numpy() for c in ("is_left", "node", "part"))
+        of = [np.frombuffer(v.as_buffer(), np.uint64) for v in block.column("elements")]
+        lefts, members = np.flatnonzero(is_left), np.flatnonzero(~is_left)
+        pairs: list[tuple[int, int]] = []
+        if len(lefts) and len(members):
+            held = np.concatenate([of[m] for m in members])
+            known, number = np.unique(held, return_inverse=True)
+            size = np.array([len(of[m]) for m in members])
+            starts = np.cumsum(size) - size
+            marks = np.zeros(len(known), np.int64)
+            for x in lefts:
+                mine = np.searchsorted(known, of[x])
+                mine = mine[known[np.minimum(mine, len(known) - 1)] == of[x]]
+                marks[mine] = 1
+                common = np.add.reduceat(marks[number], starts)
+                marks[mine] = 0
+                near = (common >= least * (len(of[x]) + size - common)) & (part[members] != part[x])
+                _, first = np.unique(part[members][near], return_index=True)
+                pairs += [(int(node[x]), int(y)) for y in node[members][near][first]]
+        return pa.table(
+            {"a": pa.array([min(p) for p in pairs], pa.int64()), "b": pa.array([max(p) for p in pairs], pa.int64())}
+        )
+
+    with_sets = rows.join(sets.select("node", "elements").hint("merge"), "node")
+    return with_sets.groupBy(*bucket, "left_block", "member_block").applyInArrow(compare, "a long, b long").distinct()
+
+
 def similar_links(docs: DataFrame, classes: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
     """Links ``a``, ``b`` that unite similar classes (``node``, ``digest``, ``bands``)."""
     buckets = classes.select("node", F.posexplode("bands").alias("band", "hash"))
@@ -233,10 +296,8 @@ def similar_links(docs: DataFrame, classes: DataFrame, least: float = LEAST_SIMI
     def tried(pairs: DataFrame) -> DataFrame:
         return kept_table(verified(kept_table(pairs.distinct(), "tried-pairs"), sets, least), "tried-links")
 
-    to_leader = tried(
-        led.filter(F.col("node") != F.col("leader")).select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    )
-    links = to_leader.filter("similar").select("a", "b")
+    to_leader = led.filter(F.col("node") != F.col("leader")).select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    links = tried(to_leader).filter("similar").select("a", "b")
     left = kept_table(open_members(members, components(links), 0), "open-members")
     for round_ in range(1, LEADER_ROUNDS + 1):
         # One member of each main component that an open class shares a bucket with.
@@ -247,24 +308,10 @@ def similar_links(docs: DataFrame, classes: DataFrame, least: float = LEAST_SIMI
         links = kept_table(links.unionByName(more), "all-links")
         left = kept_table(open_members(members, components(links), round_), "open-members")
 
-    # What is still apart meets what is in another component, unless their distances to the
-    # bucket's first leader tell that they are too far apart: the distance is a metric.
-    far = to_leader.select(F.col("a").alias("leader"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("away"))
-    away = led.join(far, ["leader", "node"], "left").select(
-        "band", "hash", F.col("node").alias("y"), F.coalesce("away", F.lit(0.0)).alias("y_away")
-    )
-    found = components(links).select(F.col("node").alias("y"), "component")
-    parts = away.join(found, "y", "left").withColumn("y_part", F.coalesce("component", "y")).drop("component")
-    own = away.select("band", "hash", F.col("y").alias("node"), F.col("y_away").alias("away"))
-    close = F.abs(F.col("away") - F.col("y_away")) <= 1 - least + 1e-9
-    last = (
-        left.select("band", "hash", "node", "part")
-        .join(own, ["band", "hash", "node"])
-        .join(parts, ["band", "hash"])
-        .filter((F.col("part") != F.col("y_part")) & close)
-    )
-    met = last.select(F.least("node", "y").alias("a"), F.greatest("node", "y").alias("b"))
-    return links.unionByName(tried(met).filter("similar").select("a", "b"))
+    found = components(links).select("node", "component")
+    parts = members.join(found, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+    apart = compared_blocks(left.select("band", "hash", "node", "part"), parts, sets, least)
+    return links.unionByName(kept_table(apart, "last-links"))
 
 
 def grouped(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:

@@ -298,6 +298,28 @@ def test_minhash_groups_equal_brute_force(spark):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_blocks_of_a_bucket_equal_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    sets = {i: np.unique(np.r_[rng.choice(60, rng.integers(38, 55), replace=False), 100 + i // 9]).astype(np.uint64) for i in range(70)}
+    sets[70] = np.arange(1000, dtype=np.uint64)
+    bucket = {i: (0, 5 if i < 67 else 6) for i in range(70)} | {70: (0, 5)}
+    part = {i: i if i % 3 else 0 for i in sets}
+    stored = spark.createDataFrame([(i, v.tobytes(), len(v)) for i, v in sets.items()], "node long, elements binary, size long")
+    members = spark.createDataFrame([(*bucket[i], i, part[i]) for i in sets], "band int, hash long, node long, part long")
+    expected = set()
+    for a in (i for i in sets if part[i]):
+        for b in sets:
+            common = len(np.intersect1d(sets[a], sets[b]))
+            if bucket[a] == bucket[b] and part[a] != part[b] and common >= 0.8 * (len(sets[a]) + len(sets[b]) - common):
+                expected.add((a, part[b]))
+    for elements in (100, 10**6):
+        monkeypatch.setattr(minhash, "ELEMENTS_PER_BLOCK", elements)
+        links = minhash.compared_blocks(members.filter("part > 0"), members, stored).collect()
+        found = {(x, part[y]) for a, b in links for x, y in ((a, b), (b, a)) if part[x]}
+        assert expected and found == expected
+    assert minhash.compared_blocks(members.limit(0), members, stored).count() == 0
+
+
 def test_darts_estimate_weighted_similarity():
     a, b = "p " * 60 + "q " * 40, "p " * 60 + "r " * 40
     data = np.frombuffer((a + b).encode(), np.uint8)
