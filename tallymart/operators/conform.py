@@ -20,10 +20,19 @@ from tallymart.schemas import (
     MONEY,
     REFUSED_SCHEMA,
 )
-from tallymart.sources.files import header_lines, openable, read_csv_group, read_raw_lines, scanned_header_lines
+from tallymart.sources.files import (
+    TORN_ROW,
+    header_lines,
+    openable,
+    read_csv_group,
+    read_raw_lines,
+    scanned_header_lines,
+)
 
 MISSING = "missing_columns"
 DUPLICATE = "duplicate_columns"
+# What failed in a row with more or fewer fields than its header.
+ROW_WIDTH = "row_width"
 
 
 def gate_headers(headers: DataFrame) -> DataFrame:
@@ -104,14 +113,15 @@ def _labels(columns: Sequence[str]) -> list[str]:
 def conform_group(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Typed facts from one header group's text rows, with the fields that failed.
 
-    A field fails when it holds text that is not a value of its type. Such rows
-    keep their text in ``raw_row``; sound rows do not carry it.
+    A field fails when it holds text that is not a value of its type. Such rows keep
+    their fields as JSON in ``raw_row``; sound rows do not carry it. A row with more or
+    fewer fields than the header fails as a whole and keeps its line as it is.
     """
     place = {name: F.col(f"_c{at}") for at, name in enumerate(columns)}
     extra = sorted((name, at) for at, name in enumerate(columns) if name not in MANDATORY_COLUMNS)
     folded = fold_columns([F.col(f"_c{at}") for _, at in extra])
     typed = {name: _typed(name, place[name]) for name in MANDATORY_COLUMNS}
-    failed = F.array_compact(
+    unread = F.array_compact(
         F.array(
             *(
                 F.when(place[name].isNotNull() & value.isNull(), F.lit(name))
@@ -120,13 +130,15 @@ def conform_group(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
             )
         )
     )
+    torn = F.col(TORN_ROW).isNotNull()
+    failed = F.when(torn, F.array(F.lit(ROW_WIDTH))).otherwise(unread)
     raw = F.to_json(F.struct(*(F.col(f"_c{at}").alias(label) for at, label in enumerate(_labels(columns)))))
     return rows.select(
         *(value.alias(name) for name, value in typed.items()),
         folded.alias(EXTRA_COLUMN),
         "file_path",
         failed.alias("failed_columns"),
-        F.when(F.size(failed) > 0, raw).alias("raw_row"),
+        F.when(torn, F.col(TORN_ROW)).when(F.size(failed) > 0, raw).alias("raw_row"),
     )
 
 

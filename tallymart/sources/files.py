@@ -16,6 +16,9 @@ CSV_SUFFIX = ".csv"
 # Stores a task can open by itself to read no more than a file's first block.
 OPENABLE = ("file", "s3", "s3a", "gs", "abfs", "abfss")
 
+# Column with the text of rows that do not have the header's number of fields.
+TORN_ROW = "torn_row"
+
 
 class NoSalesData(Exception):
     """There is nothing to work on: no file, no CSV file, or no acceptable one."""
@@ -132,10 +135,13 @@ def read_csv_group(spark: SparkSession, paths: Sequence[str], width: int) -> Dat
     """Files that share one header line, as text columns named by position.
 
     Positional names keep odd or repeated header names apart; the caller maps
-    them, knowing the one header all these files have.
+    them, knowing the one header all these files have. ``torn_row`` is the text of a row
+    that has more or fewer fields than the header, as after an open quote, else NULL.
     """
-    schema = ", ".join(f"_c{at} string" for at in range(width))
-    rows = spark.read.schema(schema).option("header", True).csv([escape_glob(path) for path in paths])
+    schema = ", ".join([*(f"_c{at} string" for at in range(width)), f"{TORN_ROW} string"])
+    reader = spark.read.schema(schema).option("header", True).option("columnNameOfCorruptRecord", TORN_ROW)
+    # A parser that skips fields nobody asks for would not count them.
+    rows = reader.option("columnPruning", False).csv([escape_glob(path) for path in paths])
     return rows.select("*", decoded_path(F.col("_metadata.file_path")).alias("file_path"))
 
 

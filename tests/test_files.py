@@ -169,10 +169,11 @@ def test_unreadable_fields_mark_the_row(spark, tmp_path):
     assert bag(rows.filter("size(failed_columns) > 0"), "failed_columns") == [
         (["customer_id", "total_cost"],),
         (["customer_id"],),
+        (["row_width"],),
         (["sales_date"],),
         (["sales_date"],),
     ]
-    assert conform.facts_only(rows).count() == 4
+    assert conform.facts_only(rows).count() == 3
     bad = rows.filter("array_contains(failed_columns, 'sales_date')").select(
         F.get_json_object("raw_row", "$.sales_date")
     )
@@ -180,6 +181,16 @@ def test_unreadable_fields_mark_the_row(spark, tmp_path):
     assert rows.filter("size(failed_columns) = 0 AND raw_row IS NOT NULL").isEmpty()
 
 
+def test_torn_rows_are_quarantined_with_their_line(spark, tmp_path):
+    sound = "1,121,sugar,2024-03-01,1,50,1,50"
+    torn = [sound + ",surplus", '1,121,"broken,2024-03-03,1,50,1,7', "1,121,sugar"]
+    rows = conformed(spark, write(tmp_path, {"x.csv": "\n".join([HEADER, sound, *torn])}))
+    failed = rows.filter("size(failed_columns) > 0").select("failed_columns", "raw_row").collect()
+    assert sorted(r["raw_row"] for r in failed) == sorted(torn)
+    assert all(r["failed_columns"] == [conform.ROW_WIDTH] for r in failed)
+    assert rows.filter("size(failed_columns) = 0").count() == 1
+
+
 def test_header_only_file_has_no_rows(spark, tmp_path):
     assert conformed(spark, write(tmp_path, {"x.csv": HEADER})).count() == 0
 
