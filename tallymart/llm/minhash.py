@@ -10,10 +10,9 @@ at, whatever the length of the text; a text with an empty coordinate is looked a
 
 Equal texts are one class. Bands of coordinates are hashed to buckets. In a bucket every
 class is compared with the smallest one, the leader, and similar ones are united to
-components. In some further rounds, classes outside the main component of a bucket meet
-another member of it. What is apart after that is compared, block against block, with all
-of its bucket that are in other components. So whatever two similar classes share a bucket,
-they are united, while a large group of near copies costs a few comparisons per class.
+components. Classes outside the main component of a bucket are then compared, block against
+block, with all of their bucket that are in other components. So whatever two similar classes
+share a bucket, they are united, while near copies of a leader cost one comparison each.
 Similarities are exact.
 
 Defined results: words are runs of letters, digits and anything outside ASCII, A-Z in lower
@@ -41,7 +40,6 @@ RUN_WORDS = 5
 LEAST_SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 COORDINATES = BANDS * ROWS
-LEADER_ROUNDS = 4
 ELEMENTS_PER_BLOCK = 200_000
 BYTES_PER_BLOCK = 1_000_000
 DART_STEP = 0xD1B54A32D192ED03
@@ -206,18 +204,12 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float = LEAST_SIMILARITY)
     )
 
 
-def open_members(members: DataFrame, found: DataFrame, round_: int) -> DataFrame:
-    """Members of buckets (``band``, ``hash``, ``node``) that are not in the bucket's main component.
-
-    ``part`` is their own component. ``leader`` is a member of the main component, the one with most
-    members in the bucket; it differs from bucket to bucket and from round to round.
-    """
-    parts = members.join(found, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
-    pick = F.min_by("node", F.xxhash64("node", "band", F.lit(round_)))
-    in_bucket = parts.groupBy("band", "hash", "part").agg(F.count("*").alias("n"), pick.alias("pick"))
-    main = in_bucket.groupBy("band", "hash").agg(F.max(F.struct("n", "part", "pick")).alias("main"))
-    main = main.select("band", "hash", F.col("main.part").alias("main"), F.col("main.pick").alias("leader"))
-    return parts.join(main, ["band", "hash"]).filter(F.col("part") != F.col("main"))
+def open_members(parts: DataFrame) -> DataFrame:
+    """Members of buckets (``band``, ``hash``, ``node``, ``part``) that are not in the bucket's main part, the one with most members."""
+    in_bucket = parts.groupBy("band", "hash", "part").agg(F.count("*").alias("n"))
+    main = in_bucket.groupBy("band", "hash").agg(F.max(F.struct("n", "part")).alias("main"))
+    main = main.select("band", "hash", F.col("main.part").alias("main"))
+    return parts.join(main, ["band", "hash"]).filter(F.col("part") != F.col("main")).drop("main")
 
 
 def compared_blocks(left: DataFrame, parts: DataFrame, sets: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
@@ -293,24 +285,12 @@ def similar_links(docs: DataFrame, classes: DataFrame, least: float = LEAST_SIMI
     wanted = members.select("node").distinct().join(classes.select("node", "digest"), "node")
     sets = kept_table(element_sets(docs, wanted), "element-sets")
 
-    def tried(pairs: DataFrame) -> DataFrame:
-        return kept_table(verified(kept_table(pairs.distinct(), "tried-pairs"), sets, least), "tried-links")
-
     to_leader = led.filter(F.col("node") != F.col("leader")).select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    links = tried(to_leader).filter("similar").select("a", "b")
-    left = kept_table(open_members(members, components(links), 0), "open-members")
-    for round_ in range(1, LEADER_ROUNDS + 1):
-        # One member of each main component that an open class shares a bucket with.
-        met = left.groupBy("node", "main").agg(F.min_by("leader", F.xxhash64("leader", F.lit(round_))).alias("leader"))
-        more = tried(met.select(F.col("leader").alias("a"), F.col("node").alias("b"))).filter("similar").select("a", "b")
-        if more.isEmpty():
-            break
-        links = kept_table(links.unionByName(more), "all-links")
-        left = kept_table(open_members(members, components(links), round_), "open-members")
-
-    found = components(links).select("node", "component")
-    parts = members.join(found, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
-    apart = compared_blocks(left.select("band", "hash", "node", "part"), parts, sets, least)
+    tried = kept_table(verified(kept_table(to_leader.distinct(), "tried-pairs"), sets, least), "tried-links")
+    links = tried.filter("similar").select("a", "b")
+    parts = members.join(components(links), "node", "left").withColumn("part", F.coalesce("component", "node"))
+    parts = kept_table(parts.drop("component"), "bucket-parts")
+    apart = compared_blocks(kept_table(open_members(parts), "open-members"), parts, sets, least)
     return links.unionByName(kept_table(apart, "last-links"))
 
 
