@@ -1,4 +1,4 @@
-"""Near-duplicate vectors by sorted projection passes.
+"""Near-duplicate vectors by sorted projection passes and an exact comparison of what they leave apart.
 
 Equal vectors are one class first. In each pass the classes are ordered
 lexicographically by the concatenated signs of random projections, and every vector is
@@ -6,9 +6,15 @@ compared with the next ones of a bounded window: similar vectors share long runs
 signs, so they come to lie close in some pass. Pairs are verified by their cosine in
 double precision, and the verified pairs of all passes are united to components.
 
-A window sees only part of a large group. The rest is found exactly: whatever a
-vector is linked to lies in its component, so all vectors of a component are compared
-in square blocks, and links are counted. Blocks of a large component are separate
+A window sees only part of a large group, and a pair that no window meets may be joined
+by no chain. So the passes only shorten what follows, which is exact: vectors are dealt to the
+cells of pivots and these to units of bounded size, and every vector is compared with all units
+whose cell may hold one within reach, by the angles to the pivots. Of the links found
+there, those between two components are added, once per pair of components and units.
+Without structure that the angles can use this compares all pairs, in blocks.
+
+Then whatever a vector is linked to lies in its component, so all vectors of a component are
+compared in square blocks, and links are counted. Blocks of a large component are separate
 groups; nothing but counts leaves them.
 
 Windows end with their partition. Partitions are ranges that differ from pass to
@@ -24,6 +30,7 @@ different lengths never link. Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -40,6 +47,11 @@ WINDOW = 32
 # Signs per pass. Ten billion vectors fill 33 of them.
 SIGNS = 48
 BLOCK = 1024
+# Vectors of a unit: more of them as vectors grow in number, as each is sent to all units near it.
+LEAST_UNIT, MOST_UNIT, UNITS = 4096, 65536, 64
+MAX_PIVOTS = 1024
+# Against the rounding of products and of arc cosines.
+PRODUCT_SLACK, ANGLE_SLACK = 1e-9, 1e-6
 SEED = 97
 
 
@@ -155,6 +167,145 @@ def pass_links(
     return ordered.select("pass", "node", "vector").mapInArrow(compare, "a long, b long").distinct()
 
 
+def angles(products: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(products, -1, 1))
+
+
+@dataclass
+class Cells:
+    """Cells of the vectors of one length, by their nearest pivot."""
+
+    pivots: np.ndarray
+    # Per cell: the number of its vectors, their smallest and largest angle to the pivot, its units and the first of them.
+    rows: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    units: np.ndarray
+    first: np.ndarray
+
+    def near(self, unit: np.ndarray, cell: np.ndarray, least: float) -> np.ndarray:
+        """(vectors, cells): whether a cell may hold a vector within reach of each of the given ones, which are in ``cell``.
+
+        What lies within the angle t of x has an angle to any pivot that differs by t at most. And the
+        border of the cells of the pivots p and c is the plane at right angles to p - c, from which x
+        in the cell of p lies ``arcsin((p - c).x / |p - c|)`` away.
+        """
+        reach = np.arccos(min(1.0, max(-1.0, least)))
+        products = unit @ self.pivots.T
+        angle = angles(products)
+        near = (angle <= self.high + reach + ANGLE_SLACK) & (angle >= self.low - reach - ANGLE_SLACK) & (self.rows > 0)
+        if least >= 0:
+            apart = np.linalg.norm(self.pivots[:, None] - self.pivots, axis=2)
+            ahead = products[np.arange(len(unit)), cell][:, None] - products
+            near &= ahead <= apart[cell] * np.sin(reach) + PRODUCT_SLACK
+        # Its own cell, whatever the rounding.
+        near[np.arange(len(unit)), cell] = True
+        return near
+
+
+def choose_pivots(classes: DataFrame, count: int) -> dict[int, np.ndarray]:
+    """Pivots by the length of vectors in bytes: vectors with the smallest hash of their node."""
+    sample = classes.orderBy(F.xxhash64("node"), "node").limit(count).select("vector").toArrow()
+    vectors = sample.column("vector").to_pylist()
+    return {len(vectors[rows[0]]): unit_matrix([vectors[r] for r in rows]) for rows in by_length(vectors)} if vectors else {}
+
+
+def placed(parts: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
+    """Every vector with its cell and its angle to the pivot; lengths without a pivot are a cell each, around nothing."""
+    shared = parts.sparkSession.sparkContext.broadcast(pivots)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            vectors = batch.column("vector").to_pylist()
+            cell, angle = np.zeros(len(vectors), np.int32), np.zeros(len(vectors))
+            for rows in by_length(vectors):
+                around = shared.value.get(len(vectors[rows[0]]))
+                if around is not None:
+                    products = unit_matrix([vectors[r] for r in rows]) @ around.T
+                    cell[rows] = products.argmax(axis=1)
+                    angle[rows] = angles(products.max(axis=1))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(cell), pa.array(angle)], names=["node", "part", "vector", "cell", "angle"]
+            )
+
+    return parts.select("node", "part", "vector").mapInArrow(
+        place, "node long, part long, vector binary, cell int, angle double"
+    )
+
+
+def cells_of(rows: DataFrame, pivots: dict[int, np.ndarray], unit_rows: int) -> dict[int, Cells]:
+    """The cells by the length of vectors in bytes, from one summary per cell."""
+    summary = rows.groupBy(F.octet_length("vector").alias("length"), "cell").agg(
+        F.count("*").alias("rows"), F.min("angle").alias("low"), F.max("angle").alias("high")
+    )
+    cells, first = {}, 0
+    for length, group in summary.toPandas().sort_values(["length", "cell"]).groupby("length"):
+        around = pivots.get(int(length), np.zeros((1, int(length) // 8)))
+        counts, low, high = np.zeros(len(around), np.int64), np.zeros(len(around)), np.zeros(len(around))
+        counts[group.cell], low[group.cell], high[group.cell] = group.rows, group.low, group.high
+        units = -(-counts // unit_rows)
+        cells[int(length)] = Cells(around, counts, low, high, units, first + np.cumsum(units) - units)
+        first += int(units.sum())
+    return cells
+
+
+def left_out_links(parts: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
+    """Pairs ``a``, ``b`` of different parts that hold vectors within reach of each other, of all ``node``, ``part``, ``vector``."""
+    total = parts.count()
+    unit_rows = max(LEAST_UNIT, min(MOST_UNIT, total // UNITS))
+    pivots = choose_pivots(parts, max(1, min(MAX_PIVOTS, total // (2 * unit_rows))))
+    rows = kept_table(placed(parts, pivots), "vector-cells")
+    shared = parts.sparkSession.sparkContext.broadcast(cells_of(rows, pivots, unit_rows))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each vector once per unit it must meet; two units meet under the smaller number first."""
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            vectors = batch.column("vector").to_pylist()
+            place, cell = batch.column("place").to_numpy(), batch.column("cell").to_numpy()
+            for of_length in by_length(vectors):
+                cells = shared.value[len(vectors[of_length[0]])]
+                mine = cell[of_length]
+                own = cells.first[mine] + place[of_length] % cells.units[mine]
+                near = cells.near(unit_matrix([vectors[r] for r in of_length]), mine, least)
+                for c in np.flatnonzero(near.any(axis=0)):
+                    chosen = np.flatnonzero(near[:, c])
+                    sent = batch.select(["node", "part", "vector"]).take(pa.array(of_length[chosen]))
+                    for unit in range(cells.first[c], cells.first[c] + cells.units[c]):
+                        i, j = np.minimum(own[chosen], unit), np.maximum(own[chosen], unit)
+                        arrays = [pa.array(i), pa.array(j), pa.array(own[chosen] == i), *sent.columns]
+                        yield pa.RecordBatch.from_arrays(arrays, names=["i", "j", "is_left", "node", "part", "vector"])
+
+    def compare(group: pa.Table) -> pa.Table:
+        is_left, part = group.column("is_left").to_numpy(), group.column("part").to_numpy()
+        left = np.flatnonzero(is_left)
+        # A unit meets itself with one side only.
+        right = left if group.column("i")[0] == group.column("j")[0] else np.flatnonzero(~is_left)
+        pairs = np.zeros((0, 2), np.int64)
+        if len(left) and len(right):
+            unit = unit_matrix(group.column("vector").to_pylist())
+            others, of_others = unit[right], part[right]
+            for start in range(0, len(left), BLOCK):
+                rows = left[start : start + BLOCK]
+                for behind in range(0, len(right), LEAST_UNIT):
+                    a, b = np.nonzero(unit[rows] @ others[behind : behind + LEAST_UNIT].T >= least)
+                    a, b = part[rows][a], of_others[behind : behind + LEAST_UNIT][b]
+                    apart = a != b
+                    found = np.stack([np.minimum(a, b)[apart], np.maximum(a, b)[apart]], axis=1)
+                    if len(found):
+                        pairs = np.unique(np.concatenate([pairs, found]), axis=0)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    place = F.pmod(F.xxhash64("node", F.lit(SEED)), F.lit(2**31))
+    dealt = rows.select("node", "part", "vector", "cell", place.alias("place")).mapInArrow(
+        deal, "i long, j long, is_left boolean, node long, part long, vector binary"
+    )
+    return dealt.groupBy("i", "j").applyInArrow(compare, "a long, b long").distinct()
+
+
 def linked_counts(members: DataFrame, least: float = LEAST_COSINE, block: int = BLOCK) -> DataFrame:
     """Per ``node`` of a component: how many vectors lie within reach, itself and its equals included.
 
@@ -221,6 +372,11 @@ def near_duplicates(
     )
     links = kept_table(pass_links(classes, passes, window, SIGNS, least), "vector-links")
     found = kept_table(components(links), "vector-components")
+    parts = classes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("part"), "vector")
+    left_out = kept_table(left_out_links(kept_table(parts, "vector-parts"), least), "vector-links-left-out")
+    if not left_out.isEmpty():
+        stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = kept_table(components(stars.unionByName(left_out)), "vector-components-joined")
     members = kept_table(classes.join(found, "node"), "vector-members")
     counts = linked_counts(members.select("component", "node", "vector", "copies"), least)
     of_class = (

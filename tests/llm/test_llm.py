@@ -239,6 +239,60 @@ def test_embedding_links_equal_brute_force(spark, monkeypatch):
     assert embed_dedup.near_duplicates(frame.limit(0)).count() == 0
 
 
+def brute_vector_results(vectors):
+    """Per row its links and the smallest row of its component."""
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    component = np.full(len(vectors), -1)
+    for start in range(len(vectors)):
+        todo = [start] if component[start] < 0 else []
+        while todo:
+            row = todo.pop()
+            component[row] = start
+            todo += [x for x in np.flatnonzero(near[row]).tolist() if component[x] < 0]
+    return list(zip(near.sum(axis=1).tolist(), component.tolist(), strict=True))
+
+
+@pytest.mark.parametrize("units", [False, True])
+def test_links_in_a_dense_topic_equal_brute_force(spark, monkeypatch, units):
+    rng = np.random.default_rng(11)
+
+    def around(centre, count, cosine):
+        noise = rng.standard_normal((count, 64))
+        noise -= (noise @ centre)[:, None] * centre
+        noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+        return cosine * centre + np.sqrt(1 - cosine**2) * noise
+
+    topics = np.linalg.qr(rng.standard_normal((64, 2)))[0].T
+    # Members of a topic are no links, at a mutual cosine of about 0.8; the planted pairs are.
+    vectors = np.concatenate([around(topic, count, 0.895) for topic, count in zip(topics, (4000, 500), strict=True)])
+    partners = vectors[::10] + 0.45 * rng.standard_normal((450, 64)) / 8
+    vectors = np.concatenate([vectors, partners, rng.standard_normal((200, 64))]).astype(np.float32).astype(float)
+    if units:
+        monkeypatch.setattr(embed_dedup, "LEAST_UNIT", 200)
+        monkeypatch.setattr(embed_dedup, "MOST_UNIT", 200)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embed_dedup.near_duplicates(frame).collect()}
+    assert [found[i] for i in range(len(vectors))] == brute_vector_results(vectors)
+
+
+def test_cells_near_a_vector_hold_all_within_reach():
+    rng = np.random.default_rng(12)
+    centres = rng.standard_normal((20, 8))
+    vectors = centres[rng.integers(0, 20, 2000)] + 0.25 * rng.standard_normal((2000, 8))
+    unit = embed_dedup.unit_matrix([v.tobytes() for v in vectors])
+    pivots = unit[:25]
+    products = unit @ pivots.T
+    cell, angle = products.argmax(axis=1), embed_dedup.angles(products.max(axis=1))
+    rows = np.bincount(cell, minlength=25)
+    low = np.array([angle[cell == c].min(initial=9) for c in range(25)])
+    high = np.array([angle[cell == c].max(initial=0) for c in range(25)])
+    near = embed_dedup.Cells(pivots, rows, low, high, rows, rows).near(unit, cell, 0.9)
+    a, b = np.nonzero(unit @ unit.T >= 0.9)
+    assert near[a, cell[b]].all() and near.mean() < 0.9
+
+
 def test_large_components_are_counted_in_blocks(spark):
     rng = np.random.default_rng(8)
     base = rng.standard_normal(8)
