@@ -1,9 +1,9 @@
 r"""Signature rules of licenses, in order.
 
-A rule is a label, a priority, a keyword and a regular expression. Expressions are
+A rule is a label, a priority, keywords and a regular expression. Expressions are
 matched against a text's words, each in lower case between two blanks, so `` gnu  general ``
 is two words in a row. They are written with one blank between words. A rule is only tried
-on texts that hold its keyword, which every match of it must contain as a word.
+on texts that hold one of its keywords, of which every match of it must contain one as a word.
 
 Priorities: 3 for identifiers that say exactly which license, 2 for names with a version or a
 clause, 1 for names alone and for typical sentences. Earlier rules win among equal ones.
@@ -17,11 +17,11 @@ from typing import NamedTuple
 class Rule(NamedTuple):
     label: str
     priority: int
-    keyword: str
+    keywords: tuple[str, ...]
     pattern: str
 
 
-# One rule per line: label | priority | keyword | expression over words.
+# One rule per line: label | priority | keywords, parted by commas | expression over words.
 _LINES = r"""
 agpl-3.0|3|spdx|spdx license identifier agpl 3 0( only| or later)?
 agpl-3.0|2|affero|gnu affero general public license( as published by the free software foundation)?( either)? (version|v) 3( 0)?
@@ -102,7 +102,7 @@ bsd-3|2|license|(new|modified|revised) bsd license
 bsd-4|2|license|(original|old) bsd license
 bsd|1|license|bsd (style )?license
 bsd|1|redistribution|redistribution and use in source and binary forms with or without modification are permitted
-bsd-3|2|endorse|neither the name of .{1,120}? may be used to endorse or promote products
+bsd-3|2|endorse|neither the name of( [^ ]++){1,60}? may be used to endorse or promote products
 bsd-4|2|acknowledgement|all advertising materials mentioning features or use of this software must display the following acknowledgement
 mpl-1.0|3|spdx|spdx license identifier mpl 1 0
 mpl-1.1|3|spdx|spdx license identifier mpl 1 1
@@ -186,7 +186,7 @@ ncsa|1|license|(university of illinois )?ncsa( open source)? license
 ntp|1|license|ntp license
 curl|1|license|curl license
 icu|1|license|icu license
-unicode|1|unicode|unicode(s)? (terms of use|license agreement|data files)
+unicode|1|unicode,unicodes|unicode(s)? (terms of use|license agreement|data files)
 ofl-1.1|2|ofl|sil ofl( version)? 1 1
 ofl-1.1|2|license|sil open font license( version)? 1 1
 ofl|1|license|sil open font license
@@ -234,14 +234,14 @@ odc-by-1.0|1|commons|open data commons attribution license
 pddl-1.0|1|pddl|pddl( 1 0)?
 cdla|1|cdla|cdla (permissive|sharing) (1|2) 0
 ogl|1|government|open government licen[cs]e( v[123])?
-openrail|1|openrail|(creativeml )?open ?rail( m| plus plus m)?( license)?
+openrail|1|openrail,rail|(creativeml )?open ?rail( m| plus plus m)?( license)?
 bigscience-rail|1|rail|bigscience (open )?rail( license)?
 llama|1|llama|llama( [2-4])? community license( agreement)?
 gemma|1|gemma|gemma terms of use
 proprietary|1|proprietary|proprietary and confidential
 all-rights-reserved|1|reserved|all rights reserved
 public-domain|1|domain|(released|dedicated|placed) (in|in to|into|to) the public domain
-non-commercial|1|commercial|for non ?commercial (use|purposes) only
+non-commercial|1|commercial,noncommercial|for non ?commercial (use|purposes) only
 """
 
 
@@ -249,8 +249,8 @@ def _rules() -> tuple[Rule, ...]:
     rules = []
     for line in _LINES.strip().splitlines():
         # The expression is the last part, as it may hold the separator.
-        label, priority, keyword, pattern = line.split("|", 3)
-        rules.append(Rule(label, int(priority), keyword, pattern))
+        label, priority, keywords, pattern = line.split("|", 3)
+        rules.append(Rule(label, int(priority), tuple(keywords.split(",")), pattern))
     return tuple(rules)
 
 

@@ -1,7 +1,7 @@
 r"""License scans by ordered signature rules, in built-in functions only.
 
 A text that holds a keyword of any rule is put in order: A-Z in lower case, and its words, runs of
-letters, digits and anything outside ASCII, each between two blanks. Rules whose keyword
+letters, digits and anything outside ASCII, each between two blanks. Rules of which a keyword
 occurs are matched there. Detections of all rules are sorted by start, longer ones first, then by
 priority and rule; one whose interval lies within that of an earlier one of at least
 its priority is suppressed, so `lesser general public license` is not also found as
@@ -77,7 +77,7 @@ def rule_table(rules: Sequence[Rule]) -> Column:
                 F.lit(number).alias("rule"),
                 F.lit(rule.label).alias("label"),
                 F.lit(-rule.priority).alias("low"),
-                F.lit(rule.keyword).alias("keyword"),
+                F.array(*map(F.lit, rule.keywords)).alias("keywords"),
                 F.lit(spaced_pattern(rule.pattern)).alias("pattern"),
             )
             for number, rule in enumerate(rules)
@@ -137,7 +137,7 @@ def counted(text: Column, rules: Sequence[Rule] = RULES) -> Column:
     Lower case beyond A-Z turns word characters into word characters, so it changes no
     count and hides no keyword.
     """
-    keywords = sorted({rule.keyword for rule in rules} | {"license", "cc"})
+    keywords = sorted({word for rule in rules for word in rule.keywords} | {"license", "cc"})
     return let(
         F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)),
         lambda words: F.struct(
@@ -152,7 +152,7 @@ def detected(text: Column, hits: Column, rules: Sequence[Rule] = RULES) -> Colum
     nothing = F.struct(F.lit("").alias("words"), F.array().cast(f"array<{DETECTION}>").alias("found"))
 
     def match(words: Column) -> Column:
-        tried = F.filter(rule_table(rules), lambda rule: F.array_contains(hits, rule["keyword"]))
+        tried = F.filter(rule_table(rules), lambda rule: F.arrays_overlap(hits, rule["keywords"]))
         found = F.flatten(F.transform(tried, lambda rule: rule_detections(words, rule)))
         return F.struct(words.alias("words"), unsuppressed(found).alias("found"))
 

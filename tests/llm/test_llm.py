@@ -204,6 +204,53 @@ def test_license_scan_equals_brute_force(spark):
         assert row["labels"] == ",".join(labels) and (row["score"] > 0) == bool(labels)
 
 
+def branches(tree):
+    """Texts from each branch of a parsed expression; what may repeat occurs as often as it must, and once more."""
+    texts = [""]
+    for kind, value in tree:
+        match str(kind):
+            case "LITERAL":
+                more = [chr(value)]
+            case "NOT_LITERAL":
+                more = ["x"]
+            case "IN":
+                more = [chr(c) for k, v in value for c in ([v] if str(k) == "LITERAL" else range(v[0], v[1] + 1))]
+            case "MAX_REPEAT" | "MIN_REPEAT" | "POSSESSIVE_REPEAT":
+                least, most, part = value
+                more = [text * n for text in branches(part) for n in range(least, min(most, least + 1) + 1)]
+            case "SUBPATTERN":
+                more = branches(value[-1])
+            case "BRANCH":
+                more = [text for part in value[1] for text in branches(part)]
+        texts = [text + end for text in texts for end in dict.fromkeys(more)]
+    return texts
+
+
+def test_every_branch_of_a_license_rule_passes_its_keywords(spark):
+    generated = {
+        rule: [" ".join(t.split()) for t in branches(re._parser.parse(licenses.spaced_pattern(rule.pattern)))]
+        for rule in licenses.RULES
+    }
+    assert [(r.label, t) for r, texts in generated.items() for t in texts if not set(t.split()) & set(r.keywords)] == []
+    texts = sorted({text for texts in generated.values() for text in texts})
+    rows = documents(spark, texts).repartition(8)
+    found = {r["text"]: r["detections"] for r in licenses.scan(rows).collect()}
+    assert [t for t in texts if list(map(tuple, found[t])) != brute_detections(t)] == []
+
+
+def test_names_of_licenses_that_were_left_out(spark):
+    holder = "the University of California, Lawrence Berkeley National Laboratory, U.S. Dept. of Energy"
+    texts = {
+        "CreativeML Open RAIL-M": "openrail",
+        "for noncommercial use only": "non-commercial",
+        "Unicodes Terms of Use": "unicode",
+        f"Neither the name of {holder}, nor the names of its contributors may be used to endorse or promote products": "bsd-3",
+        "neither the name of " + "a " * 61 + "may be used to endorse or promote products": "",
+    }
+    found = licenses.scan(documents(spark, texts)).orderBy("doc_id").collect()
+    assert [r["labels"] for r in found] == list(texts.values())
+
+
 # Vectors
 
 
