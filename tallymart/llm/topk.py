@@ -5,8 +5,8 @@ vectors lie from the pivot at most, and the smallest of these distances. For a c
 of queries with pivot p, radius r and largest length m, and a cell of data with
 pivot c, every inner product of a data vector at distance d from c lies within
 ``p.c - r|c| - m d`` and ``p.c + r|c| + m d``. The lower bounds of all summaries give
-a score that each query of the cell reaches k times; data cells whose upper bound is
-below it are not sent to that cell. What is sent is scored in exact integers, in
+a score that each query of the cell reaches k times, whichever id it leaves out; data cells
+whose upper bound is below it are not sent to that cell. What is sent is scored in exact integers, in
 blocks of bounded size, so neither a large cell nor a large group of equal vectors is
 one task's work; the blocks' best are merged per query.
 
@@ -118,7 +118,8 @@ def needed_pairs(
     """Query cells and the data cells they must see, from the cells' summaries alone.
 
     ``queries`` and ``data`` have ``cell``, ``radius``, ``length`` and ``rows``; ``near`` has each
-    data cell's k + 1 smallest distances, one more as a query may meet itself.
+    data cell's k + 1 smallest distances, one more as a query may meet itself. No two of all these
+    distances may be of rows with the same id, as a query leaves out all rows of its id.
     """
     pairs = []
     lengths = np.sqrt((cells.pivots**2).sum(axis=1))
@@ -128,7 +129,7 @@ def needed_pairs(
         # A little wider than the bounds, against rounding.
         slack = 1e-9 * (1 + np.abs(products) + reach + q.length * (data.radius.max() if len(data) else 0))
         low = np.concatenate(
-            [products[c] - reach[c] - q.length * near[c] - slack[c] for c in data.cell]
+            [products[c] - reach[c] - q.length * near[c] - slack[c] for c in data.cell if c in near]
         )
         floor = np.sort(low)[-(k + 1)] if len(low) > k else -np.inf
         for d in data.itertuples():
@@ -182,8 +183,10 @@ def top_k(
     summary = [F.max("distance").alias("radius"), F.max("length").alias("length"), F.count("*").alias("rows")]
     of_data = rows.groupBy("cell").agg(*summary).toPandas().sort_values("cell")
     of_queries = asking.groupBy("cell").agg(*summary).toPandas().sort_values("cell")
+    # Of rows that repeat an id one counts, so at most one bound is lost to a query's own id.
     closest = Window.partitionBy("cell").orderBy("distance")
-    ranked = rows.select("cell", "distance").withColumn("n", F.row_number().over(closest)).filter(F.col("n") <= k + 1)
+    once = rows.groupBy("vec_id").agg(F.min(F.struct("cell", "distance")).alias("one")).select("one.*")
+    ranked = once.select("cell", "distance").withColumn("n", F.row_number().over(closest)).filter(F.col("n") <= k + 1)
     near = {int(c): g.distance.to_numpy() for c, g in ranked.toPandas().groupby("cell")}
     pairs = needed_pairs(cells, of_queries, of_data, near, k)
     if not pairs:

@@ -366,6 +366,20 @@ def test_top_k_equals_brute_force(spark):
     assert topk.search(frame.limit(0)).count() == 0
 
 
+def test_top_k_of_an_id_repeated_in_a_tight_cell_equals_brute_force(spark):
+    rng = np.random.default_rng(13)
+    centres = rng.standard_normal((64, 16))
+    rows = [(6 * c + i, (centres[c] + 0.01 * rng.standard_normal(16)).tolist()) for c in range(64) for i in range(6)]
+    rows += [(0, (centres[0] + 0.01 * rng.standard_normal(16)).tolist()) for _ in range(19)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = topk.search(frame, every=1000).collect()
+    sound = [(i, np.floor(1024 * np.array(v, np.float32).astype(float)).astype(np.int64)) for i, v in rows]
+    asking = min((v for i, v in sound if i == 0), key=lambda v: v.tobytes())
+    expected = sorted((-int(asking @ v), i) for i, v in sound if i != 0)[:10]
+    mine = sorted((r["rank"], r["vec_id"], r["score"]) for r in found)
+    assert mine == [(n + 1, i, -s) for n, (s, i) in enumerate(expected)]
+
+
 # Texts
 
 
