@@ -18,7 +18,9 @@ Similarities are exact.
 Defined results: words are runs of letters, digits and anything outside ASCII, A-Z in lower
 case. A text of fewer than five words is one run of them; a text that is NULL or has no
 word links with nothing. Rows without an id are in no group and are kept. Repeated rows
-are in one group. Other columns are ignored.
+are in one group. An id that stands on different texts is in the groups of all of them; a group
+has the smallest id of its texts, and of several texts with this id the one with the smallest
+digest is kept, so two groups can have one name. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -158,12 +160,12 @@ def signed(docs: DataFrame) -> DataFrame:
 
 
 def element_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node``, the sorted bytes of its text's elements and their number, for the wanted nodes (``node``, ``digest``)."""
+    """``node``, the sorted bytes of its text's elements and their number, for the wanted nodes (``node``, ``digest``, ``first_id``)."""
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("node"),
+        F.col("doc_id").cast("long").alias("first_id"),
         F.col("text").cast("string").alias("text"),
         F.md5(F.col("text").cast("binary")).alias("digest"),
-    ).join(wanted, ["node", "digest"], "left_semi")
+    ).join(wanted, ["first_id", "digest"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -274,7 +276,7 @@ def compared_blocks(left: DataFrame, parts: DataFrame, sets: DataFrame, least: f
 
 
 def similar_links(docs: DataFrame, classes: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
-    """Links ``a``, ``b`` that unite similar classes (``node``, ``digest``, ``bands``)."""
+    """Links ``a``, ``b`` that unite similar classes (``node``, ``digest``, ``first_id``, ``bands``)."""
     buckets = classes.select("node", F.posexplode("bands").alias("band", "hash"))
     shared = buckets.groupBy("band", "hash").agg(F.min("node").alias("leader"), F.count("*").alias("size"))
     shared = shared.filter(F.col("size") > 1)
@@ -282,7 +284,7 @@ def similar_links(docs: DataFrame, classes: DataFrame, least: float = LEAST_SIMI
         buckets.join(shared, ["band", "hash"]).select("band", "hash", "leader", "node"), "bucket-members"
     )
     members = led.select("band", "hash", "node")
-    wanted = members.select("node").distinct().join(classes.select("node", "digest"), "node")
+    wanted = members.select("node").distinct().join(classes.select("node", "digest", "first_id"), "node")
     sets = kept_table(element_sets(docs, wanted), "element-sets")
 
     to_leader = led.filter(F.col("node") != F.col("leader")).select(F.col("leader").alias("a"), F.col("node").alias("b"))
@@ -298,21 +300,25 @@ def grouped(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
     """``doc_id``, ``group_id`` (the smallest id of its group), ``kept`` and the text's ``digest``, for every row."""
     rows = kept_table(signed(docs), "signed")
     known = rows.filter(F.col("doc_id").isNotNull() & F.col("bands").isNotNull())
-    classes = kept_table(
-        known.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")), "text-classes"
-    )
+    # Ids name no class, as one may stand on different texts; a number is fixed once it is written.
+    texts = known.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"))
+    classes = kept_table(texts.withColumn("node", F.monotonically_increasing_id()), "text-classes")
     links = kept_table(similar_links(docs, classes, least), "similar-links")
-    found = components(links)
-    of_text = classes.join(found, "node", "left").select(
-        F.col("digest").alias("of_digest"), F.coalesce("component", "node").alias("group")
+    united = kept_table(classes.join(components(links), "node").select("digest", "first_id", "component"), "united-texts")
+    chiefs = united.groupBy("component").agg(F.min(F.struct("first_id", "digest")).alias("chief"))
+    alone = classes.join(united.select("digest"), "digest", "left_anti")
+    of_text = (
+        united.join(chiefs, "component")
+        .select("digest", "chief")
+        .unionByName(alone.select("digest", F.struct("first_id", "digest").alias("chief")))
+        .select(F.col("digest").alias("of_digest"), F.col("chief.first_id").alias("group"), F.col("chief.digest").alias("kept_digest"))
     )
     own: Column = F.col("doc_id")
     in_group = F.col("doc_id").isNotNull() & F.col("bands").isNotNull()
     joined = rows.join(of_text, F.when(in_group, F.col("digest")) == F.col("of_digest"), "left")
     group = F.when(in_group, F.col("group")).otherwise(own)
-    return joined.select(
-        "doc_id", group.alias("group_id"), F.coalesce(own == group, F.lit(True)).alias("kept"), "digest"
-    )
+    kept = F.when(in_group, (own == F.col("group")) & (F.col("digest") == F.col("kept_digest"))).otherwise(True)
+    return joined.select("doc_id", group.alias("group_id"), kept.alias("kept"), "digest")
 
 
 def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:

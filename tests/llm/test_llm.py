@@ -413,6 +413,21 @@ def test_minhash_groups_equal_brute_force(spark):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_an_id_on_different_texts_keeps_the_links_of_each(spark):
+    rng = np.random.default_rng(3)
+    one, other, third = (rng.choice([f"w{i}" for i in range(500)], 80).tolist() for _ in range(3))
+    changed = lambda words: " ".join([*words[:-1], "changed"])
+    rows = [
+        (5, " ".join(one)), (5, " ".join(other)), (8, changed(one)), (9, changed(other)),
+        (2, " ".join(third)), (2, changed(third)), (2, changed(third)), (7, "x " + " ".join(third)),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCUMENTS)
+    found = sorted(map(tuple, minhash.near_duplicates(docs).select("doc_id", "group_id").collect()))
+    assert found == [(2, 2), (2, 2), (2, 2), (5, 5), (5, 5), (7, 2), (8, 5), (9, 5)]
+    kept = Counter((r["doc_id"], r["text"]) for r in minhash.one_of_each(docs).collect())
+    assert kept[rows[0]] == kept[rows[1]] == 1 and kept[rows[4]] + kept[rows[5]] == 1 and kept.total() == 3
+
+
 def test_blocks_of_a_bucket_equal_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(4)
     sets = {i: np.unique(np.r_[rng.choice(60, rng.integers(38, 55), replace=False), 100 + i // 9]).astype(np.uint64) for i in range(70)}
