@@ -252,7 +252,9 @@ def train(docs: DataFrame, learn: Column | None = None) -> Network | None:
     names = sorted(row["lang"] for row in languages)
     sample = sample_per_value(known.select("doc_id", "lang").distinct(), "doc_id", "lang", PER_LANGUAGE)
     # The sample has a bounded number of ids and is broadcast; the texts stay where they are.
-    found = sampled_windows(known.join(F.broadcast(sample), ["doc_id", "lang"])).toArrow()
+    rows = known.join(F.broadcast(sample), ["doc_id", "lang"])
+    # Repeated rows of one document count once, by the smallest of their texts, and never reach the driver.
+    found = sampled_windows(rows.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))).toArrow()
     found = found.sort_by([(name, "ascending") for name in ("lang", "doc_id", "k", "window")])
     raw = found.column("window").to_pylist()
     windows = np.zeros((len(raw), WINDOW), np.uint8)

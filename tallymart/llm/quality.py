@@ -208,11 +208,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", learn: Col
     sample = sample_per_value(known, "doc_id", "_label", PER_LABEL)
     # The sample has a bounded number of ids and is broadcast; the texts stay where they are.
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
+    # Repeated rows of one document count once, by the smallest of their texts, and never reach the driver.
+    rows = rows.groupBy("doc_id", "_label").agg(F.min("text").alias("text"))
     found = counted(rows, ["doc_id", "_label"]).toArrow().sort_by([("doc_id", "ascending")])
-    # Repeated rows of one document count once.
-    ids = found.column("doc_id").to_numpy()
-    first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else np.zeros(0, int)
-    found = found.take(pa.array(first))
     counts = np.zeros((found.num_rows, TERMS + 2 * STYLES), np.float32)
     for row, (terms, values) in enumerate(zip(found.column("terms"), found.column("counts"), strict=True)):
         counts[row, np.asarray(terms.values)] = np.asarray(values.values)

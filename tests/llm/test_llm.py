@@ -480,6 +480,20 @@ def test_quality_edge_cases(spark):
     assert quality.accepted(documents(spark, ["a"]), labels.limit(0)).columns == DOCUMENTS.replace(" long", "").replace(" string", "").split(", ")
 
 
+def test_repeated_documents_are_one_row_of_the_training_samples(spark, monkeypatch):
+    monkeypatch.setattr(langid, "STEPS", 5)
+    sizes = []
+    for module, name in ((quality, "counted"), (langid, "sampled_windows")):
+        whole = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda rows, *more, whole=whole: sizes.append(rows.count()) or whole(rows, *more))
+    docs = documents(spark, ["good words", "BAD!! BAD!!", "more words"])
+    docs = docs.unionByName(documents(spark, ["good words"]).crossJoin(spark.range(200)).drop("id"))
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 1)], "doc_id long, quality int")
+    quality.train(docs, labels)
+    langid.train(docs)
+    assert sizes == [3, 3]
+
+
 def test_gradients_equal_differences():
     network = langid.new_network(["a", "b"], units=3, seed=4)
     rng = np.random.default_rng(1)
