@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import bpe, chat, embed_dedup, langid, licenses, minhash, mixing, quality, sharding, topk
+from tallymart.llm import bpe, chat, embed_dedup, langid, licenses, merkle, minhash, mixing, quality, sharding, topk
 from tallymart.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,10 @@ def op10_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read_table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
@@ -67,6 +71,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_license_scan": op8_license_scan,
         "op9_embedding_near_duplicates": op9_embedding_near_duplicates,
         "op10_minhash_near_duplicates": op10_minhash_near_duplicates,
+        "op12_merkle_manifest": op12_merkle_manifest,
     }
 
 
