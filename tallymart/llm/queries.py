@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import bpe, chat, embed_dedup, langid, licenses, merkle, minhash, mixing, quality, sharding, topk
+from tallymart.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    embed_dedup,
+    langid,
+    licenses,
+    merkle,
+    minhash,
+    mixing,
+    quality,
+    sharding,
+    topk,
+)
 from tallymart.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +72,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(read_table(spark, sf_dir, "documents"))
 
 
+def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
@@ -72,6 +89,7 @@ def llm_queries() -> dict[str, Query]:
         "op9_embedding_near_duplicates": op9_embedding_near_duplicates,
         "op10_minhash_near_duplicates": op10_minhash_near_duplicates,
         "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_benchmark_decontamination": op13_benchmark_decontamination,
     }
 
 
@@ -82,4 +100,5 @@ def llm_oracles() -> dict[str, str]:
         "op7_chat_formatting": chat.ORACLE,
         "op9_embedding_near_duplicates": embed_dedup.ORACLE,
         "op10_minhash_near_duplicates": minhash.ORACLE,
+        "op13_benchmark_decontamination": decontaminate.ORACLE,
     }

@@ -19,16 +19,16 @@ for _byte in range(256):
 PRINTED_BYTES = np.where(np.arange(256) > 0x20, np.arange(256), 0).astype(np.uint8)
 
 
-@lru_cache(maxsize=4)
-def _powers(base: int, bits: int) -> np.ndarray:
-    powers = np.full(1 << bits, base, np.uint64)
-    powers[0] = 1
-    return np.multiply.accumulate(powers)
+# Bytes hashed in one go, whatever the length of the texts.
+BYTES_PER_PIECE = 1 << 18
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """The first ``n`` powers modulo 2**64."""
-    return _powers(base, max(16, int(n).bit_length()))[:n]
+@lru_cache(maxsize=2)
+def _powers(base: int) -> np.ndarray:
+    """The first powers modulo 2**64, one for each byte of a piece."""
+    powers = np.full(BYTES_PER_PIECE, base, np.uint64)
+    powers[0] = 1
+    return np.multiply.accumulate(powers)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -59,13 +59,33 @@ def word_starts(parts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(parts: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes, whatever its length and place."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    weighted = _byte_values()[parts]
-    weighted *= powers(FACTOR, len(parts))
-    sums = np.add.reduceat(weighted, starts)
-    return mix(sums * powers(INVERSE, len(parts))[starts])
+    """A 64-bit hash of each word's bytes, whatever its length and place.
+
+    Bytes are weighted by powers that count from the start of their piece, and each word's
+    sum is brought back to powers that count from its own start. A word that is longer than a
+    piece is summed piece by piece.
+    """
+    sums = np.zeros(len(starts), np.uint64)
+    ups, downs, values = _powers(FACTOR), _powers(INVERSE), _byte_values()
+    first = 0
+    while first < len(starts):
+        begin = int(starts[first])
+        last = int(np.searchsorted(starts, begin + BYTES_PER_PIECE, side="left"))
+        end = min(int(starts[last]) if last < len(starts) else len(parts), begin + BYTES_PER_PIECE)
+        inside = starts[first:last] - begin
+        sums[first:last] = np.add.reduceat(values[parts[begin:end]] * ups[: end - begin], inside) * downs[inside]
+        # What is left of the last word, if it reaches beyond the piece.
+        at, scale = end, pow(FACTOR, end - int(starts[last - 1]), 2**64)
+        while at < len(parts) and parts[at - 1] and parts[at] and (last == len(starts) or at < starts[last]):
+            stop = min(at + BYTES_PER_PIECE, int(starts[last]) if last < len(starts) else len(parts))
+            piece = parts[at:stop]
+            gaps = np.flatnonzero(piece == 0)
+            piece = piece[: gaps[0]] if len(gaps) else piece
+            total = int((values[piece] * ups[: len(piece)]).sum(dtype=np.uint64)) * scale % 2**64
+            sums[last - 1 : last] += np.uint64(total)
+            at, scale = at + len(piece), scale * pow(FACTOR, len(piece), 2**64) % 2**64
+        first = last
+    return mix(sums)
 
 
 def owners(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
