@@ -384,3 +384,65 @@ def manifest(docs: DataFrame, levels: int = LEVELS_PER_BLOCK) -> DataFrame:
     )
     above = kept_table(above.select("g", F.lit(0).cast("long").alias("pos"), "path", "subroot", "root"), "paths")
     return folded(rows, tree_paths(sources, above, levels), levels)
+
+
+def _field_sql(value: str) -> str:
+    text = f"CAST({value} AS VARCHAR)"
+    return f"coalesce(concat(strlen({text}), ':', {text}), '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    fields = [_field_sql(name) for name in ("doc_id", "source", "lang", "n_chars")]
+    return f"sha256({' || '.join([*fields, _field_sql(text)])})"
+
+
+# The CRC-32 of a text of digits; 3988292384 and 4294967295 are the fixed values of that code.
+_CRC_SQL = """xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''), lambda c: CAST(ord(c) AS BIGINT))),
+    lambda crc, c: xor(crc >> 8, crc_bytes[1 + (xor(crc, c) & 255)])))"""
+
+ORACLE = f"""
+WITH RECURSIVE crc AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS crc_bytes),
+leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER (ORDER BY source NULLS FIRST, doc_id NULLS FIRST, leaf) AS r,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n
+  FROM (SELECT doc_id, source, {_leaf_sql("text")} AS leaf,
+          CASE WHEN {_CRC_SQL} & 1 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} ELSE {_leaf_sql("text")} END AS replacement
+        FROM documents CROSS JOIN crc)),
+nodes AS (
+  SELECT source, 0 AS level, pos, n, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT source, level + 1, pos // 3, (any_value(n) + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY source, level, pos // 3),
+subroots AS MATERIALIZED (
+  SELECT source, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, pos, n, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 3, (any_value(n) + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM tops WHERE n > 1 GROUP BY level, pos // 3),
+folds AS (
+  SELECT r, source, 0 AS level, pos, replacement AS value, '' AS proof FROM leaves
+  UNION ALL
+  SELECT r, f.source, f.level + 1, f.pos // 3,
+    sha256(string_agg(CASE WHEN s.pos = f.pos THEN value ELSE s.digest END, '' ORDER BY s.pos)),
+    proof || coalesce(string_agg(CASE WHEN s.pos <> f.pos THEN s.digest END, '' ORDER BY s.pos), '')
+  FROM folds f JOIN nodes s ON s.source IS NOT DISTINCT FROM f.source AND s.level = f.level AND s.pos // 3 = f.pos // 3
+  WHERE s.n > 1 GROUP BY r, f.source, f.level, f.pos, value, proof),
+folded AS (
+  SELECT r, 0 AS level, b.pos, b.subroot, f.value, f.proof
+  FROM (SELECT r, source, max_by(value, level) AS value, max_by(proof, level) AS proof FROM folds GROUP BY r, source) f
+  JOIN subroots b ON b.source IS NOT DISTINCT FROM f.source
+  UNION ALL
+  SELECT r, f.level + 1, f.pos // 3, subroot,
+    sha256(string_agg(CASE WHEN s.pos = f.pos THEN value ELSE s.digest END, '' ORDER BY s.pos)),
+    proof || coalesce(string_agg(CASE WHEN s.pos <> f.pos THEN s.digest END, '' ORDER BY s.pos), '')
+  FROM folded f JOIN tops s ON s.level = f.level AND s.pos // 3 = f.pos // 3
+  WHERE s.n > 1 GROUP BY r, f.level, f.pos, subroot, value, proof),
+ends AS (
+  SELECT r, any_value(subroot) AS subroot, max_by(value, level) AS value, max_by(proof, level) AS proof FROM folded GROUP BY r)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, value AS folded_root, value = root AS verified
+FROM leaves JOIN ends USING (r) CROSS JOIN (SELECT digest AS root FROM tops WHERE n = 1)"""

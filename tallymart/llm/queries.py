@@ -16,6 +16,7 @@ from tallymart.llm import (
     merkle,
     minhash,
     mixing,
+    periodic,
     quality,
     sharding,
     topk,
@@ -68,6 +69,10 @@ def op10_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(read_table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(read_table(spark, sf_dir, "documents"))
 
@@ -88,6 +93,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_license_scan": op8_license_scan,
         "op9_embedding_near_duplicates": op9_embedding_near_duplicates,
         "op10_minhash_near_duplicates": op10_minhash_near_duplicates,
+        "op11_periodic_runs": op11_periodic_runs,
         "op12_merkle_manifest": op12_merkle_manifest,
         "op13_benchmark_decontamination": op13_benchmark_decontamination,
     }
@@ -100,5 +106,6 @@ def llm_oracles() -> dict[str, str]:
         "op7_chat_formatting": chat.ORACLE,
         "op9_embedding_near_duplicates": embed_dedup.ORACLE,
         "op10_minhash_near_duplicates": minhash.ORACLE,
+        "op12_merkle_manifest": merkle.ORACLE,
         "op13_benchmark_decontamination": decontaminate.ORACLE,
     }
