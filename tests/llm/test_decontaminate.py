@@ -1,0 +1,139 @@
+"""Decontamination against a search of every document for every window."""
+
+import hashlib
+import re
+import sys
+from pathlib import Path
+
+import numpy as np
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+
+from tallymart.llm import decontaminate, words  # noqa: E402
+
+DOCUMENTS = "doc_id long, text string, segment string, items long, n_words string"
+ITEMS = "item_id string, text string, item string, terms int"
+
+
+def words_of(text):
+    lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+
+
+def windows_of(items, size):
+    found = {}
+    for item_id, text in items:
+        w = words_of(text)
+        m = min(size, len(w))
+        for i in range(len(w) - m + 1 if w else 0):
+            found.setdefault(tuple(w[i : i + m]), set()).add(item_id or "")
+    return found
+
+
+def plain(docs, items, size=10):
+    windows = windows_of(items, size)
+    out = []
+    for doc_id, text in docs:
+        w, hit, ids = words_of(text), set(), set()
+        for m in {len(window) for window in windows}:
+            for i in range(len(w) - m + 1):
+                if tuple(w[i : i + m]) in windows:
+                    hit.update(range(i, i + m))
+                    ids |= windows[tuple(w[i : i + m])]
+        joined = ",".join(sorted(ids, key=str.encode))
+        out.append((doc_id, len(w), len(hit), len(ids), hashlib.sha256(joined.encode()).hexdigest(), bool(hit)))
+    return sorted(out, key=repr)
+
+
+def search(spark, docs, items, size=10):
+    docs = spark.createDataFrame([(*row, "s", 1, "n") for row in docs], DOCUMENTS)
+    items = spark.createDataFrame([(*row, "i", 1) for row in items], ITEMS)
+    return sorted(map(tuple, decontaminate.contamination(docs, items, size).collect()), key=repr)
+
+
+def random_texts(seed, n, most, alphabet="abcd"):
+    rng = np.random.default_rng(seed)
+    return [" ".join(rng.choice(list(alphabet), rng.integers(0, most))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("size", [1, 3, 10])
+def test_hits_equal_brute_force(spark, size):
+    rng = np.random.default_rng(size)
+    letters = "ab" if size == 10 else "abcdefgh"
+    docs = list(enumerate(random_texts(size, 80, 60, letters)))
+    docs += [(100, None), (101, ""), (102, "A, b! \x00 É-é"), (103, "a " * 3000), (3, "a b a b"), (3, "a b a b"), (None, "a b")]
+    items = [(str(int(rng.integers(0, 30))), text) for text in random_texts(size + 50, 40, 14, letters)]
+    items += [("x", None), ("y", " .. "), (None, "a b"), ("é", "É é"), ("é", "É é")]
+    assert search(spark, docs, items, size) == plain(docs, items, size)
+
+
+def test_segments_and_passes_change_nothing(spark, monkeypatch):
+    docs = list(enumerate(random_texts(7, 60, 80, "ab")))
+    items = [(str(i), text) for i, text in enumerate(random_texts(8, 30, 16, "ab"))]
+    monkeypatch.setattr(decontaminate, "BYTES_PER_SEGMENT", 100)
+    monkeypatch.setattr(decontaminate, "WINDOWS_PER_PASS", 20)
+    assert search(spark, docs, items, 10) == plain(docs, items, 10)
+
+
+def test_one_passage_in_all_documents(spark):
+    passage = " ".join(f"w{i}" for i in range(40))
+    docs = [(i, f"before {i} {passage} after") for i in range(300)] + [(900, passage.replace("w20", "x"))]
+    assert search(spark, docs, [("p", passage), ("q", passage)]) == plain(docs, [("p", passage), ("q", passage)])
+
+
+def test_empty_tables(spark):
+    assert search(spark, [], [("a", "b")]) == []
+    assert search(spark, [(1, "b c")], []) == plain([(1, "b c")], [])
+
+
+def test_very_long_text(spark):
+    docs = [(0, "x " * 400_000 + " ".join("abcdefghij") + " y" * 10), (1, "short")]
+    items = [("i", " ".join("abcdefghij"))]
+    assert search(spark, docs, items) == plain(docs, items)
+
+
+def plain_near(text, window, slop):
+    """Per start the earliest end of the window's words in order, if near enough."""
+    w, out = words_of(text), set()
+    for start in range(len(w)):
+        at = start
+        for k, word in enumerate(window):
+            at = start if k == 0 else next((i for i in range(at + 1, len(w)) if w[i] == word), None)
+            if at is None or w[at] != word:
+                break
+        else:
+            if at - start <= len(window) - 1 + slop:
+                out.add((start, at + 1))
+    return out
+
+
+@pytest.mark.parametrize("slop", [1, 3])
+def test_proximity_equals_brute_force(spark, slop):
+    texts = random_texts(slop, 40, 40, "abcde")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(i, text) for i, text in enumerate(["a b c", "d d", "e a", "b"])], "item long, text string")
+    windows = decontaminate.item_windows(items, 3)
+    found = decontaminate.search(decontaminate.build_index(docs), windows, 3, slop).collect()
+    for row in found:
+        expected, ids = set(), []
+        for item in items.collect():
+            near = plain_near(texts[row["doc_id"]], words_of(item["text"]), slop)
+            ids += [item["item"]] * bool(near)
+            expected |= {i for start, stop in near for i in range(start, stop)}
+        assert sorted(row["items"]) == ids
+        assert {i for start, stop in row["spans"] for i in range(start, stop)} == expected
+
+
+def test_hashes_do_not_depend_on_pieces(monkeypatch):
+    """Words longer than a piece, at its border, and at the border of texts."""
+    rng = np.random.default_rng(2)
+    parts = rng.integers(1, 256, 5000).astype(np.uint8)
+    parts[rng.random(5000) < 0.01] = 0
+    ends = np.unique(np.append(rng.integers(0, 5000, 9), 5000))
+    starts = words.word_starts(parts, ends)
+    whole = words.word_hashes(parts, starts)
+    words._powers.cache_clear()
+    monkeypatch.setattr(words, "BYTES_PER_PIECE", 64)
+    assert (words.word_hashes(parts, starts) == whole).all()
+    words._powers.cache_clear()
