@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -28,8 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Code points handled at once; longer texts are handled alone.
-CHARS_PER_BLOCK = 4_000_000
+# Bytes of texts handled at once; longer texts are handled alone.
+BYTES_PER_BLOCK = 1_000_000
+# Ids decoded at once.
+IDS_PER_BLOCK = 1_000_000
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 # What may follow an apostrophe to make a piece of its own.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -142,31 +145,37 @@ def piece_starts(code_points: np.ndarray, text_starts: np.ndarray) -> np.ndarray
     return np.flatnonzero(start)
 
 
+def compact(numbers: np.ndarray) -> array:
+    """Numbers that are read and set one by one, at four bytes each."""
+    return array("i", numbers.astype(np.int32).tobytes())
+
+
 def merge_pieces(data: np.ndarray, offsets: np.ndarray, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all pieces, concatenated, and where each piece's ids start (one more at the end)."""
     n = len(data)
     if not n:
         return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-    symbol = vocab.byte_ids[data].tolist()
+    symbol = compact(vocab.byte_ids[data])
     last = np.zeros(n + 1, bool)
     last[offsets[1:] - 1] = True
     ranks = np.full(n, -1, np.int32)
     if n > 1:  # a single byte has no pair
         ranks[:-1] = np.where(last[: n - 1], -1, vocab.byte_ranks[data[:-1], data[1:]])
     # The index: rank of a pair -> the positions of its left symbols.
-    where: dict[int, list[int]] = {}
-    order = np.argsort(ranks, kind="stable")
+    where: dict[int, array] = {}
+    order = np.argsort(ranks, kind="stable").astype(np.int32)
     sorted_ranks = ranks[order]
     present, begins = np.unique(sorted_ranks, return_index=True)
     for rank, begin, end in zip(present.tolist(), begins.tolist(), [*begins[1:].tolist(), n], strict=True):
         if rank >= 0:
-            where[rank] = order[begin:end].tolist()
+            where[rank] = compact(order[begin:end])
+    del order, sorted_ranks, ranks
     # Linked lists of symbols; -1 ends a piece. A merged right symbol becomes -1.
-    follower = np.arange(1, n + 1)
+    follower = np.arange(1, n + 1, dtype=np.int32)
     follower[last[:n]] = -1
-    leader = np.arange(-1, n - 1)
+    leader = np.arange(-1, n - 1, dtype=np.int32)
     leader[offsets[:-1][offsets[:-1] < n]] = -1
-    follower, leader = follower.tolist(), leader.tolist()
+    follower, leader = compact(follower), compact(leader)
 
     active = list(where)
     heapq.heapify(active)
@@ -176,7 +185,7 @@ def merge_pieces(data: np.ndarray, offsets: np.ndarray, vocab: Vocabulary) -> tu
         positions = where.pop(rank)
         a, b, new = lefts[rank], rights[rank], made[rank]
         if a == b:
-            positions.sort()  # overlapping occurrences are merged from the left
+            positions = sorted(positions)  # overlapping occurrences are merged from the left
         for i in positions:
             j = follower[i]
             if symbol[i] != a or j < 0 or symbol[j] != b:
@@ -190,7 +199,7 @@ def merge_pieces(data: np.ndarray, offsets: np.ndarray, vocab: Vocabulary) -> tu
                     if r in where:
                         where[r].append(i)
                     else:
-                        where[r] = [i]
+                        where[r] = array("i", (i,))
                         heapq.heappush(active, r)
             before = leader[i]
             if before >= 0:
@@ -199,9 +208,9 @@ def merge_pieces(data: np.ndarray, offsets: np.ndarray, vocab: Vocabulary) -> tu
                     if r in where:
                         where[r].append(before)
                     else:
-                        where[r] = [before]
+                        where[r] = array("i", (before,))
                         heapq.heappush(active, r)
-    symbols = np.array(symbol, np.int64)
+    symbols = np.frombuffer(symbol, np.int32)
     alive = symbols >= 0
     counts = np.concatenate([[0], np.cumsum(alive)])
     return symbols[alive].astype(np.uint32), counts[offsets]
@@ -219,8 +228,9 @@ def encode_block(texts: Sequence[str], path: str) -> tuple[np.ndarray, np.ndarra
     part_starts = np.cumsum([0, *map(len, parts)])
     starts = piece_starts(code_points, np.unique(part_starts[:-1]))
     data = joined.encode()
-    width = 1 + (code_points > 0x7F).astype(np.int64) + (code_points > 0x7FF) + (code_points > 0xFFFF)
-    byte_at = np.concatenate([[0], np.cumsum(width)])
+    width = 1 + (code_points > 0x7F).astype(np.uint8) + (code_points > 0x7FF) + (code_points > 0xFFFF)
+    byte_at = np.zeros(len(code_points) + 1, np.int32)
+    np.cumsum(width, out=byte_at[1:])
     if special is not None:
         # Nothing is cut within an added token.
         inside = np.zeros(len(code_points) + 1, bool)
@@ -269,22 +279,26 @@ def split_added(texts: Sequence[str], added: dict[str, int]) -> tuple[list[str],
 
 def decode_ids(ids: np.ndarray, path: str) -> str:
     vocab = vocabulary(path)
-    lengths = vocab.token_lengths[ids]
-    where = flat_ranges(vocab.token_ends[ids] - lengths, lengths)
-    return vocab.token_bytes[where].tobytes().decode("utf-8", "replace")
-
-
-def blocks(batch: pa.RecordBatch, column: str, most: int = CHARS_PER_BLOCK) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of a batch whose texts have at most ``most`` characters together, or one text."""
-    texts = [text or "" for text in batch.column(column).to_pylist()]
-    start = chars = 0
-    for i, text in enumerate(texts):
-        if i > start and chars + len(text) > most:
-            yield batch.slice(start, i - start), texts[start:i]
-            start, chars = i, 0
-        chars += len(text)
-    if start < len(texts):
-        yield batch.slice(start), texts[start:]
+    parts = []
+    for k in range(0, len(ids), IDS_PER_BLOCK):
+        some = ids[k : k + IDS_PER_BLOCK]
+        lengths = vocab.token_lengths[some]
+        parts.append(vocab.token_bytes[flat_ranges(vocab.token_ends[some] - lengths, lengths)].tobytes())
+    return b"".join(parts).decode("utf-8", "replace")
+
+
+def blocks(batch: pa.RecordBatch, column: str, most: int = BYTES_PER_BLOCK) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of a batch whose texts have at most ``most`` bytes together, or one text; NULL is empty.
+
+    Blocks are cut by the lengths alone, so only one block's texts are strings at a time.
+    """
+    texts = batch.column(column).cast(pa.large_string()).fill_null("")
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else []
+    first = 0
+    while first < len(texts):
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + most, side="right")) - 1)
+        yield batch.slice(first, last - first), texts.slice(first, last - first).to_pylist()
+        first = last
 
 
 def encode(

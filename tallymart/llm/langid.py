@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm.quality import text_blocks
-from tallymart.llm.tables import fold_number, sample_per_value
+from tallymart.llm.tables import fold_number, packed, sample_per_value
 
 FOLDS, HELD_OUT_FOLD = 4, 2
 UNDETERMINED = "und"
@@ -306,6 +306,6 @@ def predict(docs: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame) -> DataFrame:
     """The documents whose language is told with some certainty, with all their columns."""
-    found = identify(docs, train(docs, learn=~held_out()), keep=docs.columns)
+    found = identify(packed(docs), train(docs, learn=~held_out()), keep=("row",))
     sure = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
-    return found.filter(sure).select(*docs.columns)
+    return found.filter(sure).select("row.*")

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tallymart.llm import words
 from tallymart.llm.graph import components
 from tallymart.llm.quality import text_blocks
-from tallymart.llm.tables import kept_table
+from tallymart.llm.tables import kept_table, packed
 
 RUN_WORDS = 5
 LEAST_SIMILARITY = 0.8
@@ -332,13 +332,14 @@ def one_of_each(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
     """
     found = kept_table(grouped(docs, least), "grouped")
     stays = found.filter("kept").groupBy("doc_id", "digest").agg(F.count("*").alias("rows"))
-    text_digest = F.md5(F.col("text").cast("string").cast("binary"))
-    same = F.col("doc_id").eqNullSafe(F.col("s_id")) & text_digest.eqNullSafe(F.col("s_digest"))
-    keyed = stays.select(F.col("doc_id").alias("s_id"), F.col("digest").alias("s_digest"), "rows")
-    kept = docs.join(keyed, same)
-    once = kept.filter((F.col("rows") == 1) | F.col("doc_id").isNull()).select(*docs.columns)
-    again = kept.filter((F.col("rows") > 1) & F.col("doc_id").isNotNull()).select(*docs.columns)
-    return once.unionByName(again.dropDuplicates(["doc_id", "text"]))
+    rows = packed(docs).select(
+        "row", F.col("doc_id").alias("id"), F.md5(F.col("text").cast("string").cast("binary")).alias("text_digest")
+    )
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & F.col("text_digest").eqNullSafe(F.col("digest"))
+    kept = rows.join(stays, same)
+    once = kept.filter((F.col("rows") == 1) | F.col("id").isNull())
+    again = kept.filter((F.col("rows") > 1) & F.col("id").isNotNull()).dropDuplicates(["id", "text_digest"])
+    return once.unionByName(again).select("row.*")
 
 
 _CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

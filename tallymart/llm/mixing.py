@@ -302,7 +302,8 @@ def cut_words(text: str, from_words: Sequence[int], n_words: Sequence[int]) -> l
 
 def mixed_texts(docs: DataFrame, mixture: Mixture) -> DataFrame:
     """The mixture as documents: one row per span a slot holds of a document, with the span's
-    text and length in place of the document's, and the columns ``shard`` and ``slot``.
+    text and length in place of the document's, and the columns ``shard`` and ``slot``. Further
+    columns of a document are in the struct ``others``; equal documents have those of any of them.
 
     A document's spans meet its text in one row, so each text moves once. Rows that are
     equal in all columns are one document that is there several times; its spans belong
@@ -315,12 +316,15 @@ def mixed_texts(docs: DataFrame, mixture: Mixture) -> DataFrame:
         )
     )
     columns = [F.col(name) for name in DOCUMENT_COLUMNS]
-    first = docs.select(*columns, F.xxhash64(*columns).alias("digest")).dropDuplicates(key)
+    others = [F.col(f"`{name}`") for name in docs.columns if name not in DOCUMENT_COLUMNS]
+    others = F.struct(*others) if others else F.lit(None).cast("struct<>")
+    first = docs.select(*columns, others.alias("others"), F.xxhash64(*columns).alias("digest")).dropDuplicates(key)
     same = F.col("l.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("l.digest") == F.col("d.digest"))
     rows = first.alias("d").join(listed.alias("l"), same).select(
-        *(F.col(f"d.{name}") for name in DOCUMENT_COLUMNS), "l.held"
+        *(F.col(f"d.{name}") for name in DOCUMENT_COLUMNS), "d.others", "l.held"
     )
-    schema = docs.select(*columns, F.lit(0).cast("long").alias("shard"), F.lit(0).cast("long").alias("slot")).schema
+    spans = (F.lit(0).cast("long").alias("shard"), F.lit(0).cast("long").alias("slot"))
+    schema = rows.select(*DOCUMENT_COLUMNS, "others", *spans).schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

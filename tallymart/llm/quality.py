@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm import words
-from tallymart.llm.tables import fold_number, sample_per_value
+from tallymart.llm.tables import fold_number, packed, sample_per_value
 
 FOLDS, HELD_OUT_FOLD = 5, 0
 PER_LABEL = 1000
@@ -42,7 +42,9 @@ STYLES = 4
 THRESHOLD = 0.3
 # Similarities are raised to this power before they weigh a vote.
 SHARPNESS = 12
-BYTES_PER_BLOCK = 4_000_000
+# Texts whose terms are counted together: bytes, unless one text is longer, and rows of counts.
+BYTES_PER_BLOCK = 1_000_000
+TEXTS_PER_BLOCK = 512
 
 SHAPES = np.zeros(256, np.uint32)
 for _byte in range(256):
@@ -80,7 +82,7 @@ def term_counts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def text_blocks(column: pa.Array, most: int = BYTES_PER_BLOCK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """First and last row, bytes and ends of successive texts of about ``most`` bytes together; NULL is empty."""
+    """First and last row, bytes and ends of successive texts of at most ``most`` bytes together, or of one text; NULL is empty."""
     column = column.cast(pa.large_string()).fill_null("")
     if not len(column):
         return
@@ -89,7 +91,7 @@ def text_blocks(column: pa.Array, most: int = BYTES_PER_BLOCK) -> Iterator[tuple
     first = 0
     while first < len(column):
         last = int(np.searchsorted(offsets, offsets[first] + most, side="right")) - 1
-        last = min(max(last, first + 1), len(column), first + 2048)
+        last = min(max(last, first + 1), len(column), first + TEXTS_PER_BLOCK)
         yield first, last, data[offsets[first] : offsets[last]], offsets[first + 1 : last + 1] - offsets[first]
         first = last
 
@@ -248,4 +250,4 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier accepts, with all their columns."""
     model = train(docs, labels, learn=~held_out())
-    return score(docs, model, keep=docs.columns).filter(F.col("score") >= THRESHOLD).select(*docs.columns)
+    return score(packed(docs), model, keep=("row",)).filter(F.col("score") >= THRESHOLD).select("row.*")

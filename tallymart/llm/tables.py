@@ -28,6 +28,14 @@ def kept_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``row``, all columns of each row as one, beside ``doc_id`` and ``text``; unpacked by ``row.*``.
+
+    So whatever columns a table has, their names clash with none that an operator adds.
+    """
+    return docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"), "doc_id", "text")
+
+
 def fold_number(key: str, folds: int) -> Column:
     """The CRC-32 of an id's text modulo ``folds``; a missing id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % folds

@@ -547,3 +547,23 @@ def test_pipeline_runs_and_stages_keep_their_columns(spark, sf_dir):
     last = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     digests = {hashlib.sha256(r["text"].encode()).hexdigest() for r in docs.select("text").collect()}
     assert {r["decoded_sha256"] for r in last.collect()} == digests
+
+
+def test_no_stage_minds_the_names_of_further_columns(spark, sf_dir):
+    """Columns that are called like what operators add, through all stages; on an empty table too."""
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+
+    names = ["score", "rows", "extra", "_text", "lang_pred", "s_id", "digest", "shard", "others", "row", "Held", "id", "a.b"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = docs.select("*", *(F.concat(F.lit(f"{name} "), "doc_id").alias(name) for name in names))
+    for start in (docs, docs.limit(0)):
+        now = start
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            now = corpus_pipeline.kept_table(stage(spark, now, sf_dir), name)
+            assert now.columns == docs.columns
+        kept = now.select("doc_id", *(F.col(f"`{name}`") for name in names)).collect()
+        assert all(row[1 + k] == f"{name} {row['doc_id']}" for row in kept for k, name in enumerate(names))
+        last = corpus_pipeline.STAGES[-1][1](spark, now, sf_dir)
+        assert last.count() == now.count()
+    assert len(kept) == 0
