@@ -7,6 +7,7 @@ empty table included, and returns their columns; the last one returns encoded te
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallymart.llm import bpe, langid, minhash, mixing, quality
 from tallymart.llm.tables import kept_table, read_table
@@ -33,7 +34,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Spans keep their document's id, language and source. A span that is taken several
     times is there several times.
     """
-    return mixing.mixed_texts(docs, mixing.mix(docs)).select(*docs.columns)
+    mixed = mixing.mixed_texts(docs, mixing.mix(docs))
+    own = mixing.DOCUMENT_COLUMNS
+    return mixed.select(*(F.col(name) if name in own else F.col(f"others.`{name}`") for name in docs.columns))
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
