@@ -28,6 +28,8 @@ from tallymart.sources.files import (
     read_raw_lines,
     scanned_header_lines,
 )
+from tallymart.sources.tables import stage
+from tallymart.workspace import shared_folder
 
 MISSING = "missing_columns"
 DUPLICATE = "duplicate_columns"
@@ -76,6 +78,11 @@ def read_headers(spark: SparkSession, files: DataFrame) -> DataFrame:
     return files.select("file_path").join(scanned_header_lines(spark, paths), "file_path", "left")
 
 
+def stored_headers(gated: DataFrame) -> DataFrame:
+    """Gated headers written once, as several steps ask for them and headers cost a read per file."""
+    return stage(gated, shared_folder(gated.sparkSession, "headers"))
+
+
 def header_groups(gated: DataFrame) -> list[HeaderGroup]:
     """One group per distinct header line.
 

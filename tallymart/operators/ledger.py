@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -21,21 +21,20 @@ def as_utc(moment: dt.datetime) -> dt.datetime:
     return moment if moment.tzinfo else moment.replace(tzinfo=dt.UTC)
 
 
-def ledger_events(files: DataFrame, status: str, event_ts: dt.datetime, run_id: str) -> DataFrame:
+def ledger_events(
+    files: DataFrame, status: str | Column, event_ts: dt.datetime, run_id: str, attempt: int = 0
+) -> DataFrame:
     """One event per file. The full path is the key: names repeat across folders."""
     return files.select(
         "file_path",
         base_name(F.col("file_path")).alias("file_name"),
-        F.lit(status).alias("status"),
+        (F.lit(status) if isinstance(status, str) else status).alias("status"),
         F.timestamp_micros(F.lit(int(as_utc(event_ts).timestamp() * 1_000_000))).alias("event_ts"),
         F.lit(run_id).alias("run_id"),
+        F.lit(attempt).cast("int").alias("attempt"),
     )
 
 
-def path_frame(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return spark.createDataFrame([(path,) for path in paths], "file_path string")
-
-
 def append_events(events: DataFrame, path: str) -> None:
     events.write.mode("append").parquet(path)
 

@@ -41,15 +41,6 @@ def write_partitioned(
     writer.parquet(path)
 
 
-def remove_partitions(spark: SparkSession, path: str, column: str, values: list[str | None]) -> None:
-    """Remove the directories of some values of a partition column, through Spark's own file system."""
-    jvm = spark.sparkContext._jvm
-    for value in values:
-        name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={name}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def epoch_millis(run_ts: dt.datetime) -> int:
     """Whole seconds of the run time, as milliseconds."""
     return int(as_utc(run_ts).timestamp()) * 1000

@@ -1,28 +1,31 @@
-"""One run over the files that wait in a landing folder, from raw CSV to marts.
+"""Runs over the files that wait in a landing folder, from raw CSV to marts.
 
-Everything a run writes lies in its own directories or replaces whole months, so
-a run that died half-way is repeated under its old id and leaves no trace of the
-first attempt. The ledger is closed last.
+A run enters its files, writes everything under its own name, and then makes files,
+totals and months count in one step, by a new snapshot of the store. A run that died is finished
+under its old id by whoever comes next: what its first attempt has written counts for nothing,
+and should that attempt still be alive, its last step fails.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.functions.columns import month_of
-from tallymart.operators import conform, ledger, sinks
-from tallymart.operators.aggregates import monthly_cube
+from tallymart.operators import conform, ledger, sinks, snapshots
+from tallymart.operators.aggregates import monthly_cube, sum_cost
+from tallymart.operators.snapshots import LEASE_SECONDS, Entry, Month, Run, Snapshot
 from tallymart.plans import marts
 from tallymart.schemas import (
     ACTIVE,
     CUSTOMER_MONTH_SCHEMA,
     FACT_COLUMNS,
     INACTIVE,
+    LEDGER_SCHEMA,
     REFUSED,
     REFUSED_SCHEMA,
     SALES_INCENTIVE_SCHEMA,
@@ -30,18 +33,21 @@ from tallymart.schemas import (
     TOTALS_SCHEMA,
 )
 from tallymart.sources.dimensions import Dimensions
-from tallymart.sources.files import NoSalesData, file_inventory, require_files
+from tallymart.sources.files import CSV_SUFFIX, NoSalesData, file_inventory, require_files
 from tallymart.sources.tables import read_parquet
 
-# Takes the refreshed customer and sales marts.
-Export = Callable[[DataFrame, DataFrame], None]
+# Takes the refreshed months of the customer and sales marts, those months, and the run's id.
+Export = Callable[[DataFrame, DataFrame, list[str | None], str], None]
 
 ACCEPTED = "accepted"
 REJECTED = "rejected"
 
-
-# Files an error names.
+# Files an error names, and files of one run: their names pass through the driver, as they do in
+# every reader. A larger backlog becomes several runs.
 NAMED_FILES = 20
+FILES_PER_RUN = 10_000
+# Ledger entries of one level that become one of the next.
+ENTRIES_PER_LEVEL = 16
 
 
 class UnfinishedRun(Exception):
@@ -66,6 +72,10 @@ class Store:
     def refused_files(self) -> str:
         return f"{self.root}/refused_files"
 
+    @property
+    def run_totals(self) -> str:
+        return f"{self.root}/run_totals"
+
     @property
     def totals(self) -> str:
         return f"{self.root}/monthly_totals"
@@ -91,37 +101,72 @@ class Store:
         return f"{self.root}/sales_incentive"
 
 
+def run_folder(folder: str, run_id: str, attempt: int) -> str:
+    """Where one attempt of a run writes; no other attempt does."""
+    return f"{folder}/run_id={run_id}/attempt={attempt}"
+
+
+def read_events(spark: SparkSession, store: Store, snapshot: Snapshot | None = None) -> DataFrame:
+    """The ledger's events as of a snapshot, the newest by default."""
+    entries = (snapshot or snapshots.latest(spark, store.root)).ledger
+    if not entries:
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    paths = [f"{store.ledger}/change={entry.name}" for entry in entries]
+    return spark.read.schema(LEDGER_SCHEMA).option("basePath", store.ledger).parquet(*paths).drop("change")
+
+
+def _of_finished(spark: SparkSession, store: Store, rows: DataFrame, statuses: list[str]) -> DataFrame:
+    """Rows that the attempt has written which finished its run."""
+    finished = read_events(spark, store).filter(F.col("status").isin(statuses)).select("run_id", "attempt").distinct()
+    return rows.join(finished, ["run_id", "attempt"], "left_semi")
+
+
+def read_stored(spark: SparkSession, folder: str, status: str) -> DataFrame:
+    """Rows of one status below a folder of facts; the condition is on a partition column."""
+    return read_parquet(spark, folder, STORED_SCHEMA).filter(F.col("row_status") == status)
+
+
 def read_facts(spark: SparkSession, store: Store, run_id: str | None = None) -> DataFrame:
-    """Accepted facts; both conditions are on partition columns."""
-    stored = read_parquet(spark, store.facts, STORED_SCHEMA).filter(F.col("row_status") == ACCEPTED)
+    """Accepted facts of finished runs."""
+    stored = read_stored(spark, store.facts, ACCEPTED)
     if run_id is not None:
         stored = stored.filter(F.col("run_id") == run_id)
-    return stored.select(*FACT_COLUMNS)
+    return _of_finished(spark, store, stored, [INACTIVE]).select(*FACT_COLUMNS)
+
+
+REJECTED_COLUMNS = ("file_path", "failed_columns", "raw_row", "run_id")
 
 
 def read_rejected_rows(spark: SparkSession, store: Store) -> DataFrame:
-    stored = read_parquet(spark, store.facts, STORED_SCHEMA).filter(F.col("row_status") == REJECTED)
-    return stored.select("file_path", "failed_columns", "raw_row", "run_id")
+    """Rows of finished runs that could not be read."""
+    return _of_finished(spark, store, read_stored(spark, store.facts, REJECTED), [INACTIVE]).select(*REJECTED_COLUMNS)
 
 
 def read_refused_lines(spark: SparkSession, store: Store) -> DataFrame:
-    return read_parquet(spark, store.refused_files, f"{REFUSED_SCHEMA}, run_id string")
+    """Lines of the files that finished runs have refused."""
+    lines = read_parquet(spark, store.refused_files, f"{REFUSED_SCHEMA}, run_id string, attempt int")
+    return _of_finished(spark, store, lines, [REFUSED]).drop("attempt")
 
 
 def read_customer_monthly(spark: SparkSession, store: Store) -> DataFrame:
-    return read_parquet(spark, store.customer_monthly, CUSTOMER_MONTH_SCHEMA)
+    months = snapshots.latest(spark, store.root).months
+    names = {month: entry.customers for month, entry in months.items()}
+    return snapshots.read_months(spark, store.customer_monthly, names, "sales_date_month", CUSTOMER_MONTH_SCHEMA)
 
 
 def read_sales_incentive(spark: SparkSession, store: Store) -> DataFrame:
-    return read_parquet(spark, store.sales_incentive, SALES_INCENTIVE_SCHEMA)
+    months = snapshots.latest(spark, store.root).months
+    names = {month: entry.sellers for month, entry in months.items()}
+    return snapshots.read_months(spark, store.sales_incentive, names, "sales_month", SALES_INCENTIVE_SCHEMA)
 
 
-def ingest(
-    spark: SparkSession,
-    groups: list[conform.HeaderGroup],
-    store: Store,
-    run_id: str,
-) -> None:
+def read_totals(spark: SparkSession, store: Store, snapshot: Snapshot, months: list[str | None]) -> DataFrame:
+    """The additive totals of some months: one directory each, however many runs they come from."""
+    names = {month: snapshot.months[month].totals for month in months if month in snapshot.months}
+    return snapshots.read_months(spark, store.totals, names, "sales_month", TOTALS_SCHEMA)
+
+
+def ingest(spark: SparkSession, groups: list[conform.HeaderGroup], folder: str) -> None:
     """Accepted files to typed rows, sound and failed ones in one pass over the text.
 
     No shuffle: a daily file holds few months, so its tasks write few files.
@@ -133,12 +178,11 @@ def ingest(
             "sales_month": month_of(F.col("sales_date")),
         }
     )
-    sinks.write_partitioned(rows, f"{store.facts}/run_id={run_id}", ["row_status", "sales_month"], gather=False)
+    sinks.write_partitioned(rows, folder, ["row_status", "sales_month"], gather=False)
 
 
-def refuse(spark: SparkSession, groups: list[conform.HeaderGroup], store: Store, run_id: str) -> None:
-    lines = conform.refused_lines(spark, groups)
-    sinks.write_partitioned(lines, f"{store.refused_files}/run_id={run_id}", ["reason"], gather=False)
+def refuse(spark: SparkSession, groups: list[conform.HeaderGroup], folder: str) -> None:
+    sinks.write_partitioned(conform.refused_lines(spark, groups), folder, ["reason"], gather=False)
 
 
 def publish_rows(
@@ -154,50 +198,248 @@ def publish_rows(
     sinks.publish_version(copy, store.sales_by_month_and_store, run_ts, columns, run_id)
 
 
-def add_totals(facts: DataFrame, store: Store, run_id: str) -> None:
-    path = f"{store.totals}/run_id={run_id}"
-    sinks.write_partitioned(monthly_cube(facts), path, ["sales_month"])
-
-
-def touched_months(spark: SparkSession, store: Store, run_id: str) -> list[str | None]:
-    """Months of one run: partition names, no more than the calendar has."""
-    totals = read_parquet(spark, store.totals, TOTALS_SCHEMA).filter(F.col("run_id") == run_id)
-    return [row["sales_month"] for row in totals.select("sales_month").distinct().collect()]
-
-
 def in_months(column: str, months: list[str | None]) -> Column:
     """A condition on partition values only, with sales of no date as a month of their own."""
     named = F.col(column).isin([month for month in months if month is not None])
     return named | F.col(column).isNull() if None in months else named
 
 
+def write_marts(
+    spark: SparkSession, store: Store, dimensions: Dimensions, totals: DataFrame, name: str
+) -> tuple[set[str | None], set[str | None]]:
+    """Both monthly marts of some totals as new directories; the months that have rows in each."""
+    customers = marts.customer_monthly(totals, dimensions)
+    sellers = marts.sales_incentive(totals, dimensions)
+    return (
+        set(snapshots.write_months(customers, store.customer_monthly, name, "sales_date_month")),
+        set(snapshots.write_months(sellers, store.sales_incentive, name, "sales_month")),
+    )
+
+
 def refresh_months(
     spark: SparkSession,
     store: Store,
     dimensions: Dimensions,
     months: list[str | None] | None = None,
 ) -> None:
-    """Recompute both monthly marts for some months, from the totals of all runs.
+    """Recompute both monthly marts for some months, or all, as after a change of the dimensions.
 
-    A late file changes its month's totals, ranks and incentives; the month is
-    replaced as a whole and the other months are not read. Without months both
-    marts are rebuilt, as after a change of the dimensions.
+    The new months take the place of the old ones in one step. A month whose totals
+    another run has changed meanwhile is computed again.
     """
-    rows = read_parquet(spark, store.totals, TOTALS_SCHEMA)
-    if months is not None:
-        if not months:
+    while True:
+        base = snapshots.latest(spark, store.root)
+        chosen = [month for month in base.months if months is None or month in months]
+        if not chosen:
             return
-        rows = rows.filter(in_months("sales_month", months))
-    outputs = {
-        store.customer_monthly: (marts.customer_monthly(rows, dimensions), "sales_date_month"),
-        store.sales_incentive: (marts.sales_incentive(rows, dimensions), "sales_month"),
-    }
-    for path, (mart, month) in outputs.items():
-        if months is not None:
-            # Replacing touched partitions leaves alone those the new rows lack, so a month that
-            # has become empty, as when its customers left, is taken out first.
-            sinks.remove_partitions(spark, path, month, months)
-        sinks.write_partitioned(mart, path, [month], replace_touched=months is not None)
+        name = snapshots.new_name()
+        customers, sellers = write_marts(spark, store, dimensions, read_totals(spark, store, base, chosen), name)
+        new = {
+            month: replace(
+                base.months[month],
+                customers=name if month in customers else None,
+                sellers=name if month in sellers else None,
+            )
+            for month in chosen
+        }
+        if _committed(spark, store, base, chosen, lambda now, new=new: replace(now, months=now.months | new)):
+            return
+
+
+def _committed(
+    spark: SparkSession,
+    store: Store,
+    base: Snapshot,
+    months: list[str | None],
+    update: Callable[[Snapshot], Snapshot],
+) -> bool:
+    """Apply an update that was computed from ``base``; False if its months have changed since."""
+    now = base
+    while True:
+        if any(now.months.get(month) != base.months.get(month) for month in months):
+            return False
+        if snapshots.commit(spark, store.root, now, update(now)):
+            return True
+        now = snapshots.latest(spark, store.root)
+
+
+@dataclass(frozen=True)
+class Claim:
+    """An attempt at a run, which no other process has."""
+
+    run_id: str
+    attempt: int
+    started: dt.datetime
+
+
+def write_events(events: DataFrame, store: Store) -> Entry:
+    """Events as a directory of its own, which counts once a snapshot names it."""
+    entry = Entry(snapshots.new_name())
+    events.write.parquet(f"{store.ledger}/change={entry.name}")
+    return entry
+
+
+def enter(
+    spark: SparkSession, store: Store, files: DataFrame, run_id: str, run_ts: dt.datetime
+) -> Claim | None:
+    """Enter files for a new run; None if there are none that are not entered yet.
+
+    Files that any run has entered, be it a batch or a stream, are that run's and are left out.
+    Of two processes that want the same files, one sees what the other has entered.
+    """
+    started = ledger.as_utc(run_ts)
+    claim = Claim(run_id, 0, started)
+    while True:
+        base = snapshots.latest(spark, store.root)
+        entered = read_events(spark, store, base).select("file_path")
+        mine = files.select("file_path").join(entered, "file_path", "left_anti").distinct()
+        entry = write_events(ledger.ledger_events(mine, ACTIVE, started, run_id), store)
+        written = spark.read.schema(LEDGER_SCHEMA).parquet(f"{store.ledger}/change={entry.name}")
+        if written.isEmpty():
+            return None
+        if run_id in base.runs:
+            raise UnfinishedRun(f"run {run_id} has not finished")
+        run = Run(0, int(started.timestamp() * 1_000_000))
+        snapshots.sign(spark, store.root, run_id, 0)
+        new = replace(base, ledger=[*base.ledger, entry], runs=base.runs | {run_id: run})
+        if snapshots.commit(spark, store.root, base, new):
+            return claim
+
+
+def take_over(spark: SparkSession, store: Store, run_id: str) -> Claim | None:
+    """The next attempt at a run that is open and whose owner gives no sign of life, else None."""
+    while True:
+        base = snapshots.latest(spark, store.root)
+        run = base.runs.get(run_id)
+        if run is None or snapshots.is_alive(spark, store.root, run_id, run.attempt):
+            return None
+        new = replace(base, runs=base.runs | {run_id: replace(run, attempt=run.attempt + 1)})
+        snapshots.sign(spark, store.root, run_id, run.attempt + 1)
+        if snapshots.commit(spark, store.root, base, new):
+            started = dt.datetime.fromtimestamp(run.started_us / 1_000_000, dt.UTC)
+            return Claim(run_id, run.attempt + 1, started)
+
+
+def compact_ledger(spark: SparkSession, store: Store) -> None:
+    """Make one entry of many, so that the ledger is read from few directories however many runs there were."""
+    while True:
+        base = snapshots.latest(spark, store.root)
+        levels = {entry.level for entry in base.ledger}
+        full = [level for level in levels if sum(e.level == level for e in base.ledger) >= ENTRIES_PER_LEVEL]
+        if not full:
+            return
+        level = min(full)
+        merged = [entry for entry in base.ledger if entry.level == level]
+        events = read_events(spark, store, replace(base, ledger=merged))
+        entry = replace(write_events(events.coalesce(1 + level), store), level=level + 1)
+        rest = [e for e in base.ledger if e.level != level]
+        if not snapshots.commit(spark, store.root, base, replace(base, ledger=[*rest, entry])):
+            continue
+
+
+def _finished_events(files: DataFrame, claim: Claim, statuses: Column) -> DataFrame:
+    """Closing events carry the time of closing, which is not before the start."""
+    now = max(dt.datetime.now(dt.UTC), claim.started)
+    return ledger.ledger_events(files, statuses, now, claim.run_id, claim.attempt)
+
+
+def count_run(
+    spark: SparkSession, store: Store, claim: Claim, totals: DataFrame, dimensions: Dimensions, events: DataFrame
+) -> list[str | None]:
+    """Add a run's totals to those of its months, replace these months, and finish its files, in one step.
+
+    Months are partition names, no more than the calendar has. If another run has changed one
+    of them since they were read, they are read and computed again.
+    """
+    months = [row["sales_month"] for row in totals.select("sales_month").distinct().collect()]
+    entry = write_events(events, store)
+    while True:
+        base = snapshots.latest(spark, store.root)
+        snapshots.own_run(base, claim.run_id, claim.attempt)
+        name = snapshots.new_name()
+        before = read_totals(spark, store, base, months)
+        keys = ["customer_id", "store_id", "sales_person_id", "sales_month"]
+        sums = sum_cost(before.unionByName(totals), keys, "total_cost")
+        snapshots.write_months(sums, store.totals, name, "sales_month")
+        known = snapshots.read_months(spark, store.totals, dict.fromkeys(months, name), "sales_month", TOTALS_SCHEMA)
+        customers, sellers = write_marts(spark, store, dimensions, known, name) if months else (set(), set())
+        new = {
+            month: Month(name, name if month in customers else None, name if month in sellers else None)
+            for month in months
+        }
+
+        def counted(now: Snapshot, new=new) -> Snapshot:
+            run = snapshots.own_run(now, claim.run_id, claim.attempt)
+            runs = now.runs | {claim.run_id: replace(run, months=months)}
+            return replace(now, months=now.months | new, ledger=[*now.ledger, entry], runs=runs)
+
+        if _committed(spark, store, base, months, counted):
+            return months
+
+
+def work_off(
+    spark: SparkSession,
+    store: Store,
+    claim: Claim,
+    load_dimensions: Callable[[], Dimensions],
+    *,
+    publish: bool = True,
+    export: Export | None = None,
+    lease: float = LEASE_SECONDS,
+) -> None:
+    """Take the files of a run through all steps. A run that counts already is only exported."""
+
+    def close(now: Snapshot) -> Snapshot:
+        snapshots.own_run(now, claim.run_id, claim.attempt)
+        return replace(now, runs={name: run for name, run in now.runs.items() if name != claim.run_id})
+
+    with snapshots.alive(spark, store.root, claim.run_id, claim.attempt, lease):
+        run = snapshots.own_run(snapshots.latest(spark, store.root), claim.run_id, claim.attempt)
+        months = run.months
+        if months is None:
+            months = _count_files(spark, store, claim, load_dimensions, publish)
+        if months is None:
+            snapshots.change(spark, store.root, close)
+            raise NoSalesData("every file was refused")
+        if export is not None and months:
+            export(
+                read_customer_monthly(spark, store).filter(in_months("sales_date_month", months)),
+                read_sales_incentive(spark, store).filter(in_months("sales_month", months)),
+                months,
+                claim.run_id,
+            )
+        snapshots.change(spark, store.root, close)
+    compact_ledger(spark, store)
+
+
+def _count_files(
+    spark: SparkSession, store: Store, claim: Claim, load_dimensions: Callable[[], Dimensions], publish: bool
+) -> list[str | None] | None:
+    """Make the files of a run count; the months it has touched, or None if all its files were refused."""
+    events = read_events(spark, store)
+    files = events.filter((F.col("run_id") == claim.run_id) & (F.col("status") == ACTIVE)).select("file_path")
+    csv = F.col("file_path").endswith(CSV_SUFFIX)
+    gated = conform.stored_headers(conform.gate_headers(conform.read_headers(spark, files.filter(csv))))
+    groups = conform.header_groups(gated)
+    status = F.when(F.col("reason").isNull(), F.lit(INACTIVE)).otherwise(F.lit(REFUSED))
+    named = gated.select("file_path", status.alias("status"))
+    others = files.filter(~csv).select("file_path", F.lit(REFUSED).alias("status"))
+    closing = _finished_events(named.unionByName(others), claim, F.col("status"))
+    if any(group.reason is not None for group in groups):
+        refuse(spark, groups, run_folder(store.refused_files, claim.run_id, claim.attempt))
+    if all(group.reason is not None for group in groups):
+        entry = write_events(closing, store)
+        snapshots.change(spark, store.root, lambda now: replace(now, ledger=[*now.ledger, entry]))
+        return None
+    facts_folder = run_folder(store.facts, claim.run_id, claim.attempt)
+    ingest(spark, groups, facts_folder)
+    dimensions = load_dimensions()
+    facts = read_stored(spark, facts_folder, ACCEPTED).select(*FACT_COLUMNS)
+    if publish:
+        publish_rows(facts, dimensions, store, claim.started, claim.run_id)
+    path = run_folder(store.run_totals, claim.run_id, claim.attempt)
+    sinks.write_partitioned(monthly_cube(facts), path, ["sales_month"])
+    return count_run(spark, store, claim, read_parquet(spark, path, TOTALS_SCHEMA), dimensions, closing)
 
 
 def process_files(
@@ -207,51 +449,57 @@ def process_files(
     load_dimensions: Callable[[], Dimensions],
     run_id: str,
     run_ts: dt.datetime,
+    **options,
+) -> bool:
+    """Take files through a whole run; False if none is left to be entered.
+
+    The set is fixed when it is entered: files that arrive later belong to the next run.
+    A run of this id that is open and has no live owner is finished with the files it has.
+    """
+    again = take_over(spark, store, run_id)
+    if again is not None:
+        work_off(spark, store, again, load_dimensions, **options)
+    claim = None if again is not None else enter(spark, store, files, run_id, run_ts)
+    if claim is not None:
+        work_off(spark, store, claim, load_dimensions, **options)
+    return again is not None or claim is not None
+
+
+def finish_open_runs(
+    spark: SparkSession,
+    store: Store,
+    load_dimensions: Callable[[], Dimensions],
     *,
-    publish: bool = True,
-    export: Export | None = None,
+    resume: bool = True,
+    **options,
 ) -> None:
-    """Take a set of CSV files through the whole run; nothing to do for an empty set.
+    """Finish runs that died, oldest first; those of live owners are left to them.
 
-    The set is fixed by the one listing behind the headers: files that arrive
-    later belong to the next run. All of them are entered as started before
-    anything is written, so that a repeated run takes the same files. Files that
-    another run has entered, be it a batch or a stream, are that run's and are left out.
+    With ``resume=False`` a run that died is an error.
     """
-    entered = ledger.latest_status(ledger.read_ledger(spark, store.ledger))
-    others = entered.filter(F.col("run_id") != run_id).select("file_path")
-    files = files.join(others, "file_path", "left_anti")
-    groups = conform.header_groups(conform.gate_headers(conform.read_headers(spark, files)))
-    accepted = [path for group in groups if group.reason is None for path in group.paths]
-    refused = [path for group in groups if group.reason is not None for path in group.paths]
-    if not groups:
-        return
-
-    def enter(paths: list[str], status: str) -> None:
-        named = ledger.path_frame(spark, paths)
-        ledger.append_events(ledger.ledger_events(named, status, run_ts, run_id), store.ledger)
-
-    enter(accepted + refused, ACTIVE)
-    if refused:
-        refuse(spark, groups, store, run_id)
-        enter(refused, REFUSED)
-    if not accepted:
-        raise NoSalesData("every file was refused")
-
-    ingest(spark, groups, store, run_id)
-    dimensions = load_dimensions()
-    facts = read_facts(spark, store, run_id)
-    if publish:
-        publish_rows(facts, dimensions, store, run_ts, run_id)
-    add_totals(facts, store, run_id)
-    months = touched_months(spark, store, run_id)
-    refresh_months(spark, store, dimensions, months)
-    if export is not None and months:
-        export(
-            read_customer_monthly(spark, store).filter(in_months("sales_date_month", months)),
-            read_sales_incentive(spark, store).filter(in_months("sales_month", months)),
-        )
-    enter(accepted, INACTIVE)
+    runs = snapshots.latest(spark, store.root).runs
+    for run_id in sorted(runs, key=lambda name: (runs[name].started_us, name)):
+        if not resume and not snapshots.is_alive(spark, store.root, run_id, runs[run_id].attempt):
+            raise UnfinishedRun(f"run {run_id} did not finish")
+        claim = take_over(spark, store, run_id)
+        if claim is None:
+            continue
+        try:
+            work_off(spark, store, claim, load_dimensions, **options)
+        except NoSalesData:
+            # Refusing its files finishes it, too; the error was the run's own.
+            continue
+
+
+def require_open_files(spark: SparkSession, store: Store, inventory: DataFrame) -> None:
+    """Files of runs that do not count yet must still be there: a repeated run would lack their rows."""
+    base = snapshots.latest(spark, store.root)
+    uncounted = [name for name, run in base.runs.items() if run.months is None]
+    events = read_events(spark, store, base).filter(F.col("run_id").isin(uncounted))
+    gone = ledger.vanished_files(inventory, events).limit(NAMED_FILES).collect()
+    if gone:
+        named = ", ".join(f"{row['file_path']} of run {row['run_id']}" for row in gone)
+        raise UnfinishedRun(f"files of an unfinished run have gone: {named}")
 
 
 def daily_run(
@@ -263,31 +511,41 @@ def daily_run(
     run_ts: dt.datetime,
     *,
     resume: bool = True,
-    export: Export | None = None,
+    files_per_run: int = FILES_PER_RUN,
+    **options,
 ) -> None:
-    """Finish what earlier runs left open, then process the files not yet done.
+    """Finish what died, then process the files not yet entered; ``options`` as for ``work_off``.
 
-    With ``resume=False`` an unfinished run is an error and nothing is processed.
-    ``export`` gets the two monthly marts for the months a run has touched, for
-    instance to write them to a database; if it fails, the run stays open.
+    A backlog of more than ``files_per_run`` files becomes several runs, named by number behind
+    the first; none is left out. Files that are not CSV are entered and refused. ``export`` gets the
+    refreshed months; if it fails, the run stays open and the next one exports it again.
     """
     inventory = file_inventory(spark, landing)
     require_files(inventory)
-    files = inventory.filter("is_csv")
-    events = ledger.read_ledger(spark, store.ledger)
-    gone = ledger.vanished_files(files, events).limit(NAMED_FILES).collect()
-    if gone:
-        # A repeated run would replace its rows without theirs.
-        named = ", ".join(f"{row['file_path']} of run {row['run_id']}" for row in gone)
-        raise UnfinishedRun(f"files of an unfinished run have gone: {named}")
-    left_open = ledger.open_files(files, events)
-    runs = left_open.groupBy("run_id").agg(F.unix_micros(F.min("event_ts")).alias("started"))
-    for run in runs.orderBy("started", "run_id").collect():
-        if not resume:
-            raise UnfinishedRun(f"run {run['run_id']} did not finish")
-        # Under its own id and time, its output takes the place of the first attempt's.
-        started = dt.datetime.fromtimestamp(run["started"] / 1_000_000, dt.UTC)
-        again = left_open.filter(F.col("run_id") == run["run_id"])
-        process_files(spark, again, store, load_dimensions, run["run_id"], started, export=export)
-    pending = ledger.pending_files(files, ledger.read_ledger(spark, store.ledger))
-    process_files(spark, pending, store, load_dimensions, run_id, run_ts, export=export)
+    require_open_files(spark, store, inventory)
+    finish_open_runs(spark, store, load_dimensions, resume=resume, **options)
+    part, refused = 0, False
+    while True:
+        entered = read_events(spark, store).select("file_path")
+        pending = inventory.join(entered, "file_path", "left_anti").limit(files_per_run)
+        name = f"{run_id}-{part:05d}" if part else run_id
+        try:
+            if not process_files(spark, pending, store, load_dimensions, name, run_ts, **options):
+                break
+            refused = False
+        except NoSalesData:
+            refused = refused or part == 0
+        part += 1
+    if refused:
+        raise NoSalesData("every file was refused")
+
+
+def clean(spark: SparkSession, store: Store, seconds: float = snapshots.KEPT_SECONDS) -> list[str]:
+    """Remove directories that no kept snapshot names, such as those of months since replaced."""
+    folders = {
+        "ledger": store.ledger,
+        "totals": store.totals,
+        "customers": store.customer_monthly,
+        "sellers": store.sales_incentive,
+    }
+    return snapshots.clean(spark, store.root, folders, seconds)

@@ -14,7 +14,7 @@ from tallymart.operators import conform, ledger, sinks
 from tallymart.operators.aggregates import attach_group_sum, sum_cost, with_month
 from tallymart.operators.joins import add_dimension, enrich
 from tallymart.plans import daily_run, marts
-from tallymart.schemas import ACTIVE, FACT_COLUMNS, INACTIVE, MANDATORY_COLUMNS
+from tallymart.schemas import ACTIVE, FACT_COLUMNS, INACTIVE, MANDATORY_COLUMNS, REFUSED_SCHEMA
 from tallymart.sources import files as raw_files
 from tallymart.sources import standin
 from tallymart.sources.dimensions import Dimension, Dimensions
@@ -325,19 +325,19 @@ def union_files(spark, sf_dir):
 
 @query
 def ingest_sales(spark, sf_dir):
-    store = daily_run.Store(shared_folder(spark, "ingest"))
-    daily_run.ingest(spark, _groups(spark, sf_dir), store, "run-1")
-    return daily_run.read_facts(spark, store, "run-1")
+    folder = shared_folder(spark, "ingest")
+    daily_run.ingest(spark, _groups(spark, sf_dir), folder)
+    return daily_run.read_stored(spark, folder, daily_run.ACCEPTED).select(*FACT_COLUMNS)
 
 
 @query
 def quarantine_rows(spark, sf_dir):
     """Rows with a field that could not be read, and every line of the refused files."""
-    store = daily_run.Store(shared_folder(spark, "quarantine"))
+    folder = shared_folder(spark, "quarantine")
     groups = _groups(spark, sf_dir)
-    daily_run.ingest(spark, groups, store, "run-1")
-    daily_run.refuse(spark, groups, store, "run-1")
-    rows = daily_run.read_rejected_rows(spark, store).select(
+    daily_run.ingest(spark, groups, f"{folder}/rows")
+    daily_run.refuse(spark, groups, f"{folder}/files")
+    rows = daily_run.read_stored(spark, f"{folder}/rows", daily_run.REJECTED).select(
         _feed("file_path"),
         F.lit("unreadable_fields").alias("reason"),
         F.array_join("failed_columns", "|").alias("columns"),
@@ -345,7 +345,7 @@ def quarantine_rows(spark, sf_dir):
     )
     header = ",".join(name for name in MANDATORY_COLUMNS if name != "store_id") + ",payment_mode"
     lines = (
-        daily_run.read_refused_lines(spark, store)
+        read_parquet(spark, f"{folder}/files", REFUSED_SCHEMA)
         .filter(F.col("raw_line") != header)
         .select(
             _feed("file_path"),

@@ -39,7 +39,7 @@ FACT_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in FACT_TYPES.items())
 # A typed row, its file, and why it was refused if it was.
 CONFORMED_SCHEMA = f"{FACT_SCHEMA}, file_path string, failed_columns array<string>, raw_row string"
 
-STORED_SCHEMA = f"{CONFORMED_SCHEMA}, run_id string, row_status string, sales_month string"
+STORED_SCHEMA = f"{CONFORMED_SCHEMA}, run_id string, attempt int, row_status string, sales_month string"
 
 # Raw lines of refused files.
 REFUSED_SCHEMA = "raw_line string, file_path string, missing_columns array<string>, reason string"
@@ -47,7 +47,7 @@ REFUSED_SCHEMA = "raw_line string, file_path string, missing_columns array<strin
 # Pre-aggregated sales, the additive input of both monthly marts.
 TOTALS_SCHEMA = (
     f"customer_id bigint, store_id bigint, sales_person_id bigint, total_cost {MONEY}"
-    ", run_id string, sales_month string"
+    ", sales_month string"
 )
 
 CUSTOMER_MONTH_SCHEMA = (
@@ -60,7 +60,7 @@ SALES_INCENTIVE_SCHEMA = (
     ", sales_month string"
 )
 
-LEDGER_SCHEMA = "file_path string, file_name string, status string, event_ts timestamp, run_id string"
+LEDGER_SCHEMA = "file_path string, file_name string, status string, event_ts timestamp, run_id string, attempt int"
 
 # Ledger states. A and I. E marks files refused by the header gate.
 ACTIVE = "A"

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallymart.plans.daily_run import Export, Store, process_files
+from tallymart.operators.snapshots import LEASE_SECONDS
+from tallymart.plans.daily_run import Export, Store, finish_open_runs, process_files
 from tallymart.sources.dimensions import Dimensions
 from tallymart.sources.files import LISTING_SCHEMA, NoSalesData, describe_files
 
@@ -34,7 +35,6 @@ def new_files(
         spark.readStream.format("binaryFile")
         .schema(LISTING_SCHEMA)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", files_per_batch)
         .option("maxFileAge", MAX_FILE_AGE)
     )
@@ -55,36 +55,35 @@ def start_sales_stream(
     archive: str | None = None,
     publish: bool = False,
     export: Export | None = None,
+    lease: float = LEASE_SECONDS,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Keep facts and marts up to date with the files that arrive.
 
     A batch may be delivered twice. Its number and its files name its run, and the
-    checkpoint fixes its files, so the second delivery replaces the first. Batches of
-    another checkpoint have other files or are the same run; files that another
-    run has entered are left out, so streams and batch runs can share a store.
+    checkpoint fixes its files, so the second delivery finishes the first, or finds nothing to
+    do. Files that another run has entered are left out, so streams and batch runs can
+    share a store. Runs that died, of this stream or any other writer, are finished before
+    every batch; a run whose owner renews its lease of ``lease`` seconds is left to it.
     """
 
+    options = {"publish": publish, "export": export, "lease": lease}
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        run_ts = dt.datetime.now(dt.UTC).replace(tzinfo=None)
+        run_ts = dt.datetime.now(dt.UTC)
+        finish_open_runs(spark, store, load_dimensions, **options)
         # The sum does not depend on the order of the files.
         names = batch.select(F.xxhash64("file_path").cast("decimal(38,0)").alias("name"))
         total = names.agg(F.coalesce(F.sum("name"), F.lit(0))).first()[0]
+        run_id = f"{name}-{batch_id:09d}-{int(total) % 2**64:016x}"
         try:
-            process_files(
-                spark,
-                batch,
-                store,
-                load_dimensions,
-                f"{name}-{batch_id:09d}-{int(total) % 2**64:016x}",
-                run_ts,
-                publish=publish,
-                export=export,
-            )
+            process_files(spark, batch, store, load_dimensions, run_id, run_ts, **options)
         except NoSalesData:
             # All files of the batch were refused; their lines are kept, the stream goes on.
             return
 
+    # What died may have been the last that came: nothing new need arrive for it to be finished.
+    finish_open_runs(spark, store, load_dimensions, **options)
     files = new_files(spark, landing, files_per_batch=files_per_batch, archive=archive)
     return (
         files.select("file_path")

@@ -6,6 +6,7 @@ from fixtures import HEADER, bag, customers, dimensions
 from test_files import write
 
 from tallymart.operators import ledger
+from tallymart.operators.snapshots import latest
 from tallymart.plans import daily_run
 from tallymart.plans.daily_run import Store
 from tallymart.schemas import ACTIVE, INACTIVE
@@ -54,8 +55,13 @@ def test_run_end_to_end(spark, tmp_path):
     assert daily_run.read_facts(spark, store).count() == 3
     assert bag(daily_run.read_rejected_rows(spark, store), "failed_columns") == [(["total_cost"],)]
     assert bag(daily_run.read_refused_lines(spark, store), "raw_line") == [("1,sugar",), ("customer_id,product_name",)]
-    latest = ledger.latest_status(ledger.read_ledger(spark, store.ledger))
-    assert bag(latest, "file_name", "status") == [("less.csv", "E"), ("x.csv", "I"), ("x.csv", "I")]
+    latest = ledger.latest_status(daily_run.read_events(spark, store))
+    assert bag(latest, "file_name", "status") == [
+        ("less.csv", "E"), ("note.txt", "E"), ("x.csv", "I"), ("x.csv", "I"),
+    ]
+    started = daily_run.read_events(spark, store).filter("status = 'A'").select("event_ts").distinct().collect()
+    assert [row["event_ts"] for row in started] == [DAY]
+    assert all(row["event_ts"] > DAY for row in latest.collect())
     published = spark.read.parquet(store.sales_by_month_and_store)
     assert bag(published, "run_epoch", "sales_month", "store_id", "sales_person_id") == [
         (1711864800000, "2024-03", 121, 1),
@@ -70,7 +76,7 @@ def test_late_file_replaces_its_month_only(spark, tmp_path):
     )
     store = Store(str(tmp_path / "store"))
     run(spark, landing, store)
-    before = {path.name for path in (tmp_path / "store/sales_incentive/sales_month=2024-04").iterdir()}
+    before = latest(spark, store.root).months["2024-04"]
     write(tmp_path / "landing", {"late.csv": csv(sale(1, 15, "2024-03-31"))})
     run(spark, landing, store, "run-2", DAY + dt.timedelta(days=1))
     assert mart(spark, store) == [
@@ -78,7 +84,7 @@ def test_late_file_replaces_its_month_only(spark, tmp_path):
         (121, 2, "2024-03", Decimal("20.00"), Decimal("0.00")),
         (121, 3, "2024-04", Decimal("5.00"), Decimal("0.05")),
     ]
-    assert before == {path.name for path in (tmp_path / "store/sales_incentive/sales_month=2024-04").iterdir()}
+    assert latest(spark, store.root).months["2024-04"] == before
 
 
 def test_export_gets_the_touched_months_and_can_fail_the_run(spark, tmp_path):
@@ -89,14 +95,21 @@ def test_export_gets_the_touched_months_and_can_fail_the_run(spark, tmp_path):
     run(spark, landing, store)
     write(tmp_path / "landing", {"late.csv": csv(sale(2, 30))})
 
-    def down(customers, sales):
+    def down(customers, sales, months, run_id):
         raise ConnectionError("database is down")
 
     later = DAY + dt.timedelta(days=1)
     with pytest.raises(ConnectionError):
         run(spark, landing, store, "run-2", later, export=down)
     seen = []
-    run(spark, landing, store, "run-3", later, export=lambda *tables: seen.extend(bag(t) for t in tables))
+    tries = []
+
+    def export(customers, sales, months, run_id):
+        tries.append((run_id, months))
+        seen.extend([bag(customers), bag(sales)])
+
+    run(spark, landing, store, "run-3", later, export=export)
+    assert tries == [("run-2", ["2024-03"])]
     assert seen == [
         [(1, "Ann1 Bell", "Town", "911", Decimal("40.00"), "2024-03")],
         [
@@ -111,12 +124,12 @@ def test_processed_files_are_not_taken_again(spark, tmp_path):
     landing = write(tmp_path / "landing", {"mar.csv": csv(sale(1, 10)), "less.csv": "a\n1\n"})
     store = Store(str(tmp_path / "store"))
     run(spark, landing, store)
-    events = ledger.read_ledger(spark, store.ledger).count()
+    events = daily_run.read_events(spark, store).count()
     first = mart(spark, store)
     run(spark, landing, store, "run-2")
     assert mart(spark, store) == first
     assert daily_run.read_refused_lines(spark, store).count() == 2
-    assert ledger.read_ledger(spark, store.ledger).count() == events
+    assert daily_run.read_events(spark, store).count() == events
 
 
 def test_broken_run_is_repeated_under_its_own_id(spark, tmp_path):
@@ -141,7 +154,7 @@ def test_broken_run_is_repeated_under_its_own_id(spark, tmp_path):
     assert daily_run.read_facts(spark, store, "run-2").count() == 1
     assert daily_run.read_refused_lines(spark, store).count() == 2
     files = file_inventory(spark, landing)
-    assert ledger.open_files(files, ledger.read_ledger(spark, store.ledger)).isEmpty()
+    assert ledger.open_files(files, daily_run.read_events(spark, store)).isEmpty()
     assert spark.read.parquet(store.customer_rows).select("run_epoch").distinct().count() == 2
 
 
@@ -225,10 +238,10 @@ def test_stream_follows_late_files_and_reprocesses_nothing(spark, tmp_path):
         (121, 3, "2024-04", Decimal("5.00"), Decimal("0.05")),
     ]
     assert mart(spark, store) == expected
-    events = ledger.read_ledger(spark, store.ledger).count()
+    events = daily_run.read_events(spark, store).count()
     stream(spark, tmp_path, store)
     assert mart(spark, store) == expected
-    assert ledger.read_ledger(spark, store.ledger).count() == events
+    assert daily_run.read_events(spark, store).count() == events
     assert daily_run.read_refused_lines(spark, store).count() == 2
 
     batch = Store(str(tmp_path / "batch"))
@@ -296,4 +309,4 @@ def test_vanished_file_of_an_open_run_is_an_error(spark, tmp_path):
     (tmp_path / "landing/b.csv").unlink()
     with pytest.raises(daily_run.UnfinishedRun, match="b.csv"):
         run(spark, landing, store, "run-2")
-    assert daily_run.read_facts(spark, store).count() == 2
+    assert daily_run.read_facts(spark, store).count() == 0
