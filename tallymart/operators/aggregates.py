@@ -4,16 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.functions.columns import month_of
-from tallymart.operators.joins import hot_keys, join_on
+from tallymart.operators.joins import join_on
 from tallymart.schemas import MONEY
 
-# Above this share of the rows a group is not left to one task.
-HOT_GROUP_SHARE = 0.0001
-
 
 def with_month(facts: DataFrame) -> DataFrame:
     """The columns the monthly marts need, and nothing else of the fact."""
@@ -35,23 +32,11 @@ def sum_cost(rows: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.sum("total_cost").cast(MONEY).alias(name))
 
 
-def attach_group_sum(
-    rows: DataFrame,
-    keys: Sequence[str],
-    hot_by: Sequence[str],
-    name: str,
-    share: float = HOT_GROUP_SHARE,
-) -> DataFrame:
-    """Every row with the total of its group.
+def attach_group_sum(rows: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Every row with the total of its group: totals by a partial aggregation, joined back.
 
-    A window keeps each group in one task, which suits all groups but hot ones. The
-    keys in ``hot_by``, such as all but the month, tell which groups can be hot.
-    Their totals come from a partial aggregation; there are at most 1 / share times
-    the number of months, and they are broadcast to the rows, which do not move.
+    No group is held by a task, whatever its size: rows stream past their total, and adaptive
+    execution splits the partition of a hot group, or broadcasts the totals where they
+    are found to be few. Read twice, ``rows`` should be a stored table.
     """
-    hot = hot_keys(rows, hot_by, share)
-    of_hot = join_on(rows, F.broadcast(hot), hot_by, "left_semi")
-    in_place = join_on(of_hot, F.broadcast(sum_cost(of_hot, keys, name)), keys)
-    others = join_on(rows, F.broadcast(hot), hot_by, "left_anti")
-    total = F.sum("total_cost").over(Window.partitionBy(*keys)).cast(MONEY)
-    return in_place.unionByName(others.withColumn(name, total))
+    return join_on(rows, sum_cost(rows, keys, name), keys)

@@ -1,35 +1,17 @@
-"""Joins that stay balanced when one key holds a large part of all rows."""
+"""Joins of facts to dimensions: by broadcast where a size has been measured, else by a merge."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.sources.dimensions import Dimension, Dimensions
-from tallymart.sources.tables import stage
-from tallymart.workspace import shared_folder
 
-# A key is hot when it holds more than this share of the rows. There can be no
-# more than 1 / HOT_SHARE such keys, which bounds what is broadcast for them.
-HOT_SHARE = 0.00001
-
-
-def hot_keys(rows: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """The keys above the share of all rows, at most 1 / share of them.
-
-    Rows are first counted per hash bucket, of which there are few whatever the
-    number of keys. Only keys in a bucket above the share can be hot, so only
-    those are counted one by one. Both counts read nothing but the keys.
-    """
-    keyed = rows.select(*keys, F.pmod(F.xxhash64(*keys), F.lit(int(2 / share))).alias("_bucket"))
-    buckets = keyed.groupBy("_bucket").agg(F.count("*").alias("_rows"))
-    least = buckets.agg(F.sum("_rows")).scalar() * F.lit(share)
-    heavy = buckets.filter(F.col("_rows") > least).select("_bucket")
-    counts = keyed.join(F.broadcast(heavy), "_bucket", "left_semi").groupBy(*keys).agg(F.count("*").alias("_rows"))
-    return counts.filter(F.col("_rows") > least).select(*keys)
+# What facts bring to a star join, besides what the dimensions add.
+SOLD = ("customer_id", "store_id", "sales_person_id", "sales_date", "total_cost")
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -39,84 +21,45 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(renamed, match, how).drop(*(f"_right_{key}" for key in keys))
 
 
-def lookup_large(
-    rows: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    how: str = "inner",
-    share: float = HOT_SHARE,
-) -> DataFrame:
-    """Inner or semi join to a lookup with unique keys that is too large to broadcast.
-
-    The lookup rows of the hot keys are few by construction and are broadcast, so
-    hot rows never move. All other keys are small, and are shuffled and merged;
-    tables bucketed by the key need no shuffle for that either.
+def merged(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join to a lookup with unique keys that is too large to broadcast.
 
-    The rows are read four times, twice for the key alone: they should be a stored
-    table rather than the result of further joins.
+    Rows without a key match nothing and are dropped before the shuffle. Rows are read once;
+    adaptive execution splits the partition of a hot key over several tasks,
+    each with a copy of the few lookup rows of that partition.
     """
-    known = rows.filter(F.col(key).isNotNull())
-    hot = hot_keys(known, [key], share)
-    hot_lookup = lookup.join(F.broadcast(hot), key, "left_semi")
-    in_place = known.join(F.broadcast(hot_lookup), key, how)
-    shuffled = known.join(F.broadcast(hot), key, "left_anti").join(lookup, key, how)
-    return in_place.unionByName(shuffled)
+    return rows.filter(F.col(key).isNotNull()).join(lookup.hint("merge"), key, how)
 
 
-def add_dimension(rows: DataFrame, dimension: Dimension, share: float = HOT_SHARE) -> DataFrame:
+def add_dimension(rows: DataFrame, dimension: Dimension) -> DataFrame:
     """Inner join to one dimension: rows with an unknown or NULL key are lost."""
     if dimension.small:
         return rows.join(F.broadcast(dimension.rows), dimension.key)
-    return lookup_large(rows, dimension.rows, dimension.key, "inner", share)
+    return merged(rows, dimension.rows, dimension.key)
 
 
-def keep_known(rows: DataFrame, dimension: Dimension, share: float = HOT_SHARE) -> DataFrame:
+def keep_known(rows: DataFrame, dimension: Dimension) -> DataFrame:
     """Rows whose key exists in a dimension, which adds no columns."""
     if dimension.small_keys:
         return rows.join(F.broadcast(dimension.keys()), dimension.key, "left_semi")
-    return lookup_large(rows, dimension.keys(), dimension.key, "left_semi", share)
-
+    return merged(rows, dimension.keys(), dimension.key, "left_semi")
 
-Step = tuple[bool, Callable[[DataFrame], DataFrame]]
 
-
-def _in_turn(rows: DataFrame, steps: Sequence[Step]) -> DataFrame:
-    """Apply joins, those by broadcast first: they drop rows before any shuffle.
-
-    A large one reads its input several times, so what one yields is written to the
-    shared folder before the next large one starts from it.
-    """
-    for by_broadcast, join in steps:
-        if by_broadcast:
-            rows = join(rows)
-    large = [join for by_broadcast, join in steps if not by_broadcast]
-    for at, join in enumerate(large):
-        rows = join(stage(rows, shared_folder(rows.sparkSession, "joined")) if at else rows)
+def keep_all_known(rows: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
+    """Rows known to all dimensions; those that are broadcast come first, as they drop rows before any shuffle."""
+    for dimension in sorted(dimensions, key=lambda d: not d.small_keys):
+        rows = keep_known(rows, dimension)
     return rows
 
 
-def keep_all_known(rows: DataFrame, dimensions: Sequence[Dimension], share: float = HOT_SHARE) -> DataFrame:
-    return _in_turn(
-        rows, [(d.small_keys, lambda part, d=d: keep_known(part, d, share)) for d in dimensions]
-    )
-
-
-def enrich(
-    facts: DataFrame,
-    dimensions: Dimensions,
-    *,
-    checked_only: Sequence[Dimension] = (),
-    share: float = HOT_SHARE,
-) -> DataFrame:
+def enrich(facts: DataFrame, dimensions: Dimensions, *, checked_only: Sequence[Dimension] = ()) -> DataFrame:
     """Star join to customers, stores and sellers, under unique column names.
 
-    Dimensions in ``checked_only`` must know the sale but add no columns.
+    Dimensions in ``checked_only`` must know the sale but add no columns. Broadcasts come first.
     """
-    rows = facts.drop("product_name", "price", "quantity", "additional_column")
-    steps: list[Step] = []
-    for dimension in dimensions.all():
-        if dimension in checked_only:
-            steps.append((dimension.small_keys, lambda part, d=dimension: keep_known(part, d, share)))
-        else:
-            steps.append((dimension.small, lambda part, d=dimension: add_dimension(part, d, share)))
-    return _in_turn(rows, steps)
+    rows = facts.select(*SOLD, *(name for name in ("sales_month",) if name in facts.columns))
+    added = [dimension for dimension in dimensions.all() if dimension not in checked_only]
+    rows = keep_all_known(rows, [dimension for dimension in checked_only if dimension.small_keys])
+    for dimension in sorted(added, key=lambda d: not d.small):
+        rows = add_dimension(rows, dimension)
+    return keep_all_known(rows, [dimension for dimension in checked_only if not dimension.small_keys])

@@ -12,9 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.operators.joins import join_on
-
-# Rows ranked by one task; larger groups are cut by value.
-ROWS_PER_TASK = 1_000_000
+from tallymart.sources.tables import stage
+from tallymart.workspace import shared_folder
 
 
 def attach_group_max(rows: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
@@ -22,69 +21,38 @@ def attach_group_max(rows: DataFrame, keys: Sequence[str], value: str, name: str
     return join_on(rows, rows.groupBy(*keys).agg(F.max(value).alias(name)), keys)
 
 
-def attach_rank(
-    rows: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    name: str,
-    *,
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
-    """SQL RANK within each group, largest value first and NULLs last.
+def ordered_values(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Each group's distinct values with ``_ties``, their number of rows, in ranges that Spark cuts from a sample.
 
-    Groups that fit one task are ranked by a window. The others, of which there
-    are at most a ``rows_per_task``-th of the rows, are cut by value.
+    Ranges follow the order of keys and falling value, NULLs last, and hold about equally many
+    values, however these are spread, and however many rows share one. ``_range``
+    numbers them. They are written once, as the cuts of a sample need not come out alike twice.
     """
-    sizes = rows.groupBy(*keys).agg(
-        F.count("*").alias("_rows"), F.max(value).alias("_high"), F.min(value).alias("_low")
-    )
-    big = sizes.filter(F.col("_rows") > rows_per_task)
-    by_window = join_on(rows, F.broadcast(big.select(*keys)), keys, "left_anti").withColumn(
-        name, F.rank().over(Window.partitionBy(*keys).orderBy(F.col(value).desc_nulls_last()))
-    )
-    return by_window.unionByName(_rank_by_value(rows, big, keys, value, name, rows_per_task))
+    order = [*(F.col(key).asc_nulls_first() for key in keys), F.col(value).desc_nulls_last()]
+    values = rows.groupBy(*keys, value).agg(F.count("*").alias("_ties"))
+    ranges = values.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    return stage(ranges, shared_folder(rows.sparkSession, "ordered-values"))
 
 
-def _rank_by_value(
-    rows: DataFrame,
-    big: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    name: str,
-    rows_per_task: int,
-) -> DataFrame:
-    """Ranks in big groups: rows in the slices of larger values, plus larger rows in the
-    own slice, plus one.
+def attach_rank(rows: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """SQL RANK within each group, largest value first and NULLs last.
 
-    Equal values are counted before they are ordered, and slices are parts of the
-    group's value range, so equal values share a slice. NULLs are the last slice.
+    A value's rank is one more than the rows of its group in earlier ranges and the rows of larger
+    values in its own. So a task orders one range, never a whole group, and
+    a group that spans many ranges is ranked by as many tasks.
     """
-    limits = big.withColumn("_slices", F.ceil(F.col("_rows") / F.lit(rows_per_task))).drop("_rows")
-    of_big = join_on(rows, F.broadcast(big.select(*keys)), keys, "left_semi")
-    values = of_big.groupBy(*keys, value).agg(F.count("*").alias("_ties"))
-    width = F.nullif(F.col("_high") - F.col("_low"), F.lit(0).cast("decimal(1,0)"))
-    depth = F.coalesce((F.col("_high") - F.col(value)) / width, F.lit(0))
-    place = F.least(F.floor(depth * F.col("_slices")).cast("bigint"), F.col("_slices") - 1)
-    sliced = join_on(values, F.broadcast(limits), keys).select(
-        *keys,
-        value,
-        "_ties",
-        F.when(F.col(value).isNull(), F.col("_slices")).otherwise(place).alias("_slice"),
-    )
-
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = (
-        sliced.groupBy(*keys, "_slice")
-        .agg(F.sum("_ties").alias("_in_slice"))
-        .select(*keys, "_slice", F.coalesce(F.sum("_in_slice").over(before), F.lit(0)).alias("_above"))
-    )
+    values = ordered_values(rows, keys, value)
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # A row per range that a group reaches into.
+    sums = values.groupBy(*keys, "_range").agg(F.sum("_ties").alias("_in_range"))
+    offsets = sums.select(*keys, "_range", F.coalesce(F.sum("_in_range").over(earlier), F.lit(0)).alias("_earlier"))
     larger = (
-        Window.partitionBy(*keys, "_slice")
+        Window.partitionBy(*keys, "_range")
         .orderBy(F.col(value).desc_nulls_last())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    within = sliced.withColumn("_larger", F.coalesce(F.sum("_ties").over(larger), F.lit(0)))
-    ranked = join_on(within, slices, [*keys, "_slice"]).select(
-        *keys, value, (F.col("_above") + F.col("_larger") + 1).cast("int").alias(name)
+    placed = values.withColumn("_larger", F.coalesce(F.sum("_ties").over(larger), F.lit(0)))
+    ranked = join_on(placed, offsets, [*keys, "_range"]).select(
+        *keys, value, (F.col("_earlier") + F.col("_larger") + 1).cast("int").alias(name)
     )
-    return join_on(of_big, ranked, [*keys, value])
+    return join_on(rows, ranked, [*keys, value])

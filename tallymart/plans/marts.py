@@ -111,8 +111,8 @@ def sales_incentive(rows: DataFrame, dimensions: Dimensions) -> DataFrame:
     return add_incentive(seller_monthly(rows, dimensions))
 
 
-def rank_sellers(monthly: DataFrame, **options) -> DataFrame:
-    return attach_rank(monthly, ["store_id", "sales_month"], "total_sales", "rnk", **options)
+def rank_sellers(monthly: DataFrame) -> DataFrame:
+    return attach_rank(monthly, ["store_id", "sales_month"], "total_sales", "rnk")
 
 
 def daily_purchases(facts: DataFrame, dimensions: Dimensions) -> DataFrame:

@@ -101,14 +101,14 @@ def distinct_salesperson_month(spark, sf_dir):
 def window_customer_month_sum(spark, sf_dir):
     rows = with_month(stored_sales(spark, sf_dir)).select("customer_id", "sales_month", "total_cost")
     keys = ["customer_id", "sales_month"]
-    return attach_group_sum(rows, keys, keys[:1], "total_sales_every_month_by_each_customer")
+    return attach_group_sum(rows, keys, "total_sales_every_month_by_each_customer")
 
 
 @query
 def window_salesperson_month_sum(spark, sf_dir):
     keys = ["store_id", "sales_person_id", "sales_month"]
     rows = with_month(stored_sales(spark, sf_dir)).select(*keys, "total_cost")
-    return attach_group_sum(rows, keys, keys[:2], "total_sales_every_month")
+    return attach_group_sum(rows, keys, "total_sales_every_month")
 
 
 @query

@@ -126,13 +126,12 @@ def test_marts_agree_with_the_facts_and_with_the_cube(spark):
     )
 
 
-@pytest.mark.parametrize("share", [1e-9, 0.3, 1.0])
-def test_group_sum_on_rows_equals_the_aggregate(spark, share):
+def test_group_sum_on_rows_equals_the_aggregate(spark):
     days = ["2024-01-10", "2024-02-10", None]
     rows = [fact(i % 5 % 3 or None, 121, 1, days[i % 3], str(i)) for i in range(40)]
     sold = with_month(facts(spark, rows)).select("customer_id", "sales_month", "total_cost")
     keys = ["customer_id", "sales_month"]
-    attached = attach_group_sum(sold, keys, ["customer_id"], "total", share=share)
+    attached = attach_group_sum(sold, keys, "total")
     assert attached.count() == 40
     grouped = sold.groupBy(*keys).agg(F.sum("total_cost").cast("decimal(18,2)").alias("total"))
     assert bag(attached.select(*keys, "total").distinct()) == bag(grouped)

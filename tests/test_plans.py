@@ -39,6 +39,19 @@ def test_sums_are_partial_before_the_shuffle(spark, sf_dir, name):
     assert "Window" not in text
 
 
+@pytest.mark.parametrize("name", ["window_customer_month_sum", "window_salesperson_month_sum"])
+def test_totals_on_rows_need_no_window(spark, sf_dir, name):
+    assert "Window" not in plan(queries()[name](spark, sf_dir))
+
+
+@pytest.mark.parametrize("name", [name for name in BATCH if name.endswith("many_customers")])
+def test_large_dimensions_need_one_read_of_the_facts(spark, sf_dir, name):
+    result = queries()[name](spark, sf_dir)
+    result.collect()
+    final = plan(result).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet[^\n]*total_cost", final)) == 1
+
+
 def test_scan_reads_only_the_columns_in_use(spark, sf_dir):
     text = queries()["sales_incentive_mart"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert "l_tax" not in re.sub(r"Relation \[[^\]]*\]", "", text)

@@ -1,15 +1,47 @@
 """Rows in which one key, or copies of one row, are a third or more of the whole."""
 
 import random
+import re
 from collections import Counter
+from contextlib import contextmanager
 from decimal import Decimal
 
 import pytest
 from fixtures import bag, customers, dimensions, fact, facts, sellers, stores
 from pyspark.sql import functions as F
 
-from tallymart.operators.joins import enrich, hot_keys, lookup_large
-from tallymart.operators.ranking import attach_rank
+from tallymart.operators.aggregates import attach_group_sum
+from tallymart.operators.joins import enrich, merged
+from tallymart.operators.ranking import attach_rank, ordered_values
+
+
+@contextmanager
+def settings(spark, **values):
+    """Settings of the session for a while; names with _ for the dots behind spark.sql."""
+    names = {f"spark.sql.{name.replace('__', '.')}": value for name, value in values.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+# Thresholds that make a few kilobytes a large partition.
+SMALL = {
+    "adaptive__advisoryPartitionSizeInBytes": "16k",
+    "adaptive__skewJoin__skewedPartitionThresholdInBytes": "16k",
+    "adaptive__skewJoin__skewedPartitionFactor": "2",
+    "shuffle__partitions": "8",
+}
+
+
+def final_plan(df):
+    """The plan that has run."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
 def skewed(spark):
@@ -22,24 +54,50 @@ def skewed(spark):
     return facts(spark, rows)
 
 
-def test_hot_keys_are_those_above_the_share(spark):
-    rows = skewed(spark)
-    assert bag(hot_keys(rows, ["customer_id"], 0.4)) == [(1,)]
-    assert bag(hot_keys(rows, ["customer_id"], 1.0)) == []
-    assert hot_keys(rows, ["customer_id", "store_id"], 1e-9).count() == 9
-    for share in (0.02, 0.1, 0.12):
-        least = share * rows.count()
-        counted = rows.groupBy("customer_id").count().filter(F.col("count") > least).drop("count")
-        assert bag(hot_keys(rows, ["customer_id"], share)) == bag(counted)
-
-
 @pytest.mark.parametrize("how", ["inner", "left_semi"])
-@pytest.mark.parametrize("share", [1e-9, 0.05, 0.4, 1.0])
-def test_split_join_equals_plain_join(spark, share, how):
+def test_merged_join_equals_plain_join(spark, how):
     rows = skewed(spark)
     lookup = customers(spark).select("customer_id", "phone_number")
     plain = rows.join(lookup, "customer_id", how)
-    assert bag(lookup_large(rows, lookup, "customer_id", how, share), *plain.columns) == bag(plain)
+    assert bag(merged(rows, lookup, "customer_id", how), *plain.columns) == bag(plain)
+
+
+def hot_facts(spark, n):
+    """Half of the rows are one customer's, stored so that a plan that reads them shows."""
+    return spark.range(n).select(
+        F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 5000).cast("bigint").alias("customer_id"),
+        F.lit(121).cast("bigint").alias("store_id"),
+        (1 + F.col("id") % 2).alias("sales_person_id"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 300).cast("int")).alias("sales_date"),
+        (F.xxhash64("id") % 100000 / 100).cast("decimal(18,2)").alias("total_cost"),
+    )
+
+
+@pytest.mark.parametrize("checked", [False, True])
+def test_partition_of_a_hot_key_is_split(spark, tmp_path, checked):
+    """Facts are read once, and the tasks of the join read no more than a small part of the hot key."""
+    hot_facts(spark, 40_000).write.parquet(f"{tmp_path}/facts")
+    sold = spark.read.parquet(f"{tmp_path}/facts")
+    found = dimensions(spark, customers=customers(spark, ids=range(5000)), broadcast_bytes=1000)
+    assert not found.customers.small_keys and found.stores.small
+    with settings(spark, **SMALL):
+        rows = enrich(sold, found, checked_only=[found.customers] if checked else [])
+        text = final_plan(rows)
+        assert re.search(r"SortMergeJoin\(skew=true\)", text)
+        assert len(re.findall(r"FileScan parquet", text)) == 1
+        assert rows.count() == 40_000
+
+
+def test_group_sums_of_a_hot_group_are_split(spark, tmp_path):
+    hot_facts(spark, 40_000).withColumn("sales_month", F.lit("2024-01")).write.parquet(f"{tmp_path}/facts")
+    keys = ["customer_id", "sales_month"]
+    rows = spark.read.parquet(f"{tmp_path}/facts").select(*keys, "total_cost")
+    with settings(spark, **SMALL, autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1"):
+        attached = attach_group_sum(rows, keys, "total")
+        text = final_plan(attached)
+        assert "Window" not in text and "skew=true" in text
+        hot = attached.filter("customer_id = 1").select("total").distinct().collect()
+    assert [row["total"] for row in hot] == [rows.filter("customer_id = 1").agg(F.sum("total_cost")).first()[0]]
 
 
 def test_large_dimensions_give_the_same_star(spark):
@@ -49,7 +107,7 @@ def test_large_dimensions_give_the_same_star(spark):
         "sellers": sellers(spark, ids=(1, 2)),
     }
     small = enrich(skewed(spark), dimensions(spark, **tables))
-    large = enrich(skewed(spark), dimensions(spark, **tables, broadcast_bytes=-1), share=0.3)
+    large = enrich(skewed(spark), dimensions(spark, **tables, broadcast_bytes=-1))
     assert bag(large, *sorted(small.columns)) == bag(small, *sorted(small.columns))
 
 
@@ -64,9 +122,9 @@ def brute_ranks(rows):
     return ranked
 
 
-@pytest.mark.parametrize("per_slice", [1, 3, 1_000_000])
-def test_sliced_rank_equals_brute_force(spark, per_slice):
-    rng = random.Random(per_slice)
+@pytest.mark.parametrize("partitions", [1, 3, 40])
+def test_rank_equals_brute_force(spark, partitions):
+    rng = random.Random(partitions)
     rows = []
     for seller in range(300):
         store = 121 if seller % 3 else rng.choice([122, 123, None])
@@ -74,20 +132,34 @@ def test_sliced_rank_equals_brute_force(spark, per_slice):
         total = None if kind < 0.1 else Decimal("7.00") if kind < 0.4 else Decimal(rng.randint(-500, 90000)) / 100
         rows.append((store, seller, total))
     df = spark.createDataFrame(rows, "store_id bigint, seller bigint, total decimal(18,2)")
-    ranked = attach_rank(df, ["store_id"], "total", "rnk", rows_per_task=per_slice)
-    found = Counter(tuple(row) for row in ranked.select("store_id", "seller", "total", "rnk").collect())
+    with settings(spark, shuffle__partitions=partitions, adaptive__coalescePartitions__enabled="false"):
+        ranked = attach_rank(df, ["store_id"], "total", "rnk")
+        found = Counter(tuple(row) for row in ranked.select("store_id", "seller", "total", "rnk").collect())
     assert found == Counter(brute_ranks(rows))
 
 
-def test_rank_equals_the_window_function(spark):
-    df = spark.range(500).select(
-        (F.col("id") % 3).alias("store_id"),
-        F.col("id").alias("seller"),
-        (F.col("id") * 37 % 50).cast("decimal(18,2)").alias("total"),
-    )
-    ranked = attach_rank(df, ["store_id"], "total", "rnk", rows_per_task=7)
-    df.createOrReplaceTempView("ranked_input")
-    window = spark.sql(
-        "SELECT *, rank() OVER (PARTITION BY store_id ORDER BY total DESC NULLS LAST) rnk FROM ranked_input"
-    )
-    assert bag(ranked, *window.columns) == bag(window)
+@pytest.mark.parametrize("shape", ["outlier", "half tied", "one store", "many stores"])
+def test_ranges_hold_about_equally_many_values(spark, shape):
+    n = 20_000
+    total = F.xxhash64("id") % 10_000_000
+    if shape == "outlier":
+        total = F.when(F.col("id") == 0, F.lit(10**15)).otherwise(total % 1000 + F.col("id") / n)
+    if shape == "half tied":
+        total = F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(total)
+    store = F.col("id") % 997 if shape == "many stores" else F.when(F.col("id") % 3 == 0, F.col("id") % 5)
+    rows = spark.range(n).select(store.alias("store_id"), total.cast("decimal(38,4)").alias("total"))
+    with settings(spark, shuffle__partitions="8", adaptive__coalescePartitions__enabled="false"):
+        sizes = [row["count"] for row in ordered_values(rows, ["store_id"], "total").groupBy("_range").count().collect()]
+        assert len(sizes) == 8
+        assert max(sizes) <= 2 * sum(sizes) / len(sizes)
+        ranked = attach_rank(rows, ["store_id"], "total", "rnk")
+        rows.createOrReplaceTempView("ranges_input")
+        window = spark.sql(
+            "SELECT *, rank() OVER (PARTITION BY store_id ORDER BY total DESC NULLS LAST) rnk FROM ranges_input"
+        )
+        assert bag(ranked, *window.columns) == bag(window)
+
+
+def test_rank_of_nothing(spark):
+    rows = spark.createDataFrame([], "store_id bigint, total decimal(18,2)")
+    assert attach_rank(rows, ["store_id"], "total", "rnk").isEmpty()
