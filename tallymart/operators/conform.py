@@ -122,7 +122,7 @@ def conform_group(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     A field fails when it holds text that is not a value of its type. Such rows keep
     their fields as JSON in ``raw_row``; sound rows do not carry it. A row with more or
-    fewer fields than the header fails as a whole and keeps its line as it is.
+    fewer fields than the header fails as a whole, has no values, and keeps its line as it is.
     """
     place = {name: F.col(f"_c{at}") for at, name in enumerate(columns)}
     extra = sorted((name, at) for at, name in enumerate(columns) if name not in MANDATORY_COLUMNS)
@@ -141,8 +141,8 @@ def conform_group(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     failed = F.when(torn, F.array(F.lit(ROW_WIDTH))).otherwise(unread)
     raw = F.to_json(F.struct(*(F.col(f"_c{at}").alias(label) for at, label in enumerate(_labels(columns)))))
     return rows.select(
-        *(value.alias(name) for name, value in typed.items()),
-        folded.alias(EXTRA_COLUMN),
+        *(F.when(~torn, value).alias(name) for name, value in typed.items()),
+        F.when(~torn, folded).alias(EXTRA_COLUMN),
         "file_path",
         failed.alias("failed_columns"),
         F.when(torn, F.col(TORN_ROW)).when(F.size(failed) > 0, raw).alias("raw_row"),

@@ -59,9 +59,10 @@ _INCENTIVE = """
 
 _ADDITIONAL = "CASE WHEN feed = 'extended' THEN concat_ws(', ', channel, payment_mode) END AS additional_column"
 _UNREADABLE = "(feed = 'reversed' AND tax = 0)"
+_TORN = "(feed = 'plain' AND tax = 0.08)"
 
 # What ingestion leaves of the raw files: refused feeds and unreadable rows are gone.
-_INGESTED = f"SELECT *, {_ADDITIONAL} FROM sales WHERE feed <> 'partial' AND NOT {_UNREADABLE}"
+_INGESTED = f"SELECT *, {_ADDITIONAL} FROM sales WHERE feed <> 'partial' AND NOT {_UNREADABLE} AND NOT {_TORN}"
 
 
 def _with(select: str, facts: str = "SELECT * FROM sales") -> str:
@@ -116,6 +117,23 @@ _EXTENDED_HEADER = f"payment_mode|{_PLAIN_HEADER}|channel"
 _PARTIAL_HEADER = _PLAIN_HEADER.replace("store_id|", "") + "|payment_mode"
 
 
+def _line(header: str) -> str:
+    """A row as its feed writes it, under a header whose names are apart by bars."""
+    shown = {
+        "product_name": f"CASE WHEN {_TORN} THEN concat('\"', product_name, chr(10), 'again\"') ELSE product_name END",
+        "total_cost": f"CASE WHEN {_UNREADABLE} THEN 'n/a' ELSE CAST(total_cost AS VARCHAR) END",
+        "payment_mode": "coalesce(payment_mode, '')",
+    }
+    return "concat(" + ", ',', ".join(shown.get(name, name) for name in header.split("|")) + ")"
+
+
+_LINE = f"""CASE feed WHEN 'plain' THEN {_line(_PLAIN_HEADER)} WHEN 'reversed' THEN {_line(_REVERSED_HEADER)}
+  WHEN 'extended' THEN {_line(_EXTENDED_HEADER)} ELSE {_line(_PARTIAL_HEADER)} END"""
+_RAW_ROW = "concat('{" + ", ',".join(
+    f'"{name}":"\', {"\'n/a\'" if name == "total_cost" else name}, \'"\'' for name in _REVERSED_HEADER.split("|")
+) + ", '}')"
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "sales_incentive_mart": _with(_MART),
@@ -192,8 +210,9 @@ def all_oracles() -> dict[str, str]:
             CAST(CASE WHEN l_tax = 0 THEN round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(0.01 AS DECIMAL(4,2)), 2)
                  ELSE 0 END AS DECIMAL(18,2)) AS incentive FROM lineitem""",
         "file_inventory": _with(
-            """SELECT DISTINCT feed, sales_year, true AS is_csv, true AS has_content FROM sales
-            UNION ALL SELECT DISTINCT 'notes', 0, false, true FROM customer"""
+            f"""SELECT feed, sales_year, true AS is_csv, CAST(sum(strlen({_LINE}) + 1) AS BIGINT) AS content_bytes
+            FROM sales GROUP BY ALL
+            UNION ALL SELECT 'notes', 0, false, CAST(sum(strlen(c_name) + 1) AS BIGINT) FROM customer"""
         ),
         "schema_gate": _with(
             f"""SELECT DISTINCT feed, sales_year,
@@ -205,15 +224,16 @@ def all_oracles() -> dict[str, str]:
         "union_files": _with(
             f"""SELECT customer_id, store_id, product_name, sales_date, sales_person_id, price, quantity,
             CASE WHEN NOT {_UNREADABLE} THEN total_cost END AS total_cost, {_ADDITIONAL}
-            FROM sales WHERE feed <> 'partial'"""
+            FROM sales WHERE feed <> 'partial' AND NOT {_TORN}
+            UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM sales, range(2) WHERE {_TORN}"""
         ),
         "ingest_sales": _with(f"SELECT {_FACT_LIST} FROM facts", _INGESTED),
         "quarantine_rows": _with(
-            f"""SELECT feed, 'unreadable_fields' AS reason, 'total_cost' AS columns,
-            CAST(customer_id AS VARCHAR) AS raw FROM sales WHERE {_UNREADABLE}
-            UNION ALL SELECT feed, 'missing_columns', 'store_id',
-            concat(customer_id, ',', product_name, ',', sales_date, ',', sales_person_id, ',', price, ',', quantity,
-                   ',', total_cost, ',', coalesce(payment_mode, '')) FROM sales WHERE feed = 'partial'"""
+            f"""SELECT feed, 'unreadable_fields' AS reason, 'total_cost' AS columns, {_RAW_ROW} AS raw
+            FROM sales WHERE {_UNREADABLE}
+            UNION ALL SELECT feed, 'unreadable_fields', 'row_width', unnest(string_split({_LINE}, chr(10)))
+            FROM sales WHERE {_TORN}
+            UNION ALL SELECT feed, 'missing_columns', 'store_id', {_LINE} FROM sales WHERE feed = 'partial'"""
         ),
         "ledger_latest": _with(
             """SELECT DISTINCT feed, sales_year, CASE feed WHEN 'extended' THEN 'A' ELSE 'I' END AS status,
@@ -226,6 +246,7 @@ def all_oracles() -> dict[str, str]:
             "SELECT DISTINCT feed, sales_year FROM sales WHERE feed IN ('extended', 'partial')"
         ),
         "batch_run_sales_mart": _with(_MART, _INGESTED),
+        "broken_stream_sales_mart": _with(_MART, _INGESTED),
         "stream_ingest": _with(f"SELECT {_FACT_LIST} FROM facts", _INGESTED),
         "stream_sales_mart": _with(_MART, _INGESTED),
         "stream_customer_mart": _with(_CUSTOMER_MONTHLY, _INGESTED),

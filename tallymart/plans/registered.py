@@ -8,6 +8,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import StreamingQueryException
 
 from tallymart.functions.columns import fold_columns, full_name, incentive, month_of
 from tallymart.operators import conform, ledger, sinks
@@ -297,10 +298,13 @@ def _groups(spark: SparkSession, sf_dir: str) -> list[conform.HeaderGroup]:
 
 @query
 def file_inventory(spark, sf_dir):
+    """Bytes of content per feed and year: those of the files less their header lines."""
     files = _sales_files(spark, sf_dir)
     raw_files.require_files(files)
-    return files.groupBy(_feed("file_path"), _year("file_path"), "is_csv").agg(
-        (F.min("size_bytes") > 0).alias("has_content")
+    header = F.coalesce(F.length("header_line") + 1, F.lit(0))
+    headers = conform.read_headers(spark, files.filter("is_csv"))
+    return files.join(headers, "file_path", "left").groupBy(_feed("file_path"), _year("file_path"), "is_csv").agg(
+        F.sum(F.col("size_bytes") - header).alias("content_bytes")
     )
 
 
@@ -341,7 +345,7 @@ def quarantine_rows(spark, sf_dir):
         _feed("file_path"),
         F.lit("unreadable_fields").alias("reason"),
         F.array_join("failed_columns", "|").alias("columns"),
-        F.get_json_object("raw_row", "$.customer_id").alias("raw"),
+        F.col("raw_row").alias("raw"),
     )
     header = ",".join(name for name in MANDATORY_COLUMNS if name != "store_id") + ",payment_mode"
     lines = (
@@ -420,6 +424,25 @@ def _run_stream(spark: SparkSession, sf_dir: str, root: str) -> None:
     stream.awaitTermination()
 
 
+@query
+def broken_stream_sales_mart(spark, sf_dir):
+    """A stream dies in its first batch and loses its checkpoint; the next one finishes what it had entered."""
+    root = shared_folder(spark, "broken-stream")
+
+    def unreachable():
+        raise ConnectionError("the dimensions cannot be read")
+
+    landing, store = landing_folder(spark, sf_dir), daily_run.Store(f"{root}/store")
+    dying = start_sales_stream(spark, landing, store, unreachable, f"{root}/lost", name="dying", files_per_batch=20)
+    try:
+        dying.awaitTermination()
+    except StreamingQueryException:
+        pass
+    dimensions = standin.dimensions(spark, sf_dir)
+    start_sales_stream(spark, landing, store, lambda: dimensions, f"{root}/next", files_per_batch=40).awaitTermination()
+    return daily_run.read_sales_incentive(spark, store)
+
+
 def _streamed(spark: SparkSession, sf_dir: str) -> daily_run.Store:
     """The store a stream over the whole landing folder has filled, once per session."""
     return daily_run.Store(f"{once(spark, sf_dir, 'stream', _run_stream)}/store")

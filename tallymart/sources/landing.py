@@ -9,7 +9,8 @@ every order line once:
 * ``partial``   R: no ``store_id``, so these files are to be refused
 * ``notes``     customer names as ``.txt``: not sales at all
 
-In ``reversed``, lines without tax say ``n/a`` for their total, so those rows
+In ``reversed``, lines without tax say ``n/a`` for their total, and in ``plain`` lines of the
+highest tax have a line break within the product, so that such a row is torn in two. Both
 must end in quarantine.
 """
 
@@ -26,6 +27,9 @@ from tallymart.sources import standin
 from tallymart.sources.tables import read_parquet, stage
 from tallymart.workspace import shared_folder
 
+# The tax of order lines whose row is torn.
+TORN_TAX = 0.08
+
 _written: dict[tuple[str, str, str], str] = {}
 
 
@@ -78,8 +82,9 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_landing(spark: SparkSession, sf_dir: str, folder: str) -> None:
     staged = stage(raw_sales(spark, sf_dir), f"{folder}-staged")
     refused = F.when(F.col("tax") == 0, "n/a").otherwise(F.col("total_cost").cast("string"))
+    torn = F.when(F.col("tax") == TORN_TAX, F.concat("product_name", F.lit("\nagain"))).otherwise(F.col("product_name"))
     feeds = {
-        "plain": staged.select(*MANDATORY_COLUMNS, "sales_year", "feed"),
+        "plain": staged.withColumn("product_name", torn).select(*MANDATORY_COLUMNS, "sales_year", "feed"),
         "reversed": staged.withColumn("total_cost", refused).select(
             *reversed(MANDATORY_COLUMNS), "sales_year", "feed"
         ),
