@@ -214,14 +214,28 @@ def open_members(parts: DataFrame) -> DataFrame:
     return parts.join(main, ["band", "hash"]).filter(F.col("part") != F.col("main")).drop("main")
 
 
-def compared_blocks(left: DataFrame, parts: DataFrame, sets: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
+def joined_root(roots: dict[int, int], part: int) -> int:
+    """The part that stands for all parts united with this one."""
+    root = part
+    while roots.setdefault(root, root) != root:
+        root = roots[root]
+    while roots[part] != root:
+        roots[part], part = root, roots[part]
+    return root
+
+
+def compared_blocks(
+    left: DataFrame, parts: DataFrame, sets: DataFrame, least: float = LEAST_SIMILARITY, spanning: bool = False
+) -> DataFrame:
     """Links ``a``, ``b`` of the classes ``left`` over to similar ones of other parts of their buckets.
 
     Both have ``band``, ``hash``, ``node`` and ``part``. Classes left over and members of a bucket
     are dealt to blocks of about ``ELEMENTS_PER_BLOCK`` elements, and every block of the ones
     meets every block of the others in a task of its own. So a set is shipped once per block it
     meets, not once per pair, and no pair becomes a row but those found: one per class and part.
-    In a bucket of two, both have met before.
+    In a bucket of two, both have met before. With ``spanning``, a link between parts that links of
+    the same two blocks have united is left out, so there are fewer of them than members,
+    and what is linked through others stays so.
     """
     bucket = ["band", "hash"]
     sizes = sets.select("node", "size")
@@ -258,6 +272,7 @@ def compared_blocks(left: DataFrame, parts: DataFrame, sets: DataFrame, least: f
             size = np.array([len(of[m]) for m in members])
             starts = np.cumsum(size) - size
             marks = np.zeros(len(known), np.int64)
+            roots: dict[int, int] = {}
             for x in lefts:
                 mine = np.searchsorted(known, of[x])
                 mine = mine[known[np.minimum(mine, len(known) - 1)] == of[x]]
@@ -265,8 +280,12 @@ def compared_blocks(left: DataFrame, parts: DataFrame, sets: DataFrame, least: f
                 common = np.add.reduceat(marks[number], starts)
                 marks[mine] = 0
                 near = (common >= least * (len(of[x]) + size - common)) & (part[members] != part[x])
-                _, first = np.unique(part[members][near], return_index=True)
-                pairs += [(int(node[x]), int(y)) for y in node[members][near][first]]
+                others, first = np.unique(part[members][near], return_index=True)
+                for other, y in zip(others.tolist(), node[members][near][first].tolist(), strict=True):
+                    one, two = (joined_root(roots, p) for p in (int(part[x]), other))
+                    if not spanning or one != two:
+                        roots[two] = one
+                        pairs.append((int(node[x]), y))
         return pa.table(
             {"a": pa.array([min(p) for p in pairs], pa.int64()), "b": pa.array([max(p) for p in pairs], pa.int64())}
         )
@@ -292,7 +311,7 @@ def similar_links(docs: DataFrame, classes: DataFrame, least: float = LEAST_SIMI
     links = tried.filter("similar").select("a", "b")
     parts = members.join(components(links), "node", "left").withColumn("part", F.coalesce("component", "node"))
     parts = kept_table(parts.drop("component"), "bucket-parts")
-    apart = compared_blocks(kept_table(open_members(parts), "open-members"), parts, sets, least)
+    apart = compared_blocks(kept_table(open_members(parts), "open-members"), parts, sets, least, spanning=True)
     return links.unionByName(kept_table(apart, "last-links"))
 
 

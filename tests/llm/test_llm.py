@@ -447,9 +447,35 @@ def test_blocks_of_a_bucket_equal_brute_force(spark, monkeypatch):
         links = minhash.compared_blocks(members.filter("part > 0"), members, stored).collect()
         found = {(x, part[y]) for a, b in links for x, y in ((a, b), (b, a)) if part[x]}
         assert expected and found == expected
+        fewer = minhash.compared_blocks(members.filter("part > 0"), members, stored, spanning=True)
+        few = [(row["a"], row["b"]) for row in fewer.collect()]
+        assert len(few) <= len(links)
+        # Parts that links unite are the same either way.
+        assert united_parts(few, part) == united_parts([(row["a"], row["b"]) for row in links], part)
     assert minhash.compared_blocks(members.limit(0), members, stored).count() == 0
 
 
+def test_blocks_of_near_copies_give_no_more_links_than_members(spark, monkeypatch):
+    base = np.arange(200, dtype=np.uint64)
+    sets = {i: np.r_[base, np.uint64(1000 + i)] for i in range(60)}
+    stored = spark.createDataFrame([(i, v.tobytes(), len(v)) for i, v in sets.items()], "node long, elements binary, size long")
+    members = spark.createDataFrame([(0, 5, i, i) for i in sets], "band int, hash long, node long, part long")
+    for elements in (3000, 10**6):
+        monkeypatch.setattr(minhash, "ELEMENTS_PER_BLOCK", elements)
+        links = minhash.compared_blocks(members, members, stored, spanning=True).collect()
+        blocks = -(-60 * 201 // elements) ** 2
+        assert 59 <= len(links) <= 60 * blocks
+        assert united_parts([(row["a"], row["b"]) for row in links], {i: i for i in sets}) == {frozenset(sets)}
+
+
+def united_parts(links, part):
+    groups = {p: {p} for p in part.values()}
+    for a, b in links:
+        one = groups[part[a]] | groups[part[b]]
+        groups.update(dict.fromkeys(one, one))
+    return {frozenset(group) for group in groups.values()}
+
+
 def test_darts_estimate_weighted_similarity():
     a, b = "p " * 60 + "q " * 40, "p " * 60 + "r " * 40
     data = np.frombuffer((a + b).encode(), np.uint8)
