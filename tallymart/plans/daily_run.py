@@ -524,10 +524,24 @@ def daily_run(
     require_files(inventory)
     require_open_files(spark, store, inventory)
     finish_open_runs(spark, store, load_dimensions, resume=resume, **options)
+    process_pending(spark, inventory, store, load_dimensions, run_id, run_ts, files_per_run, **options)
+
+
+def process_pending(
+    spark: SparkSession,
+    files: DataFrame,
+    store: Store,
+    load_dimensions: Callable[[], Dimensions],
+    run_id: str,
+    run_ts: dt.datetime,
+    files_per_run: int = FILES_PER_RUN,
+    **options,
+) -> None:
+    """Process all files that are not entered yet, in runs of at most ``files_per_run`` files."""
     part, refused = 0, False
     while True:
         entered = read_events(spark, store).select("file_path")
-        pending = inventory.join(entered, "file_path", "left_anti").limit(files_per_run)
+        pending = files.join(entered, "file_path", "left_anti").limit(files_per_run)
         name = f"{run_id}-{part:05d}" if part else run_id
         try:
             if not process_files(spark, pending, store, load_dimensions, name, run_ts, **options):

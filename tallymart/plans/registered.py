@@ -19,10 +19,10 @@ from tallymart.schemas import ACTIVE, FACT_COLUMNS, INACTIVE, MANDATORY_COLUMNS,
 from tallymart.sources import files as raw_files
 from tallymart.sources import standin
 from tallymart.sources.dimensions import Dimension, Dimensions
-from tallymart.sources.landing import landing_folder, once, stored_sales
+from tallymart.sources.landing import landing_folder, stored_sales
 from tallymart.sources.tables import read_parquet
 from tallymart.streaming.feed import start_sales_stream
-from tallymart.workspace import shared_folder
+from tallymart.workspace import once, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -445,7 +445,7 @@ def broken_stream_sales_mart(spark, sf_dir):
 
 def _streamed(spark: SparkSession, sf_dir: str) -> daily_run.Store:
     """The store a stream over the whole landing folder has filled, once per session."""
-    return daily_run.Store(f"{once(spark, sf_dir, 'stream', _run_stream)}/store")
+    return daily_run.Store(f"{once(spark, f'stream {sf_dir}', lambda root: _run_stream(spark, sf_dir, root))}/store")
 
 
 @query

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from tallymart.sources import storage
+from tallymart.sources.tables import read_parquet, stage
 
 # Up to this many bytes a dimension is shipped to every executor. Its rows count with
 # their text; where only the keys are needed, each counts as an entry of a hash table.
@@ -75,26 +83,33 @@ def seller_columns(sellers: DataFrame) -> DataFrame:
     )
 
 
-def checked_dimensions(
-    customers: DataFrame,
-    stores: DataFrame,
-    sellers: DataFrame,
-    *,
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> Dimensions:
-    """Refuse repeated keys, and measure which dimensions fit into a broadcast.
+@dataclass(frozen=True)
+class Measure:
+    """What one dimension was found to hold: keys, and bytes of its rows with their text."""
 
-    One job over the three tables; sizes are counted, not estimated, so no table
-    is broadcast merely because its source reports no statistics.
-    """
+    keys: int
+    bytes: int
+
+
+def keyed_tables(customers: DataFrame, stores: DataFrame, sellers: DataFrame) -> dict[str, DataFrame]:
+    """The three dimensions under unique column names, without rows that have no key."""
     tables = {
         "customer_id": customer_columns(customers),
         "store_id": store_columns(stores),
         "sales_person_id": seller_columns(sellers),
     }
+    return {key: rows.filter(F.col(key).isNotNull()) for key, rows in tables.items()}
+
+
+def measured(tables: dict[str, DataFrame]) -> dict[str, Measure]:
+    """Refuse repeated keys and measure sizes, in one job over all tables.
+
+    Sizes are counted, not estimated, so no table is broadcast merely because its
+    source reports no statistics.
+    """
     keyed = None
     for key, rows in tables.items():
-        sized = rows.filter(F.col(key).isNotNull()).select(
+        sized = rows.select(
             F.lit(key).alias("dimension"),
             F.col(key).cast("string").alias("key"),
             F.octet_length(F.to_json(F.struct("*"))).cast("bigint").alias("bytes"),
@@ -111,14 +126,74 @@ def checked_dimensions(
     for key, row in found.items():
         if row["copies"] > 1:
             raise DuplicateKey(f"{key} {row['worst']} occurs {row['copies']} times in its dimension")
-
-    def dimension(key: str) -> Dimension:
-        keys, size = (found[key]["keys"], found[key]["bytes"]) if key in found else (0, 0)
-        return Dimension(
-            key,
-            tables[key].filter(F.col(key).isNotNull()),
-            small=size <= broadcast_bytes,
-            small_keys=keys * BYTES_PER_KEY <= broadcast_bytes,
+    return {key: Measure(found[key]["keys"], found[key]["bytes"]) if key in found else Measure(0, 0) for key in tables}
+
+
+def assembled(tables: dict[str, DataFrame], measures: dict[str, Measure], broadcast_bytes: int) -> Dimensions:
+    return Dimensions(
+        *(
+            Dimension(
+                key,
+                tables[key],
+                small=measures[key].bytes <= broadcast_bytes,
+                small_keys=measures[key].keys * BYTES_PER_KEY <= broadcast_bytes,
+            )
+            for key in ("customer_id", "store_id", "sales_person_id")
         )
+    )
 
-    return Dimensions(dimension("customer_id"), dimension("store_id"), dimension("sales_person_id"))
+
+def checked_dimensions(
+    customers: DataFrame,
+    stores: DataFrame,
+    sellers: DataFrame,
+    *,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> Dimensions:
+    """Refuse repeated keys, and measure which dimensions fit into a broadcast."""
+    tables = keyed_tables(customers, stores, sellers)
+    return assembled(tables, measured(tables), broadcast_bytes)
+
+
+# Versions: dimensions that have not changed are not read again to be checked.
+
+
+def file_fingerprint(spark: SparkSession, paths: list[str]) -> str:
+    """Changes when a file of these tables does: names, sizes and times of change, not content."""
+    listed = [(path, sorted(storage.files(spark, path).items())) for path in paths]
+    return hashlib.sha256(json.dumps(listed).encode()).hexdigest()
+
+
+def current_dimensions(
+    spark: SparkSession,
+    folder: str,
+    fingerprint: str,
+    load: Callable[[], tuple[DataFrame, DataFrame, DataFrame]],
+    *,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> Dimensions:
+    """The dimensions as last checked, or, if the fingerprint of their sources is another, checked anew.
+
+    ``load`` gives the customer, store and sales-team tables. A new version is written beside the
+    old ones and described by a manifest: sizes and schemas, so that reading it takes no job at all.
+    A version with a repeated key is refused and not kept. Of two processes that
+    write the same version at once, one's copy is used by both.
+    """
+    path = f"{folder}/manifest-{hashlib.sha256(fingerprint.encode()).hexdigest()}.json"
+    manifest = storage.read_json(spark, path)
+    if manifest is None:
+        tables = keyed_tables(*load())
+        root = f"{folder}/version={uuid.uuid4().hex}"
+        staged = {key: stage(rows, f"{root}/{key}") for key, rows in tables.items()}
+        measures = measured(staged)
+        described = {
+            key: {"keys": m.keys, "bytes": m.bytes, "path": f"{root}/{key}", "schema": staged[key].schema.jsonValue()}
+            for key, m in measures.items()
+        }
+        storage.create_new(spark, path, json.dumps(described))
+        manifest = storage.read_json(spark, path)
+    tables = {
+        key: read_parquet(spark, entry["path"], StructType.fromJson(entry["schema"])) for key, entry in manifest.items()
+    }
+    measures = {key: Measure(entry["keys"], entry["bytes"]) for key, entry in manifest.items()}
+    return assembled(tables, measures, broadcast_bytes)

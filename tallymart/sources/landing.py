@@ -16,8 +16,6 @@ must end in quarantine.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,33 +23,20 @@ from tallymart.operators.sinks import write_snapshot
 from tallymart.schemas import MANDATORY_COLUMNS
 from tallymart.sources import standin
 from tallymart.sources.tables import read_parquet, stage
-from tallymart.workspace import shared_folder
+from tallymart.workspace import once
 
 # The tax of order lines whose row is torn.
 TORN_TAX = 0.08
 
-_written: dict[tuple[str, str, str], str] = {}
-
-
-def once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[SparkSession, str, str], None]) -> str:
-    """Path of something derived from a data directory, written once per session."""
-    key = (spark.conf.get("spark.app.id", ""), sf_dir, name)
-    if key not in _written:
-        path = shared_folder(spark, name)
-        write(spark, sf_dir, path)
-        _written[key] = path
-    return _written[key]
-
-
 def stored_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sales of the order tables as one table, for queries that read them repeatedly."""
     sales = standin.sales(spark, sf_dir)
-    path = once(spark, sf_dir, "sales", lambda *where: write_snapshot(sales, where[2]))
+    path = once(spark, f"sales {sf_dir}", lambda path: write_snapshot(sales, path))
     return read_parquet(spark, path, sales.schema)
 
 
 def landing_folder(spark: SparkSession, sf_dir: str) -> str:
-    return once(spark, sf_dir, "landing", write_landing)
+    return once(spark, f"landing {sf_dir}", lambda path: write_landing(spark, sf_dir, path))
 
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.schemas import MONEY
-from tallymart.sources.dimensions import BROADCAST_BYTES, Dimensions, checked_dimensions
+from tallymart.sources.dimensions import BROADCAST_BYTES, Dimensions, current_dimensions, file_fingerprint
 from tallymart.sources.tables import read_parquet
+from tallymart.workspace import once
 
 
 # The columns in use of the driver's tables. Stated, so that no job has
@@ -126,10 +127,18 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The tables the dimensions are made from.
+DIMENSION_TABLES = ("customer", "nation", "region", "supplier")
+
+
 def dimensions(spark: SparkSession, sf_dir: str, broadcast_bytes: int = BROADCAST_BYTES) -> Dimensions:
-    return checked_dimensions(
-        customers(spark, sf_dir),
-        stores(spark, sf_dir),
-        sellers(spark, sf_dir),
+    """The three dimensions, checked once for each state of the files they come from."""
+    paths = [f"{sf_dir}/{name}.parquet" for name in DIMENSION_TABLES]
+    folder = once(spark, "dimensions", lambda path: None)
+    return current_dimensions(
+        spark,
+        folder,
+        file_fingerprint(spark, paths),
+        lambda: (customers(spark, sf_dir), stores(spark, sf_dir), sellers(spark, sf_dir)),
         broadcast_bytes=broadcast_bytes,
     )

@@ -113,6 +113,16 @@ def entries(spark: SparkSession, folder: str) -> dict[str, int]:
     return {status.getPath().getName(): status.getModificationTime() for status in found}
 
 
+def files(spark: SparkSession, path: str) -> dict[str, list[int]]:
+    """Size and time of change of a file, or of every file below a folder, by path."""
+    store, where = _located(spark, path)
+    found, listing = {}, store.listFiles(where, True)
+    while listing.hasNext():
+        status = listing.next()
+        found[str(status.getPath().toString())] = [status.getLen(), status.getModificationTime()]
+    return found
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a file or folder; nothing happens if there is none."""
     store, where = _located(spark, path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import SparkSession
@@ -26,3 +27,16 @@ def shared_folder(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = _local_root()
     return f"{root.rstrip('/')}/tallymart/{name}-{uuid.uuid4().hex}"
+
+
+_written: dict[tuple[str, str], str] = {}
+
+
+def once(spark: SparkSession, name: str, write: Callable[[str], None]) -> str:
+    """Path of something that is written once per session, however many queries ask for it."""
+    key = (spark.conf.get("spark.app.id", ""), name)
+    if key not in _written:
+        path = shared_folder(spark, name.split()[0])
+        write(path)
+        _written[key] = path
+    return _written[key]
