@@ -70,12 +70,15 @@ class HeaderGroup:
 
 
 def read_headers(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """Header line per file, by whichever way this store allows."""
-    sample = files.select("file_path").first()
-    if sample is None or openable(sample["file_path"]):
-        return header_lines(files)
-    paths = [row["file_path"] for row in files.select("file_path").collect()]
-    return files.select("file_path").join(scanned_header_lines(spark, paths), "file_path", "left")
+    """Header line per file: of files that tasks can open by opening them, of others by a scan of their text."""
+    named = files.select("file_path")
+    others = named.filter(~openable(F.col("file_path")))
+    opened = header_lines(named.filter(openable(F.col("file_path"))))
+    # The reader that scans needs the names, as any reader does.
+    paths = [row["file_path"] for row in others.collect()]
+    if not paths:
+        return opened
+    return opened.unionByName(others.join(scanned_header_lines(spark, paths), "file_path", "left"))
 
 
 def stored_headers(gated: DataFrame) -> DataFrame:

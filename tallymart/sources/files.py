@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.functions.columns import base_name, canonical_path, decoded_path
@@ -54,54 +54,71 @@ def require_files(inventory: DataFrame) -> None:
         raise NoSalesData("no CSV files to process")
 
 
-def header_lines(files: DataFrame) -> DataFrame:
+# A header is looked for in this many bytes; a file whose first line is longer has none.
+HEADER_BYTES = 1 << 20
+
+
+def first_line(stream, most: int = HEADER_BYTES) -> str | None:
+    """The first line that is not blank; None if there is none, or none that ends within ``most`` bytes.
+
+    Blocks are searched once each, and what is left of one is at most a line.
+    """
+    held, seen, ended = b"", 0, False
+    while not ended and seen < most:
+        block = stream.read(min(1 << 16, most - seen))
+        ended = not block
+        held = (held if seen else b"") + block
+        seen += len(block)
+        *lines, rest = re.split(rb"\r\n|\n|\r", held) if ended or re.search(rb"[\r\n]", block) else [held]
+        for line in [*lines, rest] if ended else lines:
+            line = line.removeprefix(b"\xef\xbb\xbf")
+            if line.strip():
+                return line.decode("utf-8", "replace")
+        held = rest
+    return None
+
+
+def opened_by_arrow():
+    """A function from a path to Arrow's file system for it and its name there, for use within a task."""
+    from pyarrow import fs as pafs
+
+    stores = {}
+
+    def locate(path):
+        scheme, _, rest = path.partition("://")
+        if scheme == "file":
+            return stores.setdefault("file", pafs.LocalFileSystem()), rest
+        authority, _, key = rest.partition("/")
+        scheme = "s3" if scheme == "s3a" else scheme
+        if (scheme, authority) not in stores:
+            stores[scheme, authority] = pafs.FileSystem.from_uri(f"{scheme}://{authority}/")
+        store, root = stores[scheme, authority]
+        return store, f"{root.rstrip('/')}/{key}"
+
+    return locate
+
+
+def header_lines(files: DataFrame, opened: Callable = opened_by_arrow) -> DataFrame:
     """First non-blank line of each listed file, read by opening the files in tasks.
 
-    Costs one small read per file. A text scan would give the same lines but
-    read every byte of every file to get them.
+    Costs one small read per file, in constant memory. A text scan would give the same lines
+    but read every byte of every file to get them. ``opened`` is called in each task;
+    stores with endpoints or credentials of their own are opened by a function of one's own.
     """
 
     def open_files(batches):
-        # Nested, so that it travels to the workers by value.
-        import re
-
         import pandas as pd
-        from pyarrow import fs as pafs
-
-        stores = {}
-
-        def locate(path):
-            scheme, _, rest = path.partition("://")
-            if scheme == "file":
-                return stores.setdefault("file", pafs.LocalFileSystem()), rest
-            authority, _, key = rest.partition("/")
-            scheme = "s3" if scheme == "s3a" else scheme
-            if (scheme, authority) not in stores:
-                stores[scheme, authority] = pafs.FileSystem.from_uri(f"{scheme}://{authority}/")
-            store, root = stores[scheme, authority]
-            return store, f"{root.rstrip('/')}/{key}"
-
-        def first_line(path):
+
+        locate = opened()
+
+        def header(path):
             store, name = locate(path)
             with store.open_input_stream(name) as stream:
-                head = b""
-                while True:
-                    block = stream.read(1 << 16)
-                    head += block
-                    lines = re.split(rb"\r\n|\n|\r", head.removeprefix(b"\xef\xbb\xbf"))
-                    ended = lines[:-1] if block else lines
-                    for line in ended:
-                        if line.strip():
-                            return line.decode("utf-8", "replace")
-                    if not block:
-                        return None
+                return first_line(stream)
 
         for batch in batches:
             yield pd.DataFrame(
-                {
-                    "file_path": batch["file_path"],
-                    "header_line": [first_line(path) for path in batch["file_path"]],
-                },
+                {"file_path": batch["file_path"], "header_line": [header(path) for path in batch["file_path"]]},
                 columns=["file_path", "header_line"],
             )
 
@@ -118,12 +135,13 @@ def scanned_header_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame
     numbered = lines.select(
         decoded_path(F.col("file_path")).alias("file_path"), "value", F.monotonically_increasing_id().alias("at")
     )
-    heads = numbered.groupBy("file_path").agg(F.min_by("value", "at").alias("header_line"))
-    return heads.withColumn("header_line", F.regexp_replace("header_line", "^\ufeff", ""))
+    heads = numbered.groupBy("file_path").agg(F.min_by(F.struct("value"), "at").alias("first"))
+    line = F.regexp_replace("first.value", "^\ufeff", "")
+    return heads.select("file_path", F.when(F.octet_length(line) <= HEADER_BYTES, line).alias("header_line"))
 
 
-def openable(path: str) -> bool:
-    return path.partition("://")[0] in OPENABLE
+def openable(path: Column) -> Column:
+    return F.substring_index(path, "://", 1).isin(*OPENABLE)
 
 
 def escape_glob(path: str) -> str:

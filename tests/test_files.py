@@ -8,6 +8,7 @@ from tallymart.sources.files import (
     NoSalesData,
     escape_glob,
     file_inventory,
+    first_line,
     header_lines,
     require_files,
     scanned_header_lines,
@@ -110,6 +111,57 @@ def test_both_ways_to_read_headers_agree(spark, tmp_path):
     assert {line for path, line in opened if not path.endswith("long.csv")} == {HEADER}
 
 
+class Blocks:
+    """A stream that gives few bytes at a time and counts them."""
+
+    def __init__(self, content, step):
+        self.content, self.step, self.at = content, step, 0
+
+    def read(self, n):
+        block = self.content[self.at : self.at + min(n, self.step)]
+        self.at += len(block)
+        return block
+
+
+@pytest.mark.parametrize("step", [1, 2, 3, 1 << 16])
+def test_first_line_does_not_depend_on_blocks(step):
+    for content, line in {
+        b"": None,
+        b"a,b": "a,b",
+        b"\r\n \r\na,b\r\nc": "a,b",
+        b"\xef\xbb\xbfa,b\n1,2\n": "a,b",
+        b"\n\n\n": None,
+        b"a\rb": "a",
+        "ü,é\nx".encode(): "ü,é",
+    }.items():
+        assert first_line(Blocks(content, step)) == line, content
+
+
+def test_a_line_without_end_is_no_header_and_is_not_read_on():
+    endless = Blocks(b"x" * 5_000_000, 1 << 16)
+    assert first_line(endless, 1 << 20) is None
+    assert endless.at == 1 << 20
+    assert first_line(Blocks(b"x" * 100 + b"\ny", 7), 101) == "x" * 100
+
+
+def test_files_of_one_long_line_are_refused(spark, tmp_path):
+    folder = write(tmp_path, {"long.csv": "x" * 3_000_000, "fine.csv": f"{HEADER}\n{ROW}\n"})
+    assert verdicts(spark, folder) == {"long.csv": conform.MISSING, "fine.csv": None}
+    files = file_inventory(spark, folder)
+    paths = [row["file_path"] for row in files.collect()]
+    assert bag(header_lines(files)) == bag(scanned_header_lines(spark, paths))
+
+
+def test_each_file_is_read_by_the_way_its_store_allows(spark, tmp_path):
+    """Files of a store that tasks cannot open, beside others; which comes first does not matter."""
+    folder = write(tmp_path, {"a.csv": f"{HEADER}\n{ROW}\n", "b.csv": f"{HEADER},more\n{ROW},1\n"})
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.headers.link./in", f"file://{tmp_path}")
+    mixed = spark.createDataFrame([("viewfs://headers/in/a.csv",), (f"file://{folder}/b.csv",)], "file_path string")
+    found = {path: line for path, line in bag(conform.read_headers(spark, mixed))}
+    assert found == {"viewfs://headers/in/a.csv": HEADER, f"file://{folder}/b.csv": f"{HEADER},more"}
+
+
 def test_odd_file_names_are_read_literally(spark, tmp_path):
     names = ["a b.csv", "a+b.csv", "x[1].csv", "x1.csv", "p%41.csv", "{z}.csv", "ü.csv"]
     folder = write(tmp_path, {name: f"{HEADER}\n{ROW}\n" for name in names})
