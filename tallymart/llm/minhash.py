@@ -297,12 +297,15 @@ def compared_blocks(
 def similar_links(docs: DataFrame, classes: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
     """Links ``a``, ``b`` that unite similar classes (``node``, ``digest``, ``first_id``, ``bands``)."""
     buckets = classes.select("node", F.posexplode("bands").alias("band", "hash"))
-    shared = buckets.groupBy("band", "hash").agg(F.min("node").alias("leader"), F.count("*").alias("size"))
-    shared = shared.filter(F.col("size") > 1)
-    led = kept_table(
-        buckets.join(shared, ["band", "hash"]).select("band", "hash", "leader", "node"), "bucket-members"
-    )
-    members = led.select("band", "hash", "node")
+    shared = buckets.groupBy("band", "hash").agg(F.count("*").alias("size")).filter(F.col("size") > 1)
+    members = kept_table(buckets.join(shared, ["band", "hash"]), "bucket-members")
+    # The class that shares its buckets with most others leads each of them: it is likely to be
+    # similar to more of them than any, and leads many buckets of its group at once.
+    shares = members.groupBy("node").agg(F.sum("size").alias("shares"))
+    led = members.join(shares, "node")
+    chief = led.groupBy("band", "hash").agg(F.max_by("node", F.struct("shares", F.col("node"))).alias("leader"))
+    led = led.join(chief, ["band", "hash"])
+    members = members.drop("size")
     wanted = members.select("node").distinct().join(classes.select("node", "digest", "first_id"), "node")
     sets = kept_table(element_sets(docs, wanted), "element-sets")
 
