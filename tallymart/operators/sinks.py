@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymart.operators.joins import join_on
 from tallymart.operators.ledger import as_utc
 from tallymart.sources.files import file_inventory
 
@@ -71,17 +73,23 @@ def publish_version(
     return path
 
 
+def latest_run(spark: SparkSession, folder: str) -> tuple[int, str]:
+    """Run time and id of the newest published run, found by listing file names; of one second, the last by id."""
+    epoch = F.nullif(F.regexp_extract("file_path", r"/run_epoch=(\d+)/", 1), F.lit("")).cast("bigint")
+    run = F.regexp_extract("file_path", r"/run_id=([^/]+)/", 1)
+    newest = file_inventory(spark, folder).agg(F.max(F.struct(epoch.alias("epoch"), run.alias("run_id"))).alias("run"))
+    return tuple(newest.first()["run"])
+
+
 def latest_version(spark: SparkSession, folder: str) -> int:
-    """The newest run directory, found by listing file names."""
-    epoch = F.regexp_extract("file_path", r"/run_epoch=(\d+)/", 1)
-    found = file_inventory(spark, folder).agg(F.max(F.nullif(epoch, F.lit("")).cast("bigint")).alias("epoch"))
-    return found.first()["epoch"]
+    return latest_run(spark, folder)[0]
 
 
 def read_latest_version(spark: SparkSession, folder: str, schema=None) -> DataFrame:
+    """What the newest run has published, and nothing of any other run, be it of the same second."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    # The runs of a version tell themselves apart by their directories only.
-    return reader.parquet(f"{folder}/run_epoch={latest_version(spark, folder)}").drop("run_id")
+    epoch, run_id = latest_run(spark, folder)
+    return reader.parquet(f"{folder}/run_epoch={epoch}/run_id={run_id}")
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -91,11 +99,41 @@ def write_csv(df: DataFrame, path: str) -> None:
 def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], *, connections: int = 8) -> None:
     """Append to a database table; errors are raised, never swallowed.
 
+    Months that may be appended again, as after a late file or a failed run, are to be ``tagged``.
     One connection per partition, so the number of partitions is limited first.
     """
     df.repartition(connections).write.jdbc(url, table, mode="append", properties=properties)
 
 
+def tagged(df: DataFrame, month: str, run_id: str, moment: dt.datetime | None = None) -> DataFrame:
+    """Months to be appended to a table that only takes appends, so that appending them again does no harm.
+
+    Every row tells its run, its export and the number of rows that the export has of its
+    month. ``newest_export`` finds a month's rows by these.
+    """
+    moment = as_utc(moment or dt.datetime.now(dt.UTC))
+    sizes = df.groupBy(month).agg(F.count("*").alias("export_rows"))
+    # A row per month.
+    return join_on(df, F.broadcast(sizes), [month]).withColumns(
+        {
+            "run_id": F.lit(run_id),
+            "export_id": F.lit(uuid.uuid4().hex),
+            "exported_at": F.timestamp_micros(F.lit(int(moment.timestamp() * 1_000_000))),
+        }
+    )
+
+
+def newest_export(rows: DataFrame, month: str) -> DataFrame:
+    """Of a table of tagged rows the newest whole export of each month; one that broke off does not count."""
+    exports = rows.groupBy(month, "export_id").agg(
+        F.max("exported_at").alias("exported_at"), F.max("export_rows").alias("_wanted"), F.count("*").alias("_found")
+    )
+    whole = exports.filter(F.col("_wanted") == F.col("_found"))
+    newest = whole.groupBy(month).agg(F.max(F.struct("exported_at", "export_id"))["export_id"].alias("export_id"))
+    found = join_on(rows, newest, [month, "export_id"], "left_semi")
+    return found.drop("export_rows", "run_id", "export_id", "exported_at")
+
+
 def preview(df: DataFrame, order: list[str], rows: int = 20) -> DataFrame:
     """The first rows under a total order; the rest is never sorted as a whole."""
     return df.orderBy(*order).limit(rows)

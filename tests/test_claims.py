@@ -8,7 +8,7 @@ from dataclasses import replace
 from decimal import Decimal
 
 import pytest
-from fixtures import bag, dimensions
+from fixtures import HEADER, bag, dimensions
 from test_files import write
 from test_runs import DAY, csv, mart, run, sale, stream
 
@@ -286,3 +286,25 @@ def test_a_backlog_becomes_several_runs(spark, tmp_path):
     assert mart(spark, store) == one_seller("5.00")
     events = daily_run.read_events(spark, store).filter("status = 'I'")
     assert bag(events.groupBy("run_id").count()) == [("run-1", 2), ("run-1-00001", 2), ("run-1-00002", 1)]
+
+
+def test_twenty_thousand_small_files(spark, tmp_path):
+    """More files than one run takes, with three kinds of header and some that are no sales."""
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    turned = ",".join(reversed(HEADER.split(",")))
+    for n in range(20_000):
+        row = sale(1 + n % 2, 1, f"2024-0{1 + n % 3}-01")
+        text = csv(row) if n % 4 else csv(",".join(reversed(row.split(","))), header=turned)
+        if n % 1000 == 999:
+            text = csv("1,sugar", header="customer_id,product_name")
+        (folder / f"{n:05d}.{'txt' if n % 1000 == 500 else 'csv'}").write_text(text)
+    store = Store(str(tmp_path / "store"))
+    run(spark, str(folder), store, publish=False)
+    refused = 40
+    assert sum(row[3] for row in mart(spark, store)) == 20_000 - refused
+    events = daily_run.read_events(spark, store)
+    assert bag(events.groupBy("status").count()) == [("A", 20_000), ("E", refused), ("I", 20_000 - refused)]
+    assert events.select("run_id").distinct().count() == 2
+    run(spark, str(folder), store, "run-2", publish=False)
+    assert daily_run.read_events(spark, store).count() == events.count()

@@ -44,6 +44,37 @@ def test_versions_of_one_second_do_not_replace_each_other(spark, tmp_path):
     assert spark.read.parquet(folder).count() == 5
 
 
+def test_a_version_is_one_run(spark, tmp_path):
+    folder = str(tmp_path / "published")
+    first = dt.datetime(2024, 3, 1, 6, 0)
+    for run_id, n in (("run-1", 3), ("run-2", 2)):
+        sinks.publish_version(spark.range(n).toDF("n"), folder, first, run_id=run_id)
+    assert sinks.latest_run(spark, folder) == (1709272800000, "run-2")
+    assert bag(sinks.read_latest_version(spark, folder)) == [(0,), (1,)]
+    sinks.publish_version(spark.range(1).toDF("n"), folder, first + dt.timedelta(seconds=1), run_id="run-0")
+    assert sinks.read_latest_version(spark, folder).count() == 1
+
+
+def test_months_appended_again_count_once(spark, tmp_path):
+    """A late file, a repeated export and one that broke off, appended to a table that takes nothing but appends."""
+    table, month = str(tmp_path / "table"), "sales_month"
+    now = dt.datetime(2024, 4, 1, tzinfo=dt.UTC)
+
+    def export(run_id, minute, rows, broken=False):
+        df = spark.createDataFrame(rows, "seller int, sales_month string, total int")
+        out = sinks.tagged(df, month, run_id, now + dt.timedelta(minutes=minute))
+        (out.limit(1) if broken else out).write.mode("append").parquet(table)
+
+    export("run-1", 0, [(1, "2024-03", 10), (2, "2024-03", 20), (1, "2024-02", 5), (1, None, 1)])
+    export("run-2", 1, [(1, "2024-03", 15), (2, "2024-03", 20), (3, "2024-03", 1)])
+    export("run-2", 2, [(1, "2024-03", 15), (2, "2024-03", 20), (3, "2024-03", 1)])
+    export("run-3", 3, [(1, "2024-03", 99), (2, "2024-03", 99)], broken=True)
+    rows = spark.read.parquet(table)
+    assert bag(sinks.newest_export(rows, month), "seller", month, "total") == sorted(
+        [(1, "2024-02", 5), (1, "2024-03", 15), (1, None, 1), (2, "2024-03", 20), (3, "2024-03", 1)], key=repr
+    )
+
+
 def test_other_formats(spark, tmp_path):
     path = str(tmp_path / "json")
     sinks.write_snapshot(spark.range(3), path, data_format="json")
