@@ -366,18 +366,68 @@ def test_top_k_equals_brute_force(spark):
     assert topk.search(frame.limit(0)).count() == 0
 
 
-def test_top_k_of_an_id_repeated_in_a_tight_cell_equals_brute_force(spark):
+def floors(vector):
+    return np.floor(1024 * np.array(vector, np.float32).astype(float)).astype(np.int64)
+
+
+def plain_top_k(rows, every, k=10):
+    """Every row with a query's id asks for itself; all other rows of its length are its candidates."""
+    sound = [(i, floors(v)) for i, v in rows]
+    answers = Counter()
+    for at, (query, q) in enumerate(sound):
+        if query % every == 0:
+            found = sorted((-int(q @ v), i) for n, (i, v) in enumerate(sound) if n != at and len(v) == len(q))[:k]
+            answers.update((query, n + 1, i, -s) for n, (s, i) in enumerate(found))
+    return answers
+
+
+def test_every_row_of_a_repeated_id_asks(spark):
     rng = np.random.default_rng(13)
     centres = rng.standard_normal((64, 16))
     rows = [(6 * c + i, (centres[c] + 0.01 * rng.standard_normal(16)).tolist()) for c in range(64) for i in range(6)]
     rows += [(0, (centres[0] + 0.01 * rng.standard_normal(16)).tolist()) for _ in range(19)]
+    # Equal rows, other lengths, and numbers that need more than four bytes.
+    rows += [rows[0]] * 2 + [(1000, [1.0, 2.0]), (2000, [3.0, 1.0]), (7, [0.5, 0.5])] + [(3000, [2.2e6, *[1.0] * 15]), (1, [-2.2e6, *[2.0] * 15])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = Counter(tuple(r) for r in topk.search(frame, every=1000).collect())
+    assert found == plain_top_k(rows, 1000)
+
+
+def test_top_k_query_matches_sql_on_repeated_ids(tmp_path, spark):
+    rng = np.random.default_rng(14)
+    rows = [(int(i), rng.standard_normal(n).tolist()) for i in rng.integers(0, 40, 150) for n in (rng.choice([3, 4]),)]
+    rows += [(100, None), (200, [float("inf"), 1.0, 2.0]), (None, [1.0, 2.0, 3.0])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    database = duckdb.connect()
+    database.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    result = topk.search(spark.read.parquet(f"{tmp_path}/embeddings.parquet"))
+    expected = Counter(database.sql(f"SELECT {', '.join(result.columns)} FROM ({topk.ORACLE})").fetchall())
+    assert expected and Counter(map(tuple, result.collect())) == expected
+
+
+def test_clustered_data_is_searched_in_few_cells(spark, monkeypatch):
+    """Of all pairs of queries and cells less than half are searched, and nothing is missed."""
+    rng = np.random.default_rng(15)
+    centres = 3 * rng.standard_normal((20, 8))
+    rows = [(i, (centres[i % 20] + 0.2 * rng.standard_normal(8)).tolist()) for i in range(1500)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    found = topk.search(frame, every=1000).collect()
-    sound = [(i, np.floor(1024 * np.array(v, np.float32).astype(float)).astype(np.int64)) for i, v in rows]
-    asking = min((v for i, v in sound if i == 0), key=lambda v: v.tobytes())
-    expected = sorted((-int(asking @ v), i) for i, v in sound if i != 0)[:10]
-    mine = sorted((r["rank"], r["vec_id"], r["score"]) for r in found)
-    assert mine == [(n + 1, i, -s) for n, (s, i) in enumerate(expected)]
+    kept = {}
+    real = topk.kept_table
+    monkeypatch.setattr(topk, "kept_table", lambda df, name: kept.setdefault(name, real(df, name)))
+    monkeypatch.setattr(topk, "DATA_BLOCK", 20)
+    vectors = topk.packed(frame)
+    found = topk.top_k(vectors.filter("vec_id % 10 = 0"), vectors, rows_per_pivot=30)
+    assert Counter(tuple(r) for r in found.collect()) == plain_top_k(rows, 10)
+    cells, queries = kept["topk-sizes"].count(), 150
+    searched = kept["topk-first-asks"].count() + kept["topk-asks"].count()
+    assert cells > 20 and searched < cells * queries / 2
+
+
+def test_products_beyond_64_bits_are_an_error(spark):
+    for value in (1e300, 1e16):
+        frame = spark.createDataFrame([(0, [value] * 4), (1, [value] * 4)], "vec_id long, embedding array<double>")
+        with pytest.raises(Exception, match="beyond 64 bits"):
+            topk.search(frame).collect()
 
 
 # Texts
