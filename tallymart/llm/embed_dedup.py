@@ -4,7 +4,8 @@ Equal vectors are one class first. In each pass the classes are ordered
 lexicographically by the concatenated signs of random projections, and every vector is
 compared with the next ones of a bounded window: similar vectors share long runs of
 signs, so they come to lie close in some pass. Pairs are verified by their cosine in
-double precision, and the verified pairs of all passes are united to components.
+double precision, and each vector passes on its nearest verified pair on either side; these
+chains of all passes are united to components.
 
 A window sees only part of a large group, and a pair that no window meets may be joined
 by no chain. So the passes only shorten what follows, which is exact: vectors are dealt to the
@@ -22,9 +23,10 @@ pass, so what one pass cuts the others compare.
 
 Defined results: vectors that are NULL, empty, zero, or hold NULL or non-finite
 components link with nothing and are components of their own. Rows that repeat an id
-are one vector, the smallest of their sound ones, and each of them gets its results.
-Rows without an id link with nothing, have no component and are kept. Vectors of
-different lengths never link. Other columns are ignored.
+are vectors of their own: each is compared, has its links and its component, and rows of one id
+may lie in different ones. Rows without an id link with nothing, have no component
+and are kept. Vectors of different lengths never link. An empty table has no rows. Other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm.graph import components
@@ -55,14 +57,19 @@ PRODUCT_SLACK, ANGLE_SLACK = 1e-9, 1e-6
 SEED = 97
 
 
-def packed_vectors(embeddings: DataFrame) -> DataFrame:
-    """``vec_id`` and ``vector`` as the bytes of its doubles, for sound vectors with an id."""
+def is_sound() -> Column:
+    """Whether a row has an id and a vector of finite numbers that are not all zero."""
     vector = F.col("embedding").cast("array<double>")
-    sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), vector.alias("embedding")).filter(
-        F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & (F.size("embedding") > 0) & sound
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    some = F.exists(vector, lambda x: x != 0)
+    return F.coalesce(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite & some, F.lit(False))
+
+
+def packed_vectors(embeddings: DataFrame) -> DataFrame:
+    """``vec_id`` and ``vector`` as the bytes of its doubles, for every sound row."""
+    rows = embeddings.filter(is_sound()).select(
+        F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")
     )
-    rows = rows.filter(F.exists("embedding", lambda x: x != 0))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,7 +127,10 @@ def projected(classes: DataFrame, passes: int = PASSES, signs: int = SIGNS) -> D
 
 
 def window_links(nodes: np.ndarray, vectors: list[bytes], first: int, window: int, least: float) -> list[tuple[int, int]]:
-    """Verified pairs of rows and the ``window`` rows behind them, for pairs that end at ``first`` or later."""
+    """Verified pairs of rows and the ``window`` rows behind them, for pairs that end at ``first`` or later.
+
+    Of each row the nearest on either side: what several rows share, they pass on from one to the next.
+    """
     found = []
     for rows in by_length(vectors):
         unit = unit_matrix([vectors[r] for r in rows])
@@ -130,7 +140,14 @@ def window_links(nodes: np.ndarray, vectors: list[bytes], first: int, window: in
             cosines = unit[start : start + step] @ unit[start : start + step + window].T
             a, b = np.nonzero(cosines >= least)
             near = (right[b] > left[a]) & (right[b] - left[a] <= window) & (right[b] >= first)
-            found += zip(nodes[left[a[near]]].tolist(), nodes[right[b[near]]].tolist(), strict=True)
+            a, b = left[a[near]], right[b[near]]
+            # Pairs come in order of a, then b: the first of an a is its nearest, as is the last of a b.
+            order = np.argsort(b, kind="stable")
+            ahead = np.append(True, a[1:] != a[:-1])[: len(a)]
+            behind = np.zeros(len(b), bool)
+            behind[order] = np.append(b[order][1:] != b[order][:-1], True)[: len(b)]
+            chain = ahead | behind
+            found += zip(nodes[a[chain]].tolist(), nodes[b[chain]].tolist(), strict=True)
     return found
 
 
@@ -364,12 +381,10 @@ def near_duplicates(
     embeddings: DataFrame, least: float = LEAST_COSINE, passes: int = PASSES, window: int = WINDOW
 ) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` for every row."""
-    sound = packed_vectors(embeddings).groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    sound = kept_table(sound, "vectors")
-    # Equal vectors, under the smallest of their ids.
-    classes = kept_table(
-        sound.groupBy("vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "vector-classes"
-    )
+    sound = kept_table(packed_vectors(embeddings), "vectors")
+    # Equal vectors are a class. Ids name no class, as one may stand on different vectors.
+    classes = sound.groupBy("vector").agg(F.min("vec_id").alias("first_id"), F.count("*").alias("copies"))
+    classes = kept_table(classes.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
     links = kept_table(pass_links(classes, passes, window, SIGNS, least), "vector-links")
     found = kept_table(components(links), "vector-components")
     parts = classes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("part"), "vector")
@@ -379,42 +394,42 @@ def near_duplicates(
         found = kept_table(components(stars.unionByName(left_out)), "vector-components-joined")
     members = kept_table(classes.join(found, "node"), "vector-members")
     counts = linked_counts(members.select("component", "node", "vector", "copies"), least)
+    smallest = members.groupBy("component").agg(F.min("first_id").alias("least_id"))
     of_class = (
-        classes.select("vector", "node", "copies")
+        classes.select("vector", "node", "copies", "first_id")
         .join(found, "node", "left")
+        .join(smallest, "component", "left")
         .join(counts, "node", "left")
         .select(
             "vector",
-            F.coalesce("component", "node").alias("component_id"),
-            (F.coalesce("reach", "copies") - 1).alias("n_links"),
+            F.coalesce("least_id", "first_id").alias("component_id"),
+            (F.coalesce("reach", "copies") - 1).cast("long").alias("n_links"),
         )
     )
-    of_id = sound.join(of_class, "vector").select(F.col("vec_id").alias("id"), "n_links", "component_id")
-    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"))
-    joined = rows.join(of_id, F.col("vec_id") == F.col("id"), "left")
-    component = F.coalesce("component_id", "vec_id")
-    return joined.select(
-        "vec_id",
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        component.alias("component_id"),
-        F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
+    linked = sound.join(of_class, "vector").select("vec_id", "n_links", "component_id")
+    own = F.col("vec_id").cast("long")
+    alone = embeddings.filter(~is_sound()).select(
+        own.alias("vec_id"), F.lit(0).cast("long").alias("n_links"), own.alias("component_id")
     )
+    kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))
+    return linked.unionByName(alone).withColumn("kept", kept)
 
 
 ORACLE = f"""
-WITH RECURSIVE v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+WITH RECURSIVE rows AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings),
+v AS MATERIALIZED (
+  SELECT r, vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM rows
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0
-), links AS (
-  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+), links AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b FROM v a JOIN v b ON a.r <> b.r AND len(a.e) = len(b.e)
   WHERE list_cosine_similarity(a.e, b.e) >= {LEAST_COSINE}
 ), reach(id, other) AS (
-  SELECT vec_id, vec_id FROM embeddings
+  SELECT r, r FROM rows
   UNION SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other
-), components AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
-SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
-FROM embeddings e JOIN components c ON c.id = e.vec_id
-LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) n ON n.a = e.vec_id
+), components AS (SELECT id, min(vec_id) AS component_id FROM reach JOIN rows ON r = other GROUP BY id)
+SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, coalesce(e.vec_id = c.component_id, true) AS kept
+FROM rows e JOIN components c ON c.id = e.r
+LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) n ON n.a = e.r
 """

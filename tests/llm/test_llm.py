@@ -265,27 +265,56 @@ def cluster_rows():
     return rows
 
 
-def test_embedding_links_equal_brute_force(spark, monkeypatch):
-    rows = cluster_rows()
-    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 AS node")
-    found = {r["vec_id"]: r for r in embed_dedup.near_duplicates(frame, window=8).collect()}
-    sound = {i: np.array(v, np.float32).astype(float) for i, v in rows if i is not None and i not in range(400, 405)}
-    links = {
-        a: {b for b, y in sound.items() if b != a and len(x) == len(y) and x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= 0.9}
-        for a, x in sound.items()
-    }
-    for start in sound:
-        seen, todo = {start}, [start]
+def plain_links(rows):
+    """Every row is a vector: its links, and the smallest id that it reaches."""
+    sound = [n for n, (i, v) in enumerate(rows) if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    unit = {n: np.array(rows[n][1], np.float32).astype(float) for n in sound}
+    unit = {n: x / np.linalg.norm(x) for n, x in unit.items()}
+    links = {a: [b for b in sound if b != a and len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= 0.9] for a in sound}
+    out = []
+    for n, (i, _) in enumerate(rows):
+        seen, todo = {n}, [n]
         while todo:
-            for other in links[todo.pop()] - seen:
+            for other in set(links.get(todo.pop(), ())) - seen:
                 seen.add(other)
                 todo.append(other)
-        row = found[start]
-        assert (row["n_links"], row["component_id"], row["kept"]) == (len(links[start]), min(seen), start == min(seen))
-    assert all(found[i]["n_links"] == 0 and found[i]["kept"] for i in (400, 401, 402, 403, 404))
+        least = None if i is None else min(rows[m][0] for m in seen)
+        out.append((i, len(links.get(n, ())), least, i is None or i == least))
+    return Counter(out)
+
+
+REPEATED = [(1, [1.0, 0.0]), (5, [1.0, 0.01]), (5, [0.0, 1.0]), (9, [0.01, 1.0]), (9, [0.0, 1.0]), (2, [-1.0, 0.0]), (2, [-1.0, 0.0])]
+
+
+@pytest.mark.parametrize("rows", [cluster_rows(), REPEATED], ids=["clusters", "repeated ids"])
+def test_embedding_links_equal_brute_force(spark, rows):
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 AS node", "2 AS part")
+    found = embed_dedup.near_duplicates(frame, window=8)
+    columns = ("vec_id", "n_links", "component_id", "kept")
+    assert Counter(tuple(row[c] for c in columns) for row in found.collect()) == plain_links(rows)
     assert embed_dedup.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_embedding_query_matches_sql_on_repeated_ids(tmp_path, spark):
+    rows = cluster_rows() + [(i, v) for i, v in REPEATED]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    database = duckdb.connect()
+    database.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    result = embed_dedup.near_duplicates(spark.read.parquet(f"{tmp_path}/embeddings.parquet"))
+    expected = Counter(database.sql(f"SELECT {', '.join(result.columns)} FROM ({embed_dedup.ORACLE})").fetchall())
+    assert Counter(map(tuple, result.collect())) == expected
+
+
+def test_windows_pass_on_few_links():
+    """A group of near copies gives two links a vector at most, and stays one group."""
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal(32)
+    vectors = [(base + 0.05 * rng.standard_normal(32)).tobytes() for _ in range(200)]
+    links = embed_dedup.window_links(np.arange(200), vectors, 0, 32, 0.9)
+    assert 199 <= len(links) <= 400 and all(0 < b - a <= 32 for a, b in links)
+    assert united_parts(links, {i: i for i in range(200)}) == {frozenset(range(200))}
+
+
 def brute_vector_results(vectors):
     """Per row its links and the smallest row of its component."""
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
