@@ -16,8 +16,12 @@ opening id adds one, a closing id takes it away, and what lies inside is learned
 
 Defined results: a NULL text is empty; a NULL role is the empty role; rows of a
 conversation are ordered by turn (NULL last), then role and text; repeated rows are
-repeated turns; rows with a NULL conv_id are one conversation. An empty table has no
-conversations. Other columns are ignored.
+repeated turns; rows with a NULL conv_id are one conversation. A very long text is a turn like any
+other. An empty table has no conversations. Other columns are ignored.
+
+All work on a turn is done where the turn is read. What is told per conversation is a digest
+of its bytes in their order, which nothing but one pass over them gives: the texts of a
+conversation, and no more than these, stream through one task.
 """
 
 from __future__ import annotations
@@ -38,12 +42,16 @@ FIRST_RESERVED = 50257
 RESERVED = {text: FIRST_RESERVED + i for i, text in enumerate(CONTROLS)}
 TURN_MARKS = {"system": ("<<SYS>>", "<</SYS>>"), "user": ("[INST]", "[/INST]"), "assistant": ("<s>", "</s>")}
 
+# Turns encoded together.
+TURNS_PER_STEP = 512
+
 _CONTROL = re.compile("|".join(map(re.escape, sorted(CONTROLS, key=len, reverse=True))))
 _ESCAPED = re.compile(r"\\(\\?)")
 
 SEGMENT_SCHEMA = (
     "conv_id long, turn long, role string, text string, ids array<int>, loss_mask array<byte>, formatted string"
 )
+READ_SCHEMA = "conv_id long, turn long, role string, text string, learned string, formatted_chars long"
 DIGEST_SCHEMA = (
     "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 )
@@ -100,6 +108,24 @@ def render(role: str, text: str) -> str:
     return "[ROLE]" + escape(role) + "[/ROLE]" + escape(text) + "</s>"
 
 
+def assembled_turns(roles: list[str], texts: list[str], path: str) -> list[np.ndarray]:
+    """The ids of some turns, with the reserved ones spliced around what was encoded by itself."""
+    encoder = _tokenizer(path)
+    text_ids = [x.ids for x in encoder.encode_batch(texts, add_special_tokens=False)]
+    others = sorted({role for role in roles if role not in TURN_MARKS})
+    role_ids = {role: x.ids for role, x in zip(others, encoder.encode_batch(others, add_special_tokens=False), strict=True)}
+    return [assemble(role, ids, role_ids.get(role, [])) for role, ids in zip(roles, text_ids, strict=True)]
+
+
+def plain_turns(turns: DataFrame) -> DataFrame:
+    return turns.select(
+        F.col("conv_id").cast("long").alias("conv_id"),
+        F.col("turn").cast("long").alias("turn"),
+        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    )
+
+
 def format_turns(turns: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """One row per turn: its ids with the reserved ones, its loss mask and its formatted string.
 
@@ -109,14 +135,11 @@ def format_turns(turns: DataFrame, tokenizer: str | None = None) -> DataFrame:
     path = tokenizer or default_tokenizer()
 
     def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _tokenizer(path)
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
+            for start in range(0, batch.num_rows, TURNS_PER_STEP):
+                part = batch.slice(start, TURNS_PER_STEP)
                 roles, texts = part.column("role").to_pylist(), part.column("text").to_pylist()
-                text_ids = [x.ids for x in encoder.encode_batch(texts, add_special_tokens=False)]
-                role_ids = [x.ids for x in encoder.encode_batch(roles, add_special_tokens=False)]
-                ids = [assemble(*turn) for turn in zip(roles, text_ids, role_ids, strict=True)]
+                ids = assembled_turns(roles, texts, path)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(part.column(name) for name in ("conv_id", "turn", "role", "text")),
@@ -127,13 +150,41 @@ def format_turns(turns: DataFrame, tokenizer: str | None = None) -> DataFrame:
                     names=["conv_id", "turn", "role", "text", "ids", "loss_mask", "formatted"],
                 )
 
-    rows = turns.select(
-        F.col("conv_id").cast("long").alias("conv_id"),
-        F.col("turn").cast("long").alias("turn"),
-        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    )
-    return rows.mapInArrow(formatted, SEGMENT_SCHEMA)
+    return plain_turns(turns).mapInArrow(formatted, SEGMENT_SCHEMA)
+
+
+def read_turns(turns: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """Format every turn and read it back: role and text from its formatted string, and ``learned``
+    from the ids under its loss mask, NULL where it is the text of the turn.
+
+    Ids and strings do not leave the task that makes them.
+    """
+    path = tokenizer or default_tokenizer()
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, TURNS_PER_STEP):
+                part = batch.slice(start, TURNS_PER_STEP)
+                roles, texts = part.column("role").to_pylist(), part.column("text").to_pylist()
+                ids = assembled_turns(roles, texts, path)
+                strings = [render(*turn) for turn in zip(roles, texts, strict=True)]
+                found = [parse(string) for string in strings]
+                masked = [x[loss_mask(x).astype(bool)].tolist() for x in ids]
+                learned = _tokenizer(path).decode_batch(masked, skip_special_tokens=False)
+                told = [None if text == said else text for text, (_, said) in zip(learned, found, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("conv_id"),
+                        part.column("turn"),
+                        pa.array([role for role, _ in found], pa.string()),
+                        pa.array([text for _, text in found], pa.string()),
+                        pa.array(told, pa.string()),
+                        pa.array([len(string) for string in strings], pa.int64()),
+                    ],
+                    names=["conv_id", "turn", "role", "text", "learned", "formatted_chars"],
+                )
+
+    return plain_turns(turns).mapInArrow(read, READ_SCHEMA)
 
 
 def with_control_case(conversations: DataFrame) -> DataFrame:
@@ -168,10 +219,10 @@ class _Digest:
         self.conv_id, self.n_turns, self.loss_chars, self.formatted_chars = conv_id, 0, 0, 0
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
 
-    def add(self, formatted: str, learned: str) -> None:
-        role, text = parse(formatted)
+    def add(self, role: str, text: str, learned: str | None, formatted_chars: int) -> None:
+        learned = text if learned is None else learned
         self.n_turns += 1
-        self.formatted_chars += len(formatted)
+        self.formatted_chars += formatted_chars
         self.turns.update(f"{role}\n{text}\n".encode())
         self.loss_chars += len(learned)
         self.loss.update(learned.encode())
@@ -190,39 +241,29 @@ class _Digest:
 def read_back(turns: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """Format all conversations and report, per conversation, what can be read from the output.
 
-    Roles and texts are parsed from the formatted strings; the learned text is decoded
-    from the ids under the loss mask. The turns of a conversation stream through one
-    task in order; only digests are held, so a long conversation needs no memory.
+    The turns of a conversation stream through one task in order; only digests are
+    held, so a long conversation needs no memory.
     """
-    path = tokenizer or default_tokenizer()
     # role and text order repeated turn numbers; they are not what is read back.
-    segments = format_turns(turns, path).repartition("conv_id")
-    ordered = segments.sortWithinPartitions(
-        F.col("conv_id"), F.col("turn").asc_nulls_last(), F.col("role"), F.col("text")
+    ordered = (
+        read_turns(turns, tokenizer)
+        .repartition("conv_id")
+        .sortWithinPartitions(F.col("conv_id"), F.col("turn").asc_nulls_last(), F.col("role"), F.col("text"))
     )
     names = [field.split()[0] for field in DIGEST_SCHEMA.split(", ")]
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = _tokenizer(path)
         types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
         current: _Digest | None = None
         for batch in batches:
             done = []
-            learned = [
-                np.asarray(ids, np.int64)[np.asarray(mask, bool)].tolist()
-                for ids, mask in zip(
-                    batch.column("ids").to_pylist(), batch.column("loss_mask").to_pylist(), strict=True
-                )
-            ]
-            texts = decoder.decode_batch(learned, skip_special_tokens=False)
-            for conv_id, formatted, text in zip(
-                batch.column("conv_id").to_pylist(), batch.column("formatted").to_pylist(), texts, strict=True
-            ):
+            columns = (batch.column(name).to_pylist() for name in ("conv_id", "role", "text", "learned", "formatted_chars"))
+            for conv_id, *turn in zip(*columns, strict=True):
                 if current is None or conv_id != current.conv_id:
                     if current is not None:
                         done.append(current.row())
                     current = _Digest(conv_id)
-                current.add(formatted, text)
+                current.add(*turn)
             if done:
                 columns = [pa.array(x, t) for x, t in zip(zip(*done, strict=True), types, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -230,8 +271,7 @@ def read_back(turns: DataFrame, tokenizer: str | None = None) -> DataFrame:
             columns = [pa.array([x], t) for x, t in zip(current.row(), types, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    needed = ordered.select("conv_id", "ids", "loss_mask", "formatted")
-    return needed.mapInArrow(digests, DIGEST_SCHEMA)
+    return ordered.drop("turn").mapInArrow(digests, DIGEST_SCHEMA)
 
 
 def _escaped_sql(column: str) -> str:
