@@ -10,7 +10,8 @@ backpropagation through time on a bounded sample: for each language windows of t
 Defined results: a text that is NULL or has no letter is ``und`` with score 0; so is
 every text if no language could be learned. Ties go to the language that sorts
 first. Repeated rows are labelled alike. Documents without a language are not learned
-from. Extra columns are dropped.
+from. A very long text is read whole, in a block of its own. An empty table gives no rows. Extra
+columns are dropped, and kept by ``accepted``, whatever their names.
 """
 
 from __future__ import annotations

@@ -13,8 +13,9 @@ skewed. Texts without a keyword, nearly all, are only searched and counted.
 
 Defined results: a NULL text counts as the empty text, which has no words and no labels.
 The base phrases are found wherever their words stand in a row, whatever the rules say.
-Repeated rows are scanned alike; extra columns are kept by ``scan``, whose own columns
-replace columns of the same name.
+Repeated rows are scanned alike; a very long text is scanned whole, within its row; an empty table
+gives no rows. Extra columns are kept by ``scan``, whose own columns replace columns of
+the same name.
 """
 
 from __future__ import annotations

@@ -20,7 +20,9 @@ case. A text of fewer than five words is one run of them; a text that is NULL or
 word links with nothing. Rows without an id are in no group and are kept. Repeated rows
 are in one group. An id that stands on different texts is in the groups of all of them; a group
 has the smallest id of its texts, and of several texts with this id the one with the smallest
-digest is kept, so two groups can have one name. Other columns are ignored.
+digest is kept, so two groups can have one name. A very long text is signed whole, in a block
+of its own. An empty table gives no rows. Other columns are ignored, and kept by
+``one_of_each``, whatever their names.
 """
 
 from __future__ import annotations

@@ -14,9 +14,10 @@ A quota is at most three times a source's blocks, so no block, and no document,
 taken more than three times. All draws are seeded; repeated runs agree.
 
 Defined results: a NULL text has no words; documents without words are taken 0 times;
-a NULL source is a source of its own, sorted last; repeated rows are packed one by
-one, and documents with equal keys in an order by their size. Without any words all
-targets are 0. Columns beside those of documents are not looked at.
+a NULL source is a source of its own, sorted last; repeated rows are numbered, dealt to buckets
+like other documents, and packed one by one. A very long text reaches into many blocks
+and is cut where they end. An empty table gives an empty mixture; without any words all
+targets are 0. Columns beside those of documents do not change the mixture.
 """
 
 from __future__ import annotations
@@ -47,7 +48,8 @@ MAX_SOURCES = 100_000
 # Documents that are put in order together, on average.
 ROWS_PER_BUCKET = 5_000
 # Groups of shards that draw their counts at the driver; each group's shards draw in a task.
-MAX_SHARD_GROUPS = 1024
+# The numbers drawn there, one per group and source, are bounded too.
+MAX_SHARD_GROUPS, MAX_DRAWN = 1024, 4_000_000
 SEED = 20_240_331
 
 
@@ -102,10 +104,13 @@ def plan_sources(sizes: DataFrame, block_words: int = BLOCK_WORDS) -> list[Sourc
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """doc_id, source and size of every document, and a digest of all its columns."""
+    """doc_id, source and size of every document, a digest of all its columns, and a number for each of equal rows."""
     words = F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(WORD))
     columns = [F.col(name) for name in DOCUMENT_COLUMNS if name in docs.columns]
-    return docs.select("doc_id", "source", words.cast("long").alias("size"), F.xxhash64(*columns).alias("digest"))
+    rows = docs.select("doc_id", "source", words.cast("long").alias("size"), F.xxhash64(*columns).alias("digest"))
+    # Equal rows are counted before they are numbered, so none of them are gathered.
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("copies"))
+    return counted.select(*rows.columns, F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
 
 
 def sources_frame(sizes: DataFrame, planned: Sequence[Source]) -> DataFrame:
@@ -124,7 +129,7 @@ def laid_out(sizes: DataFrame, planned: Sequence[Source]) -> DataFrame:
     """
     buckets = 1 + sizes.count() // ROWS_PER_BUCKET
     sources = F.broadcast(sources_frame(sizes, planned))
-    bucket = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "digest"), F.lit(buckets))
+    bucket = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "digest", "copy"), F.lit(buckets))
     rows = (
         sizes.join(sources, sizes["source"].eqNullSafe(sources["source"]))
         .drop(sources["source"])
@@ -139,7 +144,7 @@ def laid_out(sizes: DataFrame, planned: Sequence[Source]) -> DataFrame:
     )
     within = (
         Window.partitionBy("source_number", "bucket")
-        .orderBy("doc_id", "digest", "size")
+        .orderBy("doc_id", "digest", "copy")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
@@ -214,7 +219,8 @@ def dealt_slots(
     quotas = np.array([s.quota for s in planned], np.int64)
     blocks = np.array([max(1, s.blocks) for s in planned], np.int64)
     shards = math.ceil(int(quotas.sum()) / shard_slots)
-    per_group = max(1, math.ceil(shards / MAX_SHARD_GROUPS))
+    most_groups = max(1, min(MAX_SHARD_GROUPS, MAX_DRAWN // max(1, len(planned))))
+    per_group = max(1, math.ceil(shards / most_groups))
     groups, left = [], quotas.copy()
     rng = np.random.default_rng(seed)
     for group in range(math.ceil(shards / per_group)):
@@ -305,12 +311,11 @@ def mixed_texts(docs: DataFrame, mixture: Mixture) -> DataFrame:
     text and length in place of the document's, and the columns ``shard`` and ``slot``. Further
     columns of a document are in the struct ``others``; equal documents have those of any of them.
 
-    A document's spans meet its text in one row, so each text moves once. Rows that are
-    equal in all columns are one document that is there several times; its spans belong
-    to any of them, so they are joined to one.
+    The spans of one row meet its text together. Rows that are equal in all columns have their
+    text in common, and each has its own spans, so many of them are no large group.
     """
     key = ["doc_id", "digest"]
-    listed = mixture.spans.groupBy(*key).agg(
+    listed = mixture.spans.groupBy(*key, "copy").agg(
         F.collect_list(F.struct("shard", "slot", F.col("from_word").alias("from"), F.col("n_words").alias("n"))).alias(
             "held"
         )

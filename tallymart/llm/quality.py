@@ -15,7 +15,9 @@ with the smallest hash of their id. Everything else covers all documents and who
 Defined results: a NULL text counts as the empty text; a text without any term, or
 without a similar labelled text, scores the mean of the labels' scores, and 0.5 if
 nothing is labelled. Labels that are NULL are not learned; of several labels of one
-document the largest counts. Repeated rows score alike. Extra columns are dropped.
+document the largest counts. Repeated rows score alike. A very long text is counted whole, in a
+block of its own. An empty table gives no rows. Extra columns are dropped by ``score``
+and kept by ``accepted``, whatever their names.
 """
 
 from __future__ import annotations

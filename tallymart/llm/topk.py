@@ -17,7 +17,7 @@ Defined results: vectors that are NULL, empty, or hold NULL or non-finite compon
 nor do rows without an id. Every row with a query's id asks for itself, and all rows but itself are its
 candidates, equal and equally named ones included. Vectors of different lengths have no
 inner product and do not meet. Ties go to the smaller id. Fewer candidates than k give fewer
-rows. A product beyond 64 bits is an error. Other columns are ignored.
+rows, an empty table none. A product beyond 64 bits is an error. Other columns are ignored.
 """
 
 from __future__ import annotations
