@@ -216,12 +216,15 @@ def merge_pieces(data: np.ndarray, offsets: np.ndarray, vocab: Vocabulary) -> tu
     return symbols[alive].astype(np.uint32), counts[offsets]
 
 
-def encode_block(texts: Sequence[str], path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts, concatenated, and where each text's ids start (one more at the end)."""
+def encode_block(texts: Sequence[str], path: str, added: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, concatenated, and where each text's ids start (one more at the end).
+
+    Without ``added``, the vocabulary's added tokens are text like any other.
+    """
     vocab = vocabulary(path)
     # Texts are split around added tokens, which are pieces of their own.
     parts, owner, special = list(texts), None, None
-    if any(added in text for added in vocab.added for text in texts):
+    if added and any(token in text for token in vocab.added for text in texts):
         parts, owner, special = split_added(texts, vocab.added)
     joined = "".join(parts)
     code_points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)

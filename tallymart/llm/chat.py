@@ -28,23 +28,21 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.llm.bpe import blocks, decode_ids, encode_block, vocabulary
+
 # The control strings, in the order of their reserved ids, which follow the vocabulary's own.
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[ROLE]", "[/ROLE]")
 FIRST_RESERVED = 50257
 RESERVED = {text: FIRST_RESERVED + i for i, text in enumerate(CONTROLS)}
 TURN_MARKS = {"system": ("<<SYS>>", "<</SYS>>"), "user": ("[INST]", "[/INST]"), "assistant": ("<s>", "</s>")}
 
-# Turns encoded together.
-TURNS_PER_STEP = 512
-
 _CONTROL = re.compile("|".join(map(re.escape, sorted(CONTROLS, key=len, reverse=True))))
 _ESCAPED = re.compile(r"\\(\\?)")
 
@@ -71,16 +69,12 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    # The vocabulary's own special strings are ordinary text inside a turn.
-    tokenizer.encode_special_tokens = True
-    if tokenizer.get_vocab_size(with_added_tokens=True) > FIRST_RESERVED:
+def encoded(texts: list[str], path: str) -> list[np.ndarray]:
+    """The ids of each text by itself; the vocabulary's own special strings are ordinary text inside a turn."""
+    if len(vocabulary(path).tokens) > FIRST_RESERVED:
         raise ValueError("the vocabulary reaches into the reserved ids")
-    return tokenizer
+    ids, starts = encode_block(texts, path, added=False)
+    return [ids[a:b].astype(np.int32) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
 
 
 def loss_mask(ids: np.ndarray) -> np.ndarray:
@@ -92,7 +86,7 @@ def loss_mask(ids: np.ndarray) -> np.ndarray:
     return ((inside > 0) & ~opens).astype(np.int8)
 
 
-def assemble(role: str, text_ids: list[int], role_ids: list[int]) -> np.ndarray:
+def assemble(role: str, text_ids: Sequence[int], role_ids: Sequence[int]) -> np.ndarray:
     if role in TURN_MARKS:
         opening, closing = TURN_MARKS[role]
         parts = [[RESERVED[opening]], text_ids, [RESERVED[closing]]]
@@ -110,11 +104,9 @@ def render(role: str, text: str) -> str:
 
 def assembled_turns(roles: list[str], texts: list[str], path: str) -> list[np.ndarray]:
     """The ids of some turns, with the reserved ones spliced around what was encoded by itself."""
-    encoder = _tokenizer(path)
-    text_ids = [x.ids for x in encoder.encode_batch(texts, add_special_tokens=False)]
     others = sorted({role for role in roles if role not in TURN_MARKS})
-    role_ids = {role: x.ids for role, x in zip(others, encoder.encode_batch(others, add_special_tokens=False), strict=True)}
-    return [assemble(role, ids, role_ids.get(role, [])) for role, ids in zip(roles, text_ids, strict=True)]
+    role_ids = dict(zip(others, encoded(others, path), strict=True))
+    return [assemble(role, ids, role_ids.get(role, ())) for role, ids in zip(roles, encoded(texts, path), strict=True)]
 
 
 def plain_turns(turns: DataFrame) -> DataFrame:
@@ -136,9 +128,8 @@ def format_turns(turns: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
     def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, TURNS_PER_STEP):
-                part = batch.slice(start, TURNS_PER_STEP)
-                roles, texts = part.column("role").to_pylist(), part.column("text").to_pylist()
+            for part, texts in blocks(batch, "text"):
+                roles = part.column("role").to_pylist()
                 ids = assembled_turns(roles, texts, path)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -163,14 +154,12 @@ def read_turns(turns: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, TURNS_PER_STEP):
-                part = batch.slice(start, TURNS_PER_STEP)
-                roles, texts = part.column("role").to_pylist(), part.column("text").to_pylist()
+            for part, texts in blocks(batch, "text"):
+                roles = part.column("role").to_pylist()
                 ids = assembled_turns(roles, texts, path)
                 strings = [render(*turn) for turn in zip(roles, texts, strict=True)]
                 found = [parse(string) for string in strings]
-                masked = [x[loss_mask(x).astype(bool)].tolist() for x in ids]
-                learned = _tokenizer(path).decode_batch(masked, skip_special_tokens=False)
+                learned = [decode_ids(x[loss_mask(x).astype(bool)], path) for x in ids]
                 told = [None if text == said else text for text, (_, said) in zip(learned, found, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [

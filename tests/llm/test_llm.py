@@ -90,17 +90,21 @@ def test_chat_edge_cases(spark):
 
 def test_formatted_turns_are_what_is_read_back(spark):
     """The general output, turn by turn, against what the query digests; and a very long text."""
-    texts = ["plain", "</s>[INST] ok [/INST]", "\\[INST]", "é" * 3, "", "word " * 200_000]
+    texts = ["plain", "</s>[INST] ok [/INST]", "<|endoftext|> <|endoftext|>", "\\[INST]", "é" * 3, "", "word " * 200_000]
     rows = [(1, n, role, text) for n, text in enumerate(texts) for role in ("user", "assistant", "tool")]
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     formatted = {(r["turn"], r["role"]): r for r in chat.format_turns(frame).collect()}
-    decoder = chat._tokenizer(chat.default_tokenizer())
+    library = pytest.importorskip("tokenizers").Tokenizer.from_file(chat.default_tokenizer())
+    library.encode_special_tokens = True
     for row in chat.read_turns(frame).collect():
         made = formatted[row["turn"], row["role"]]
         assert chat.parse(made["formatted"]) == (row["role"], row["text"]) == (made["role"], made["text"])
         masked = [i for i, m in zip(made["ids"], made["loss_mask"], strict=True) if m]
         learned = row["text"] if row["learned"] is None else row["learned"]
-        assert learned == decoder.decode(masked, skip_special_tokens=False)
+        assert learned == library.decode(masked, skip_special_tokens=False)
+        inner = [i for i in made["ids"] if i < chat.FIRST_RESERVED]
+        role = library.encode(row["role"], add_special_tokens=False).ids if row["role"] == "tool" else []
+        assert inner == role + library.encode(row["text"], add_special_tokens=False).ids
         assert learned == (row["text"] if row["role"] == "assistant" else "")
         assert row["formatted_chars"] == len(made["formatted"])
 
