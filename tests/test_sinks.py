@@ -125,8 +125,23 @@ def test_jdbc_scan_is_split_by_key_range():
         1000,
         16,
     )
-    with pytest.raises(ValueError, match="bounds"):
-        tables.read_jdbc(session, "jdbc:x", "customer", properties, split_column="customer_id")
+    assert options["numPartitions"] == 16
+
+
+@pytest.mark.parametrize("low", [5, None])
+def test_jdbc_scan_asks_for_its_key_range(low):
+    session = FakeSession()
+    asked = Recorder()
+    asked.first = lambda: {"low": low, "high": 90}
+    session.read.result = asked
+    tables.read_jdbc(session, "jdbc:x", "customer", {}, split_column="customer_id")
+    (range_query, _), (scan, options) = session.read.calls
+    assert "min(customer_id)" in range_query[1] and "FROM customer" in range_query[1]
+    assert scan == ("jdbc:x", "customer")
+    if low is None:
+        assert options == {"properties": {}}
+    else:
+        assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == (5, 90, tables.CONNECTIONS)
 
 
 def test_jdbc_append_raises(spark):
