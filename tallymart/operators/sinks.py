@@ -43,6 +43,15 @@ def write_partitioned(
     writer.parquet(path)
 
 
+# The characters that Spark writes as codes in the names of partition directories.
+ESCAPED = frozenset('"#%\'*/:=?\\{[]^\x7f') | {chr(code) for code in range(32)}
+
+
+def partition_folder(column: str, value: str) -> str:
+    """The directory of a partition value, as Spark's own writers name it."""
+    return f"{column}=" + "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in value)
+
+
 def epoch_millis(run_ts: dt.datetime) -> int:
     """Whole seconds of the run time, as milliseconds."""
     return int(as_utc(run_ts).timestamp()) * 1000
@@ -65,7 +74,7 @@ def publish_version(
     Run times are whole seconds, so the run's id is part of the path: runs of one
     second are one version and stand side by side in it.
     """
-    path = f"{folder}/run_epoch={epoch_millis(run_ts)}/run_id={run_id}"
+    path = f"{folder}/run_epoch={epoch_millis(run_ts)}/{partition_folder('run_id', run_id)}"
     if partition_columns:
         write_partitioned(df, path, partition_columns)
     else:

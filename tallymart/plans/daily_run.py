@@ -9,6 +9,7 @@ and should that attempt still be alive, its last step fails.
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
@@ -32,6 +33,7 @@ from tallymart.schemas import (
     STORED_SCHEMA,
     TOTALS_SCHEMA,
 )
+from tallymart.sources import storage
 from tallymart.sources.dimensions import Dimensions
 from tallymart.sources.files import CSV_SUFFIX, NoSalesData, file_inventory, require_files
 from tallymart.sources.tables import read_parquet
@@ -103,7 +105,7 @@ class Store:
 
 def run_folder(folder: str, run_id: str, attempt: int) -> str:
     """Where one attempt of a run writes; no other attempt does."""
-    return f"{folder}/run_id={run_id}/attempt={attempt}"
+    return f"{folder}/{sinks.partition_folder('run_id', run_id)}/attempt={attempt}"
 
 
 def read_events(spark: SparkSession, store: Store, snapshot: Snapshot | None = None) -> DataFrame:
@@ -555,11 +557,21 @@ def process_pending(
 
 
 def clean(spark: SparkSession, store: Store, seconds: float = snapshots.KEPT_SECONDS) -> list[str]:
-    """Remove directories that no kept snapshot names, such as those of months since replaced."""
+    """Remove directories that no kept snapshot names, such as those of months since replaced.
+
+    A run's own totals are needed until they count, so those of finished runs go as well.
+    """
     folders = {
         "ledger": store.ledger,
         "totals": store.totals,
         "customers": store.customer_monthly,
         "sellers": store.sales_incentive,
     }
-    return snapshots.clean(spark, store.root, folders, seconds)
+    removed = snapshots.clean(spark, store.root, folders, seconds)
+    needed = {sinks.partition_folder("run_id", name) for name in snapshots.latest(spark, store.root).runs}
+    oldest = (time.time() - seconds) * 1000
+    for name, changed in storage.entries(spark, store.run_totals).items():
+        if changed < oldest and name not in needed:
+            storage.delete(spark, f"{store.run_totals}/{name}")
+            removed.append(f"{store.run_totals}/{name}")
+    return removed

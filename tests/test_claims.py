@@ -268,6 +268,25 @@ def test_cleaning_keeps_what_a_snapshot_names(spark, tmp_path, monkeypatch):
     assert daily_run.read_events(spark, store).count() == 6
 
 
+def test_cleaning_takes_the_totals_of_finished_runs(spark, tmp_path):
+    landing = write(tmp_path / "landing", {"a.csv": csv(sale(1, 10))})
+    store = Store(str(tmp_path / "store"))
+    run(spark, landing, store, "run/1 ü", publish=False)
+    write(tmp_path / "landing", {"b.csv": csv(sale(1, 5))})
+
+    def down(*_):
+        raise Died
+
+    with pytest.raises(Died):
+        run(spark, landing, store, "run-2", publish=False, export=down)
+    assert len(storage.entries(spark, store.run_totals)) == 2
+    daily_run.clean(spark, store, seconds=0)
+    assert list(storage.entries(spark, store.run_totals)) == ["run_id=run-2"]
+    run(spark, landing, store, "run-3", publish=False)
+    assert mart(spark, store) == one_seller("15.00")
+    assert daily_run.read_facts(spark, store).count() == 2
+
+
 def test_a_commit_on_a_snapshot_cleaned_long_ago_fails(spark, tmp_path):
     root = str(tmp_path)
     old = snapshots.change(spark, root, lambda now: now)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallymart import workspace
 from tallymart.operators import sinks
-from tallymart.sources import tables
+from tallymart.sources import storage, tables
 
 
 def test_partitioned_write_replaces_touched_partitions_only(spark, tmp_path):
@@ -55,6 +55,18 @@ def test_a_version_is_one_run(spark, tmp_path):
     assert sinks.read_latest_version(spark, folder).count() == 1
 
 
+def test_partition_folders_are_named_as_by_spark(spark, tmp_path):
+    names = ["run 1", "a/b", "ü", "x=y%z", "it's [new]", "2024-03-31T06:00"]
+    spark.createDataFrame([(n,) for n in names], "run_id string").withColumn("n", F.lit(1)).write.partitionBy("run_id").parquet(
+        f"{tmp_path}/out"
+    )
+    assert {sinks.partition_folder("run_id", n) for n in names} <= set(storage.entries(spark, f"{tmp_path}/out"))
+    for n in names:
+        sinks.publish_version(spark.range(1).toDF("n"), f"{tmp_path}/published", dt.datetime(2024, 1, 1), run_id=n)
+    read = spark.read.schema("n bigint, run_epoch bigint, run_id string").parquet(f"{tmp_path}/published")
+    assert sorted(row["run_id"] for row in read.collect()) == sorted(names)
+
+
 def test_months_appended_again_count_once(spark, tmp_path):
     """A late file, a repeated export and one that broke off, appended to a table that takes nothing but appends."""
     table, month = str(tmp_path / "table"), "sales_month"
@@ -163,9 +175,25 @@ class FakeConf:
         return self.values.get(key, default)
 
 
+def test_old_intermediate_tables_are_removed(spark):
+    old, new = (workspace.shared_folder(spark, name) for name in ("old", "new"))
+    for path in (old, new):
+        spark.range(3).write.parquet(path)
+    root = workspace.shared_root(spark)
+    stamp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
+    files = stamp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.setTimes(stamp, 1_000_000_000_000, -1)
+    assert workspace.clean_shared(spark, 3600) == 1
+    left = storage.entries(spark, root)
+    assert new.rpartition("/")[2] in left and old.rpartition("/")[2] not in left
+    assert spark.read.parquet(new).count() == 3
+
+
 def test_intermediate_tables_go_to_the_shared_folder():
     shared = FakeConf({"spark.checkpoint.dir": "s3a://lake/tmp/", "spark.master": "yarn"})
     assert workspace.shared_folder(shared, "x").startswith("s3a://lake/tmp/tallymart/x-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         workspace.shared_folder(FakeConf({"spark.master": "yarn"}), "x")
     assert workspace.shared_folder(FakeConf({"spark.master": "local[2]"}), "x")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace.shared_folder(FakeConf({"spark.master": "local-cluster[2,1,1024]"}), "x")
