@@ -50,7 +50,9 @@ WINDOW = 32
 SIGNS = 48
 BLOCK = 1024
 # Vectors of a unit: more of them as vectors grow in number, as each is sent to all units near it.
-LEAST_UNIT, MOST_UNIT, UNITS = 4096, 65536, 64
+LEAST_UNIT, MOST_UNIT, UNITS = 8192, 65536, 64
+# Stands behind the bytes of a vector of floats.
+FLOATS = b"f"
 MAX_PIVOTS = 1024
 # Against the rounding of products and of arc cosines.
 PRODUCT_SLACK, ANGLE_SLACK = 1e-9, 1e-6
@@ -66,7 +68,12 @@ def is_sound() -> Column:
 
 
 def packed_vectors(embeddings: DataFrame) -> DataFrame:
-    """``vec_id`` and ``vector`` as the bytes of its doubles, for every sound row."""
+    """``vec_id`` and ``vector`` as bytes, for every sound row.
+
+    Where the table holds floats, vectors are moved as such, with one byte behind them that
+    tells so; all arithmetic is in double precision either way.
+    """
+    short = dict(embeddings.dtypes)["embedding"] == "array<float>"
     rows = embeddings.filter(is_sound()).select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")
     )
@@ -74,7 +81,8 @@ def packed_vectors(embeddings: DataFrame) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # Adding 0 makes the two zeros one.
-            vectors = [(np.asarray(x.values) + 0.0).tobytes() for x in batch.column("embedding")]
+            vectors = [np.asarray(x.values) + 0.0 for x in batch.column("embedding")]
+            vectors = [x.astype(np.float32).tobytes() + FLOATS if short else x.tobytes() for x in vectors]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("vec_id"), pa.array(vectors, pa.binary())], names=["vec_id", "vector"]
             )
@@ -84,11 +92,20 @@ def packed_vectors(embeddings: DataFrame) -> DataFrame:
 
 def unit_matrix(vectors: list[bytes]) -> np.ndarray:
     """Vectors of one length as unit rows in double precision; scaled first, against overflow."""
-    rows = np.frombuffer(b"".join(vectors), np.float64).reshape(len(vectors), -1)
+    rows = np.frombuffer(b"".join(vectors), np.uint8).reshape(len(vectors), -1)
+    if rows.shape[1] % 4:
+        rows = np.ascontiguousarray(rows[:, :-1]).view(np.float32).astype(np.float64)
+    else:
+        rows = rows.view(np.float64)
     rows = rows / np.abs(rows).max(axis=1, keepdims=True)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
+def components_in(length: int) -> int:
+    """The components of a vector of so many bytes."""
+    return length // 4 if length % 4 else length // 8
+
+
 def by_length(vectors: list[bytes]) -> Iterator[np.ndarray]:
     """Row numbers of vectors of equal length."""
     lengths = np.array([len(v) for v in vectors])
@@ -259,7 +276,7 @@ def cells_of(rows: DataFrame, pivots: dict[int, np.ndarray], unit_rows: int) ->
     )
     cells, first = {}, 0
     for length, group in summary.toPandas().sort_values(["length", "cell"]).groupby("length"):
-        around = pivots.get(int(length), np.zeros((1, int(length) // 8)))
+        around = pivots.get(int(length), np.zeros((1, components_in(int(length)))))
         counts, low, high = np.zeros(len(around), np.int64), np.zeros(len(around)), np.zeros(len(around))
         counts[group.cell], low[group.cell], high[group.cell] = group.rows, group.low, group.high
         units = -(-counts // unit_rows)

@@ -307,9 +307,10 @@ def plain_links(rows):
 REPEATED = [(1, [1.0, 0.0]), (5, [1.0, 0.01]), (5, [0.0, 1.0]), (9, [0.01, 1.0]), (9, [0.0, 1.0]), (2, [-1.0, 0.0]), (2, [-1.0, 0.0])]
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
 @pytest.mark.parametrize("rows", [cluster_rows(), REPEATED], ids=["clusters", "repeated ids"])
-def test_embedding_links_equal_brute_force(spark, rows):
-    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 AS node", "2 AS part")
+def test_embedding_links_equal_brute_force(spark, rows, kind):
+    frame = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").selectExpr("*", "1 AS node", "2 AS part")
     found = embed_dedup.near_duplicates(frame, window=8)
     columns = ("vec_id", "n_links", "component_id", "kept")
     assert Counter(tuple(row[c] for c in columns) for row in found.collect()) == plain_links(rows)
