@@ -14,9 +14,13 @@ from urllib.parse import unquote, urlparse
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
-# Object stores whose create without overwriting is one conditional request. Elsewhere a
-# finished file is renamed into place, which fails where the name is taken.
-CONDITIONAL = ("s3a", "s3", "gs")
+# How a file is created only if absent. On ``s3a`` the option below makes the upload a conditional
+# request, and is an error where the client does not know it; on ``gs`` a create
+# without overwriting is one. Elsewhere a finished file is renamed into place, which fails
+# where the name is taken.
+CONDITIONAL_OPTION = {"s3a": "fs.option.create.conditional.overwrite", "s3": "fs.option.create.conditional.overwrite"}
+CONDITIONAL_CREATE = ("gs",)
+TAKEN = ("FileAlreadyExistsException", "RemoteFileChangedException")
 
 
 def _located(spark: SparkSession, path: str):
@@ -28,15 +32,18 @@ def _located(spark: SparkSession, path: str):
 def _local(spark: SparkSession, path: str) -> str | None:
     store, where = _located(spark, path)
     return unquote(urlparse(where.makeQualified(store.getUri(), store.getWorkingDirectory()).toUri().getRawPath()).path) \
-        if store.getScheme() == "file" else None
+        if _scheme(store) == "file" else None
 
 
-def _is(error: Py4JJavaError, name: str) -> bool:
-    return error.java_exception.getClass().getSimpleName() == name
+def _scheme(store) -> str:
+    return store.getUri().getScheme()
 
 
-def _write(store, where, text: str, overwrite: bool) -> None:
-    out = store.create(where, overwrite)
+def _is(error: Py4JJavaError, *names: str) -> bool:
+    return error.java_exception.getClass().getSimpleName() in names
+
+
+def _write(out, text: str) -> None:
     try:
         out.write(bytearray(text.encode()))
     finally:
@@ -61,11 +68,14 @@ def create_new(spark: SparkSession, path: str, text: str) -> bool:
         return True
     store, where = _located(spark, path)
     try:
-        if store.getScheme() in CONDITIONAL:
-            _write(store, where, text, False)
+        if _scheme(store) in CONDITIONAL_OPTION:
+            _write(store.createFile(where).must(CONDITIONAL_OPTION[_scheme(store)], True).build(), text)
+            return True
+        if _scheme(store) in CONDITIONAL_CREATE:
+            _write(store.create(where, False), text)
             return True
         temporary = _located(spark, own)[1]
-        _write(store, temporary, text, True)
+        _write(store.create(temporary, True), text)
         jvm = spark.sparkContext._jvm
         files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(where.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
         options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
@@ -76,14 +86,15 @@ def create_new(spark: SparkSession, path: str, text: str) -> bool:
             raise
         return True
     except Py4JJavaError as error:
-        if _is(error, "FileAlreadyExistsException"):
+        if _is(error, *TAKEN):
             return False
         raise
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write or replace a file."""
-    _write(*_located(spark, path), text, True)
+    store, where = _located(spark, path)
+    _write(store.create(where, True), text)
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
