@@ -281,6 +281,19 @@ def write_events(events: DataFrame, store: Store) -> Entry:
     return entry
 
 
+def not_entered(files: DataFrame, events: DataFrame) -> DataFrame:
+    """Files that have no event.
+
+    Paths of a batch lie close to each other, as their folders are named by days. Merged entries of
+    the ledger are in order of paths, so what lies outside the batch's range is not read.
+    """
+    span = files.agg(F.min("file_path").alias("low"), F.max("file_path").alias("high")).first()
+    if span["low"] is None:
+        return files
+    entered = events.filter(F.col("file_path").between(span["low"], span["high"])).select("file_path")
+    return files.join(entered, "file_path", "left_anti")
+
+
 def enter(
     spark: SparkSession, store: Store, files: DataFrame, run_id: str, run_ts: dt.datetime
 ) -> Claim | None:
@@ -293,8 +306,7 @@ def enter(
     claim = Claim(run_id, 0, started)
     while True:
         base = snapshots.latest(spark, store.root)
-        entered = read_events(spark, store, base).select("file_path")
-        mine = files.select("file_path").join(entered, "file_path", "left_anti").distinct()
+        mine = not_entered(files, read_events(spark, store, base)).select("file_path").distinct()
         entry = write_events(ledger.ledger_events(mine, ACTIVE, started, run_id), store)
         written = spark.read.schema(LEDGER_SCHEMA).parquet(f"{store.ledger}/change={entry.name}")
         if written.isEmpty():
@@ -323,7 +335,8 @@ def take_over(spark: SparkSession, store: Store, run_id: str) -> Claim | None:
 
 
 def compact_ledger(spark: SparkSession, store: Store) -> None:
-    """Make one entry of many, so that the ledger is read from few directories however many runs there were."""
+    """Make one entry of many, in order of paths, so that the ledger is read from few directories however
+    many runs there were, and only where the paths asked for lie."""
     while True:
         base = snapshots.latest(spark, store.root)
         levels = {entry.level for entry in base.ledger}
@@ -333,7 +346,8 @@ def compact_ledger(spark: SparkSession, store: Store) -> None:
         level = min(full)
         merged = [entry for entry in base.ledger if entry.level == level]
         events = read_events(spark, store, replace(base, ledger=merged))
-        entry = replace(write_events(events.coalesce(1 + level), store), level=level + 1)
+        ordered = events.repartitionByRange("file_path").sortWithinPartitions("file_path")
+        entry = replace(write_events(ordered, store), level=level + 1)
         rest = [e for e in base.ledger if e.level != level]
         if not snapshots.commit(spark, store.root, base, replace(base, ledger=[*rest, entry])):
             continue
@@ -542,8 +556,7 @@ def process_pending(
     """Process all files that are not entered yet, in runs of at most ``files_per_run`` files."""
     part, refused = 0, False
     while True:
-        entered = read_events(spark, store).select("file_path")
-        pending = files.join(entered, "file_path", "left_anti").limit(files_per_run)
+        pending = not_entered(files, read_events(spark, store)).limit(files_per_run)
         name = f"{run_id}-{part:05d}" if part else run_id
         try:
             if not process_files(spark, pending, store, load_dimensions, name, run_ts, **options):

@@ -26,7 +26,7 @@ def _extend(totals: DataFrame, dimension: Dimension) -> DataFrame:
     return totals.join(rows, dimension.key)
 
 
-# Row-level marts
+# Row-level marts. Their columns.
 
 
 def customer_rows(facts: DataFrame, dimensions: Dimensions) -> DataFrame:

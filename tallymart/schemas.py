@@ -21,6 +21,7 @@ FACT_COLUMNS = (*MANDATORY_COLUMNS, EXTRA_COLUMN)
 # order in which partitions arrive.
 MONEY = "decimal(18,2)"
 
+# The types of the fact columns.
 FACT_TYPES = {
     "customer_id": "bigint",
     "store_id": "bigint",
@@ -50,6 +51,7 @@ TOTALS_SCHEMA = (
     ", sales_month string"
 )
 
+# The columns of both monthly marts.
 CUSTOMER_MONTH_SCHEMA = (
     f"customer_id bigint, full_name string, address string, phone_number string, total_sales {MONEY}"
     ", sales_date_month string"

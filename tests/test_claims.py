@@ -240,6 +240,27 @@ def test_refreshes_open_as_many_files_after_many_runs(spark, tmp_path, monkeypat
     assert events.count() == 18 and events.filter(f"status = '{ACTIVE}'").count() == 9
 
 
+def test_the_ledger_is_read_where_the_files_lie(spark, tmp_path, monkeypatch):
+    """Merged entries are in order of paths, and the range of a batch reaches the scan."""
+    monkeypatch.setattr(daily_run, "ENTRIES_PER_LEVEL", 4)
+    store = Store(str(tmp_path / "store"))
+    for day in range(4):
+        files = files_named(spark, *(f"2024-03-{day:02d}/{n}.csv" for n in range(50)))
+        assert daily_run.enter(spark, store, files, f"run-{day}", DAY) is not None
+    daily_run.compact_ledger(spark, store)
+    events = daily_run.read_events(spark, store)
+    (entry,) = snapshots.latest(spark, store.root).ledger
+    assert entry.level == 1
+    paths = [row["file_path"] for row in events.collect()]
+    assert len(paths) == 200 and paths == sorted(paths)
+    batch = files_named(spark, "2024-03-02/7.csv", "2024-03-02/new.csv", "2024-03-03/x.csv", "2024-03-03/x.csv")
+    left = daily_run.not_entered(batch, events)
+    assert sorted(row["file_path"][-6:] for row in left.collect()) == ["/x.csv", "/x.csv", "ew.csv"]
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(file_path,file:///in/2024-03-02/7.csv)" in plan
+    assert daily_run.not_entered(batch.limit(0), events).isEmpty()
+
+
 def test_only_touched_months_are_opened(spark, tmp_path):
     store = Store(str(tmp_path / "store"))
     counted(spark, store, "run-1", (1, "1.00", "2024-03"), (1, "2.00", "2024-04"), (1, "4.00", None))
