@@ -44,8 +44,8 @@ from tallymart.llm.graph import components
 from tallymart.llm.tables import kept_table
 
 LEAST_COSINE = 0.9
-PASSES = 24
-WINDOW = 32
+PASSES = 16
+WINDOW = 256
 # Signs per pass. Ten billion vectors fill 33 of them.
 SIGNS = 48
 BLOCK = 1024
