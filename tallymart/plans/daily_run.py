@@ -273,6 +273,10 @@ class Claim:
     attempt: int
     started: dt.datetime
 
+    def version(self) -> str:
+        """The name its published rows stand under; a later attempt's is the newer version, and its own."""
+        return f"{self.run_id}~{self.attempt}" if self.attempt else self.run_id
+
 
 def write_events(events: DataFrame, store: Store) -> Entry:
     """Events as a directory of its own, which counts once a snapshot names it."""
@@ -452,7 +456,7 @@ def _count_files(
     dimensions = load_dimensions()
     facts = read_stored(spark, facts_folder, ACCEPTED).select(*FACT_COLUMNS)
     if publish:
-        publish_rows(facts, dimensions, store, claim.started, claim.run_id)
+        publish_rows(facts, dimensions, store, claim.started, claim.version())
     path = run_folder(store.run_totals, claim.run_id, claim.attempt)
     sinks.write_partitioned(monthly_cube(facts), path, ["sales_month"])
     return count_run(spark, store, claim, read_parquet(spark, path, TOTALS_SCHEMA), dimensions, closing)

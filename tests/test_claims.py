@@ -12,7 +12,7 @@ from fixtures import HEADER, bag, dimensions
 from test_files import write
 from test_runs import DAY, csv, mart, run, sale, stream
 
-from tallymart.operators import ledger, snapshots
+from tallymart.operators import ledger, sinks, snapshots
 from tallymart.plans import daily_run
 from tallymart.plans.daily_run import Store
 from tallymart.schemas import ACTIVE, TOTALS_SCHEMA
@@ -200,6 +200,24 @@ def test_an_attempt_that_was_taken_over_counts_for_nothing(spark, tmp_path):
     assert mart(spark, store) == one_seller("10.00")
 
 
+def test_rows_published_by_an_attempt_that_died_are_no_version(spark, tmp_path, monkeypatch):
+    landing = write(tmp_path / "landing", {"a.csv": csv(sale(1, 10))})
+    store = Store(str(tmp_path / "store"))
+
+    def died(*_):
+        raise Died
+
+    monkeypatch.setattr(daily_run, "count_run", died)
+    with pytest.raises(Died):
+        run(spark, landing, store)
+    monkeypatch.undo()
+    first = sinks.latest_run(spark, store.customer_rows)
+    run(spark, landing, store, "run-2")
+    for folder in (store.customer_rows, store.sales_rows, store.sales_by_month_and_store):
+        assert sinks.latest_run(spark, folder) == (first[0], "run-1~1")
+        assert sinks.read_latest_version(spark, folder).count() == 1
+
+
 def test_a_lease_is_renewed_and_runs_out(spark, tmp_path):
     root = str(tmp_path)
     with snapshots.alive(spark, root, "r/ü", 0, seconds=1.5):
