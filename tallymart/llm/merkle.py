@@ -6,7 +6,8 @@ their sources become the root in the same way. A parent keeps the hash state bef
 each of its child slots. Folding a leaf to the root resumes the state before its slot
 with the replacement and the siblings right of it only; what lies left of it is in the state.
 
-Trees are cut into blocks of ``FAN_OUT ** LEVELS_PER_BLOCK`` consecutive nodes. Blocks are dealt over all tasks whatever their source, their roots are the nodes of the next tier, and
+Trees are cut into blocks of ``FAN_OUT ** LEVELS_PER_BLOCK`` consecutive nodes. Blocks are dealt
+over all tasks whatever their source, their roots are the nodes of the next tier, and
 states above a block travel to its leaves as a path, so no task sees more than a few blocks.
 
 Defined results: NULL fields are hashed as ``-``. Documents without an id come first, and
