@@ -27,7 +27,7 @@ from tallymart.llm import (  # noqa: E402
 from tallymart.llm.queries import llm_oracles, llm_queries  # noqa: E402
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
-TABLES = ("documents", "embeddings", "conversations", "labels")
+TABLES = ("documents", "embeddings", "conversations", "labels", "benchmark")
 
 
 def documents(spark, texts, **other):
