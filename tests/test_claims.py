@@ -10,7 +10,8 @@ from decimal import Decimal
 import pytest
 from fixtures import HEADER, bag, dimensions
 from test_files import write
-from test_runs import DAY, csv, mart, run, sale, stream
+from test_runs import DAY, csv, mart, sale, stream
+from test_runs import run as run_and_publish
 
 from tallymart.operators import ledger, sinks, snapshots
 from tallymart.plans import daily_run
@@ -25,6 +26,11 @@ class Died(Exception):
     pass
 
 
+def run(*args, **options):
+    """A run that publishes no rows, unless it is told to."""
+    run_and_publish(*args, **({"publish": False} | options))
+
+
 def no_dimensions():
     raise Died
 
@@ -209,10 +215,10 @@ def test_rows_published_by_an_attempt_that_died_are_no_version(spark, tmp_path,
 
     monkeypatch.setattr(daily_run, "count_run", died)
     with pytest.raises(Died):
-        run(spark, landing, store)
+        run(spark, landing, store, publish=True)
     monkeypatch.undo()
     first = sinks.latest_run(spark, store.customer_rows)
-    run(spark, landing, store, "run-2")
+    run(spark, landing, store, "run-2", publish=True)
     for folder in (store.customer_rows, store.sales_rows, store.sales_by_month_and_store):
         assert sinks.latest_run(spark, folder) == (first[0], "run-1~1")
         assert sinks.read_latest_version(spark, folder).count() == 1
@@ -310,7 +316,7 @@ def test_cleaning_keeps_what_a_snapshot_names(spark, tmp_path, monkeypatch):
 def test_cleaning_takes_the_totals_of_finished_runs(spark, tmp_path):
     landing = write(tmp_path / "landing", {"a.csv": csv(sale(1, 10))})
     store = Store(str(tmp_path / "store"))
-    run(spark, landing, store, "run/1 ü", publish=False)
+    run(spark, landing, store, "run/1 ü")
     write(tmp_path / "landing", {"b.csv": csv(sale(1, 5))})
 
     def down(*_):
@@ -321,7 +327,7 @@ def test_cleaning_takes_the_totals_of_finished_runs(spark, tmp_path):
     assert len(storage.entries(spark, store.run_totals)) == 2
     daily_run.clean(spark, store, seconds=0)
     assert list(storage.entries(spark, store.run_totals)) == ["run_id=run-2"]
-    run(spark, landing, store, "run-3", publish=False)
+    run(spark, landing, store, "run-3")
     assert mart(spark, store) == one_seller("15.00")
     assert daily_run.read_facts(spark, store).count() == 2
 
@@ -358,11 +364,11 @@ def test_twenty_thousand_small_files(spark, tmp_path):
             text = csv("1,sugar", header="customer_id,product_name")
         (folder / f"{n:05d}.{'txt' if n % 1000 == 500 else 'csv'}").write_text(text)
     store = Store(str(tmp_path / "store"))
-    run(spark, str(folder), store, publish=False)
+    run(spark, str(folder), store)
     refused = 40
     assert sum(row[3] for row in mart(spark, store)) == 20_000 - refused
     events = daily_run.read_events(spark, store)
     assert bag(events.groupBy("status").count()) == [("A", 20_000), ("E", refused), ("I", 20_000 - refused)]
     assert events.select("run_id").distinct().count() == 2
-    run(spark, str(folder), store, "run-2", publish=False)
+    run(spark, str(folder), store, "run-2")
     assert daily_run.read_events(spark, store).count() == events.count()
