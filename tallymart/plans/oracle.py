@@ -62,7 +62,9 @@ _UNREADABLE = "(feed = 'reversed' AND tax = 0)"
 _TORN = "(feed = 'plain' AND tax = 0.08)"
 
 # What ingestion leaves of the raw files: refused feeds and unreadable rows are gone.
-_INGESTED = f"SELECT *, {_ADDITIONAL} FROM sales WHERE feed <> 'partial' AND NOT {_UNREADABLE} AND NOT {_TORN}"
+_WHOLE = f"SELECT *, {_ADDITIONAL} FROM sales WHERE feed <> 'partial' AND NOT {_UNREADABLE}"
+# Where torn lines are not sent again, they are gone as well.
+_INGESTED = f"{_WHOLE} AND NOT {_TORN}"
 
 
 def _with(select: str, facts: str = "SELECT * FROM sales") -> str:
@@ -227,7 +229,7 @@ def all_oracles() -> dict[str, str]:
             FROM sales WHERE feed <> 'partial' AND NOT {_TORN}
             UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM sales, range(2) WHERE {_TORN}"""
         ),
-        "ingest_sales": _with(f"SELECT {_FACT_LIST} FROM facts", _INGESTED),
+        "ingest_sales": _with(f"SELECT {_FACT_LIST} FROM facts", _WHOLE),
         "quarantine_rows": _with(
             f"""SELECT feed, 'unreadable_fields' AS reason, 'total_cost' AS columns, {_RAW_ROW} AS raw
             FROM sales WHERE {_UNREADABLE}

@@ -19,7 +19,7 @@ from tallymart.schemas import ACTIVE, FACT_COLUMNS, INACTIVE, MANDATORY_COLUMNS,
 from tallymart.sources import files as raw_files
 from tallymart.sources import standin
 from tallymart.sources.dimensions import Dimension, Dimensions
-from tallymart.sources.landing import landing_folder, stored_sales
+from tallymart.sources.landing import landing_folder, resent_folder, stored_sales
 from tallymart.sources.tables import read_parquet
 from tallymart.streaming.feed import start_sales_stream
 from tallymart.workspace import once, shared_folder
@@ -286,13 +286,15 @@ def _year(path: str):
     return F.regexp_extract(path, r"/sales_year=(\d+)/", 1).cast("int").alias("sales_year")
 
 
-def _sales_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Data files of the landing folder; Spark's own marker files are left out."""
-    return raw_files.file_inventory(spark, landing_folder(spark, sf_dir)).filter(~F.col("file_name").startswith("_"))
+def _sales_files(spark: SparkSession, sf_dir: str, landing: Callable[..., str] = landing_folder) -> DataFrame:
+    """Data files of a landing folder; Spark's own marker files are left out."""
+    return raw_files.file_inventory(spark, landing(spark, sf_dir)).filter(~F.col("file_name").startswith("_"))
 
 
-def _groups(spark: SparkSession, sf_dir: str) -> list[conform.HeaderGroup]:
-    files = _sales_files(spark, sf_dir).filter("is_csv")
+def _groups(
+    spark: SparkSession, sf_dir: str, landing: Callable[..., str] = landing_folder
+) -> list[conform.HeaderGroup]:
+    files = _sales_files(spark, sf_dir, landing).filter("is_csv")
     return conform.header_groups(conform.gate_headers(conform.read_headers(spark, files)))
 
 
@@ -329,8 +331,9 @@ def union_files(spark, sf_dir):
 
 @query
 def ingest_sales(spark, sf_dir):
+    """Every sale of the accepted files that can be read, those that came torn from the line sent again."""
     folder = shared_folder(spark, "ingest")
-    daily_run.ingest(spark, _groups(spark, sf_dir), folder)
+    daily_run.ingest(spark, _groups(spark, sf_dir, resent_folder), folder)
     return daily_run.read_stored(spark, folder, daily_run.ACCEPTED).select(*FACT_COLUMNS)
 
 

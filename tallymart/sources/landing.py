@@ -11,7 +11,8 @@ every order line once:
 
 In ``reversed``, lines without tax say ``n/a`` for their total, and in ``plain`` lines of the
 highest tax have a line break within the product, so that such a row is torn in two. Both
-must end in quarantine.
+must end in quarantine. In a second folder the shops have noticed what was torn: there ``plain`` carries
+each such line once more, whole.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from tallymart.operators.sinks import write_snapshot
 from tallymart.schemas import MANDATORY_COLUMNS
 from tallymart.sources import standin
-from tallymart.sources.tables import read_parquet, stage
+from tallymart.sources.tables import read_parquet
 from tallymart.workspace import once
 
 # The tax of order lines whose row is torn.
@@ -39,6 +40,11 @@ def landing_folder(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, f"landing {sf_dir}", lambda path: write_landing(spark, sf_dir, path))
 
 
+def resent_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The same files, with torn lines sent again whole: no sale is lost but those refused or unreadable."""
+    return once(spark, f"landing-resent {sf_dir}", lambda path: write_landing(spark, sf_dir, path, resent=True))
+
+
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = standin.sold_lines(
         spark,
@@ -64,12 +70,23 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_landing(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    staged = stage(raw_sales(spark, sf_dir), f"{folder}-staged")
+def _staged_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = raw_sales(spark, sf_dir)
+    path = once(spark, f"raw-sales {sf_dir}", lambda path: write_snapshot(rows, path))
+    return read_parquet(spark, path, rows.schema)
+
+
+def write_landing(spark: SparkSession, sf_dir: str, folder: str, *, resent: bool = False) -> None:
+    staged = _staged_sales(spark, sf_dir)
     refused = F.when(F.col("tax") == 0, "n/a").otherwise(F.col("total_cost").cast("string"))
-    torn = F.when(F.col("tax") == TORN_TAX, F.concat("product_name", F.lit("\nagain"))).otherwise(F.col("product_name"))
+    # A line without a product has nothing to tear.
+    is_torn = (F.col("tax") == TORN_TAX) & F.col("product_name").isNotNull()
+    torn = F.when(is_torn, F.concat("product_name", F.lit("\nagain"))).otherwise(F.col("product_name"))
+    plain = staged.withColumn("product_name", torn)
+    if resent:
+        plain = plain.unionByName(staged.filter(is_torn))
     feeds = {
-        "plain": staged.withColumn("product_name", torn).select(*MANDATORY_COLUMNS, "sales_year", "feed"),
+        "plain": plain.select(*MANDATORY_COLUMNS, "sales_year", "feed"),
         "reversed": staged.withColumn("total_cost", refused).select(
             *reversed(MANDATORY_COLUMNS), "sales_year", "feed"
         ),
