@@ -251,5 +251,5 @@ def all_oracles() -> dict[str, str]:
         "broken_stream_sales_mart": _with(_MART, _INGESTED),
         "stream_ingest": _with(f"SELECT {_FACT_LIST} FROM facts", _INGESTED),
         "stream_sales_mart": _with(_MART, _INGESTED),
-        "stream_customer_mart": _with(_CUSTOMER_MONTHLY, _INGESTED),
+        "stream_customer_mart": _with(_CUSTOMER_MONTHLY, _WHOLE),
     }

@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 from fixtures import bag
+from pyspark.sql import functions as F
 
 from tallymart.plans.registered import all_queries
 from tallymart.sources import standin
@@ -40,3 +41,13 @@ def test_torn_sales_sent_again_are_ingested_whole(spark, tables):
     assert bag(found, "product_name", "quantity", "total_cost") == sorted(
         [("blue tea", 1, Decimal("10.00")), ("blue tea", 2, Decimal("20.00")), (None, 3, Decimal("40.00"))], key=repr
     )
+
+
+def test_torn_sales_sent_again_count_for_the_streamed_customer(spark, tables):
+    found = all_queries()["stream_customer_mart"](spark, tables)
+    assert bag(found, "customer_id", "sales_date_month", "total_sales") == [(1, "1998-07", Decimal("70.00"))]
+
+
+def test_torn_sales_still_go_to_quarantine(spark, tables):
+    found = all_queries()["quarantine_rows"](spark, tables).filter(F.col("columns") == "row_width")
+    assert bag(found, "feed", "raw") == [("plain", '1,7,"blue tea'), ("plain", 'again",1998-07-04,5,3.50,2,20.00')]
