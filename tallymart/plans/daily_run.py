@@ -210,8 +210,13 @@ def write_marts(
     spark: SparkSession, store: Store, dimensions: Dimensions, totals: DataFrame, name: str
 ) -> tuple[set[str | None], set[str | None]]:
     """Both monthly marts of some totals as new directories; the months that have rows in each."""
-    customers = marts.customer_monthly(totals, dimensions)
-    sellers = marts.sales_incentive(totals, dimensions)
+    spent = marts.customer_totals(totals, dimensions)
+    if dimensions.customers.small:
+        # Names come by a broadcast: the sums are gathered without them, as names are most of a row.
+        customers = marts.named_customers(sinks.gather_by(spent, ["sales_month"]), dimensions)
+    else:
+        customers = sinks.gather_by(marts.named_customers(spent, dimensions), ["sales_date_month"])
+    sellers = sinks.gather_by(marts.sales_incentive(totals, dimensions), ["sales_month"])
     return (
         set(snapshots.write_months(customers, store.customer_monthly, name, "sales_date_month")),
         set(snapshots.write_months(sellers, store.sales_incentive, name, "sales_month")),
@@ -363,6 +368,19 @@ def _finished_events(files: DataFrame, claim: Claim, statuses: Column) -> DataFr
     return ledger.ledger_events(files, statuses, now, claim.run_id, claim.attempt)
 
 
+def _added_totals(before: DataFrame, totals: DataFrame, known: list[str | None]) -> DataFrame:
+    """A run's totals, added to those that its months had before; gathered by month.
+
+    Months that had none take the run's rows as they are, which are summed and gathered already.
+    """
+    if not known:
+        return totals
+    had = F.coalesce(in_months("sales_month", known), F.lit(False))
+    keys = ["customer_id", "store_id", "sales_person_id", "sales_month"]
+    sums = sum_cost(before.unionByName(totals.filter(had)), keys, "total_cost")
+    return sinks.gather_by(sums, ["sales_month"]).unionByName(totals.filter(~had))
+
+
 def count_run(
     spark: SparkSession, store: Store, claim: Claim, totals: DataFrame, dimensions: Dimensions, events: DataFrame
 ) -> list[str | None]:
@@ -378,9 +396,8 @@ def count_run(
         snapshots.own_run(base, claim.run_id, claim.attempt)
         name = snapshots.new_name()
         before = read_totals(spark, store, base, months)
-        keys = ["customer_id", "store_id", "sales_person_id", "sales_month"]
-        sums = sum_cost(before.unionByName(totals), keys, "total_cost")
-        snapshots.write_months(sums, store.totals, name, "sales_month")
+        added = _added_totals(before, totals, [month for month in months if month in base.months])
+        snapshots.write_months(added, store.totals, name, "sales_month")
         known = snapshots.read_months(spark, store.totals, dict.fromkeys(months, name), "sales_month", TOTALS_SCHEMA)
         customers, sellers = write_marts(spark, store, dimensions, known, name) if months else (set(), set())
         new = {

@@ -64,11 +64,14 @@ def sales_rows(facts: DataFrame, dimensions: Dimensions) -> DataFrame:
 # through ``with_month``, or the stored monthly cube.
 
 
-def customer_monthly(rows: DataFrame, dimensions: Dimensions) -> DataFrame:
-    """Spend per customer and month, over sales whose three dimensions are known."""
-    keys = ["customer_id", "sales_month"]
+def customer_totals(rows: DataFrame, dimensions: Dimensions) -> DataFrame:
+    """Spend per customer and month, over sales whose store and seller are known."""
     known = keep_all_known(rows, [dimensions.stores, dimensions.sellers])
-    totals = sum_cost(known, keys, "total_sales")
+    return sum_cost(known, ["customer_id", "sales_month"], "total_sales")
+
+
+def named_customers(totals: DataFrame, dimensions: Dimensions) -> DataFrame:
+    """The same with what is known of the customers; those unknown are lost."""
     return _extend(totals, dimensions.customers).select(
         "customer_id",
         _name(CUSTOMER_NAME),
@@ -79,6 +82,11 @@ def customer_monthly(rows: DataFrame, dimensions: Dimensions) -> DataFrame:
     )
 
 
+def customer_monthly(rows: DataFrame, dimensions: Dimensions) -> DataFrame:
+    """Spend per customer and month, over sales whose three dimensions are known."""
+    return named_customers(customer_totals(rows, dimensions), dimensions)
+
+
 def seller_monthly(rows: DataFrame, dimensions: Dimensions) -> DataFrame:
     """Sales per store, seller and month, over sales whose three dimensions are known."""
     keys = ["store_id", "sales_person_id", "sales_month"]

@@ -372,3 +372,52 @@ def test_twenty_thousand_small_files(spark, tmp_path):
     assert events.select("run_id").distinct().count() == 2
     run(spark, str(folder), store, "run-2")
     assert daily_run.read_events(spark, store).count() == events.count()
+
+
+def test_totals_of_new_months_are_not_moved_again(spark, tmp_path, monkeypatch):
+    """They are stored as the run has written them; months that had totals are summed, others beside them are not."""
+    store = Store(str(tmp_path / "store"))
+    plans, write_months = [], snapshots.write_months
+
+    def planned(rows, folder, name, month):
+        if folder == store.totals:
+            plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return write_months(rows, folder, name, month)
+
+    monkeypatch.setattr(snapshots, "write_months", planned)
+    counted(spark, store, "run-1", (1, "1.00", "2024-03"), (1, "2.00", None))
+    counted(spark, store, "run-2", (1, "4.00", "2024-03"), (1, "8.00", "2024-04"))
+    counted(spark, store, "run-3", (1, "16.00", "2024-05"), (1, "32.00", None), (2, "64.00", "2024-04"))
+    assert ["Aggregate" in plan or "Rebalance" in plan for plan in plans] == [False, True, True]
+    now = snapshots.latest(spark, store.root)
+    months = ["2024-03", "2024-04", "2024-05", None]
+    assert bag(daily_run.read_totals(spark, store, now, months), "sales_month", "sales_person_id", "total_cost") == sorted(
+        [
+            ("2024-03", 1, Decimal("5.00")),
+            ("2024-04", 1, Decimal("8.00")),
+            ("2024-04", 2, Decimal("64.00")),
+            ("2024-05", 1, Decimal("16.00")),
+            (None, 1, Decimal("34.00")),
+        ],
+        key=repr,
+    )
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_customers_are_gathered_by_month_before_they_are_named(spark, tmp_path, monkeypatch, small):
+    store = Store(str(tmp_path / "store"))
+    plans, write_months = [], snapshots.write_months
+
+    def planned(rows, folder, name, month):
+        if folder == store.customer_monthly:
+            plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return write_months(rows, folder, name, month)
+
+    monkeypatch.setattr(snapshots, "write_months", planned)
+    found = dimensions(spark)
+    found = replace(found, customers=replace(found.customers, small=small))
+    daily_run.write_marts(spark, store, found, totals(spark, (1, "1.00", "2024-03"), (2, "2.00", "2024-03")), "x")
+    (plan,) = plans
+    assert (plan.index("Join") < plan.index("RebalancePartitions")) == small
+    written = spark.read.parquet(store.customer_monthly)
+    assert bag(written, "full_name", "total_sales") == [("Ann1 Bell", Decimal("3.00"))]
