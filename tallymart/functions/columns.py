@@ -48,8 +48,12 @@ def canonical_path(path: Column) -> Column:
 
 
 def decoded_path(metadata_path: Column) -> Column:
-    """``_metadata.file_path`` is percent-encoded; undo that to match listed paths."""
-    return canonical_path(F.url_decode(F.replace(metadata_path, F.lit("+"), F.lit("%2B"))))
+    """``_metadata.file_path`` is percent-encoded; undo that to match listed paths.
+
+    It is asked for with every row, so paths without a code are left as they are.
+    """
+    decoded = F.url_decode(F.replace(metadata_path, F.lit("+"), F.lit("%2B")))
+    return canonical_path(F.when(F.contains(metadata_path, F.lit("%")), decoded).otherwise(metadata_path))
 
 
 def whole_number(text: Column, kind: str) -> Column:

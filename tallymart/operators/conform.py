@@ -131,24 +131,29 @@ def conform_group(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     extra = sorted((name, at) for at, name in enumerate(columns) if name not in MANDATORY_COLUMNS)
     folded = fold_columns([F.col(f"_c{at}") for _, at in extra])
     typed = {name: _typed(name, place[name]) for name in MANDATORY_COLUMNS}
-    unread = F.array_compact(
-        F.array(
-            *(
-                F.when(place[name].isNotNull() & value.isNull(), F.lit(name))
-                for name, value in typed.items()
-                if FACT_TYPES[name] != "string"
-            )
-        )
-    )
+    # Values are made once, in a step of their own, and then looked at.
+    read = rows.select("*", *(value.alias(name) for name, value in typed.items()))
+    unread = {
+        name: place[name].isNotNull() & F.col(name).isNull()
+        for name in MANDATORY_COLUMNS
+        if FACT_TYPES[name] != "string"
+    }
     torn = F.col(TORN_ROW).isNotNull()
-    failed = F.when(torn, F.array(F.lit(ROW_WIDTH))).otherwise(unread)
+    any_unread = reduce(Column.__or__, unread.values())
+    # Lists of names are made row by row in interpreted code, so only for rows that need them.
+    names = F.array_compact(F.array(*(F.when(is_unread, F.lit(name)) for name, is_unread in unread.items())))
+    failed = (
+        F.when(torn, F.array(F.lit(ROW_WIDTH)))
+        .when(any_unread, names)
+        .otherwise(F.array().cast("array<string>"))
+    )
     raw = F.to_json(F.struct(*(F.col(f"_c{at}").alias(label) for at, label in enumerate(_labels(columns)))))
-    return rows.select(
-        *(F.when(~torn, value).alias(name) for name, value in typed.items()),
+    return read.select(
+        *(F.when(~torn, F.col(name)).alias(name) for name in typed),
         F.when(~torn, folded).alias(EXTRA_COLUMN),
         "file_path",
         failed.alias("failed_columns"),
-        F.when(torn, F.col(TORN_ROW)).when(F.size(failed) > 0, raw).alias("raw_row"),
+        F.when(torn, F.col(TORN_ROW)).when(any_unread, raw).alias("raw_row"),
     )
 
 

@@ -3,7 +3,7 @@ from fixtures import HEADER, bag
 from pyspark.sql import functions as F
 
 from tallymart.operators import conform
-from tallymart.schemas import FACT_COLUMNS
+from tallymart.schemas import FACT_COLUMNS, MANDATORY_COLUMNS
 from tallymart.sources.files import (
     NoSalesData,
     escape_glob,
@@ -258,3 +258,16 @@ def test_refused_files_keep_every_line(spark, tmp_path):
     groups = conform.header_groups(gate(spark, folder))
     lines = conform.refused_lines(spark, groups)
     assert bag(lines, "raw_line", "reason") == [(line, conform.MISSING) for line in ("1,2", "3,4", "a,b")]
+
+
+def test_values_are_made_once_for_a_row_and_its_failures(spark):
+    rows = spark.createDataFrame([("1", "x", "in"), ("2", "n/a", "in")], "_c0 string, _c1 string, file_path string")
+    others = {f"_c{at}": F.col("_c0") for at in range(2, len(MANDATORY_COLUMNS))}
+    rows = rows.withColumns(others | {"torn_row": F.lit(None).cast("string")})
+    conformed = conform.conform_group(rows, MANDATORY_COLUMNS)
+
+    def casts(frame):
+        return frame._jdf.queryExecution().optimizedPlan().toString().count("decimal(38,6)")
+
+    assert casts(conformed) == casts(conformed.select(*MANDATORY_COLUMNS)) > 0
+    assert [row["failed_columns"] for row in conformed.collect()] == [["store_id", "sales_date"]] * 2
