@@ -34,13 +34,15 @@ from tallymart.schemas import (
     TOTALS_SCHEMA,
 )
 from tallymart.sources import storage
-from tallymart.sources.dimensions import Dimensions
+from tallymart.sources.dimensions import Dimensions, fingerprint
 from tallymart.sources.files import CSV_SUFFIX, NoSalesData, file_inventory, require_files
 from tallymart.sources.tables import read_parquet
 
 # Takes the refreshed months of the customer and sales marts, those months, and the run's id.
 Export = Callable[[DataFrame, DataFrame, list[str | None], str], None]
 
+TOTALS_KEYS = ("customer_id", "store_id", "sales_person_id", "sales_month")
+
 ACCEPTED = "accepted"
 REJECTED = "rejected"
 
@@ -150,21 +152,37 @@ def read_refused_lines(spark: SparkSession, store: Store) -> DataFrame:
     return _of_finished(spark, store, lines, [REFUSED]).drop("attempt")
 
 
+def _by_parts(snapshot: Snapshot, mart: str) -> tuple[list[tuple[str | None, str | None]], ...]:
+    """Months and directories of a mart: of months with one part, and of those with several."""
+    whole = [(month, getattr(entry, mart)) for month, entry in snapshot.months.items() if not entry.older]
+    split = [(month, entry) for month, entry in snapshot.months.items() if entry.older]
+    return whole, [(month, getattr(part, mart)) for month, entry in split for part in entry.parts()]
+
+
 def read_customer_monthly(spark: SparkSession, store: Store) -> DataFrame:
-    months = snapshots.latest(spark, store.root).months
-    names = {month: entry.customers for month, entry in months.items()}
-    return snapshots.read_months(spark, store.customer_monthly, names, "sales_date_month", CUSTOMER_MONTH_SCHEMA)
+    """The customers' mart; what several parts of a month have of a customer is added up."""
+    whole, parted = _by_parts(snapshots.latest(spark, store.root), "customers")
+
+    def read(names: list[tuple[str | None, str | None]]) -> DataFrame:
+        return snapshots.read_months(spark, store.customer_monthly, names, "sales_date_month", CUSTOMER_MONTH_SCHEMA)
+
+    return read(whole).unionByName(marts.added_customers(read(parted))) if parted else read(whole)
 
 
 def read_sales_incentive(spark: SparkSession, store: Store) -> DataFrame:
-    months = snapshots.latest(spark, store.root).months
-    names = {month: entry.sellers for month, entry in months.items()}
-    return snapshots.read_months(spark, store.sales_incentive, names, "sales_month", SALES_INCENTIVE_SCHEMA)
+    """The sellers' mart; the best seller of a month of several parts is found by the sums of all."""
+    whole, parted = _by_parts(snapshots.latest(spark, store.root), "sellers")
+
+    def read(names: list[tuple[str | None, str | None]]) -> DataFrame:
+        return snapshots.read_months(spark, store.sales_incentive, names, "sales_month", SALES_INCENTIVE_SCHEMA)
+
+    return read(whole).unionByName(marts.added_sellers(read(parted))) if parted else read(whole)
 
 
 def read_totals(spark: SparkSession, store: Store, snapshot: Snapshot, months: list[str | None]) -> DataFrame:
-    """The additive totals of some months: one directory each, however many runs they come from."""
-    names = {month: snapshot.months[month].totals for month in months if month in snapshot.months}
+    """The additive totals of some months: few directories each, however many runs they come from."""
+    known = [month for month in months if month in snapshot.months]
+    names = [(month, part.totals) for month in known for part in snapshot.months[month].parts()]
     return snapshots.read_months(spark, store.totals, names, "sales_month", TOTALS_SCHEMA)
 
 
@@ -232,20 +250,32 @@ def refresh_months(
     """Recompute both monthly marts for some months, or all, as after a change of the dimensions.
 
     The new months take the place of the old ones in one step. A month whose totals
-    another run has changed meanwhile is computed again.
+    another run has changed meanwhile is computed again. Months of several parts become one.
     """
+    made_by = fingerprint(dimensions)
     while True:
         base = snapshots.latest(spark, store.root)
         chosen = [month for month in base.months if months is None or month in months]
         if not chosen:
             return
         name = snapshots.new_name()
-        customers, sellers = write_marts(spark, store, dimensions, read_totals(spark, store, base, chosen), name)
+        parted = [month for month in chosen if base.months[month].older]
+        rows = {month: base.months[month].rows for month in chosen}
+        if parted:
+            sums = sum_cost(read_totals(spark, store, base, parted), TOTALS_KEYS, "total_cost")
+            rows |= snapshots.write_months(
+                sinks.gather_by(sums, ["sales_month"]), store.totals, name, "sales_month"
+            )
+        names = {month: name if month in parted else base.months[month].totals for month in chosen}
+        totals = snapshots.read_months(spark, store.totals, list(names.items()), "sales_month", TOTALS_SCHEMA)
+        customers, sellers = write_marts(spark, store, dimensions, totals, name)
         new = {
-            month: replace(
-                base.months[month],
-                customers=name if month in customers else None,
-                sellers=name if month in sellers else None,
+            month: Month(
+                names[month],
+                name if month in customers else None,
+                name if month in sellers else None,
+                rows[month],
+                made_by,
             )
             for month in chosen
         }
@@ -369,39 +399,54 @@ def _finished_events(files: DataFrame, claim: Claim, statuses: Column) -> DataFr
 
 
 def _added_totals(before: DataFrame, totals: DataFrame, known: list[str | None]) -> DataFrame:
-    """A run's totals, added to those that its months had before; gathered by month.
+    """A run's totals, added to those of the parts they are merged with; gathered by month.
 
-    Months that had none take the run's rows as they are, which are summed and gathered already.
+    Months without such parts take the run's rows as they are, which are summed and gathered already.
     """
     if not known:
         return totals
     had = F.coalesce(in_months("sales_month", known), F.lit(False))
-    keys = ["customer_id", "store_id", "sales_person_id", "sales_month"]
-    sums = sum_cost(before.unionByName(totals.filter(had)), keys, "total_cost")
+    sums = sum_cost(before.unionByName(totals.filter(had)), TOTALS_KEYS, "total_cost")
     return sinks.gather_by(sums, ["sales_month"]).unionByName(totals.filter(~had))
 
 
 def count_run(
     spark: SparkSession, store: Store, claim: Claim, totals: DataFrame, dimensions: Dimensions, events: DataFrame
 ) -> list[str | None]:
-    """Add a run's totals to those of its months, replace these months, and finish its files, in one step.
+    """Add a run's totals to its months, as new parts of them, and finish its files, in one step.
 
     Months are partition names, no more than the calendar has. If another run has changed one
-    of them since they were read, they are read and computed again.
+    of them since they were read, they are read and computed again. Which earlier parts of a month the
+    new one takes in depends on their sizes, so that many runs do not write a month as many times.
     """
-    months = [row["sales_month"] for row in totals.select("sales_month").distinct().collect()]
+    counts = totals.groupBy("sales_month").agg(F.count("*").alias("rows")).collect()
+    added_rows = {row["sales_month"]: row["rows"] for row in counts}
+    months, made_by = list(added_rows), fingerprint(dimensions)
     entry = write_events(events, store)
     while True:
         base = snapshots.latest(spark, store.root)
         snapshots.own_run(base, claim.run_id, claim.attempt)
         name = snapshots.new_name()
-        before = read_totals(spark, store, base, months)
-        added = _added_totals(before, totals, [month for month in months if month in base.months])
-        snapshots.write_months(added, store.totals, name, "sales_month")
-        known = snapshots.read_months(spark, store.totals, dict.fromkeys(months, name), "sales_month", TOTALS_SCHEMA)
-        customers, sellers = write_marts(spark, store, dimensions, known, name) if months else (set(), set())
+        known = [month for month in months if month in base.months]
+        kept = {month: base.months[month].kept(added_rows[month], made_by) for month in known}
+        merged = [
+            (month, part.totals) for month in known for part in base.months[month].parts()[len(kept[month]) :]
+        ]
+        before = snapshots.read_months(spark, store.totals, merged, "sales_month", TOTALS_SCHEMA)
+        added = _added_totals(before, totals, list(dict.fromkeys(month for month, _ in merged)))
+        rows = snapshots.write_months(added, store.totals, name, "sales_month")
+        names = [(month, name) for month in months]
+        written = snapshots.read_months(spark, store.totals, names, "sales_month", TOTALS_SCHEMA)
+        customers, sellers = write_marts(spark, store, dimensions, written, name) if months else (set(), set())
         new = {
-            month: Month(name, name if month in customers else None, name if month in sellers else None)
+            month: Month(
+                name,
+                name if month in customers else None,
+                name if month in sellers else None,
+                rows[month],
+                made_by,
+                kept.get(month, []),
+            )
             for month in months
         }
 

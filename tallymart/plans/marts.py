@@ -87,6 +87,18 @@ def customer_monthly(rows: DataFrame, dimensions: Dimensions) -> DataFrame:
     return named_customers(customer_totals(rows, dimensions), dimensions)
 
 
+def added_customers(parts: DataFrame) -> DataFrame:
+    """One mart of several, by the same dimensions, of different sales."""
+    keys = [name for name in parts.columns if name != "total_sales"]
+    return parts.groupBy(*keys).agg(F.sum("total_sales").cast(MONEY).alias("total_sales"))
+
+
+def added_sellers(parts: DataFrame) -> DataFrame:
+    """The same for sellers, of whom the best are found anew."""
+    keys = ["store_id", "sales_person_id", "full_name", "sales_month"]
+    return add_incentive(parts.groupBy(*keys).agg(F.sum("total_sales").cast(MONEY).alias("total_sales")))
+
+
 def seller_monthly(rows: DataFrame, dimensions: Dimensions) -> DataFrame:
     """Sales per store, seller and month, over sales whose three dimensions are known."""
     keys = ["store_id", "sales_person_id", "sales_month"]
