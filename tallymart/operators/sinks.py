@@ -13,8 +13,15 @@ from tallymart.operators.ledger import as_utc
 from tallymart.sources.files import file_inventory
 
 
+# Tables are written once and read few times: bytes count for more than the time to pack them.
+PACKED = "zstd"
+
+
 def write_snapshot(df: DataFrame, path: str, *, mode: str = "overwrite", data_format: str = "parquet") -> None:
-    df.write.format(data_format).mode(mode).save(path)
+    writer = df.write.format(data_format).mode(mode)
+    if data_format == "parquet":
+        writer = writer.option("compression", PACKED)
+    writer.save(path)
 
 
 def gather_by(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -37,7 +44,7 @@ def write_partitioned(
 ) -> None:
     """Parquet partitioned by columns; optionally only the touched partitions are replaced."""
     rows = gather_by(df, columns) if gather else df
-    writer = rows.write.mode("overwrite").partitionBy(*columns)
+    writer = rows.write.mode("overwrite").option("compression", PACKED).partitionBy(*columns)
     if replace_touched:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)

@@ -8,7 +8,7 @@ import pytest
 from fixtures import bag, customers, dimensions
 from test_claims import closing, files_named, totals
 
-from tallymart.operators import snapshots
+from tallymart.operators import sinks, snapshots
 from tallymart.plans import daily_run
 from tallymart.plans.daily_run import Store
 from tallymart.sources.dimensions import fingerprint
@@ -113,3 +113,11 @@ def test_the_fingerprint_tells_rows_and_not_their_order(spark):
     names = [(1, None, "x", "T", "1", "9")], [(1, "x", None, "T", "1", "9")]
     first, last = (dimensions(spark, customers=customers(spark, ids=(), extra=rows)) for rows in names)
     assert fingerprint(first) != fingerprint(last)
+
+
+def test_tables_are_written_packed(spark, tmp_path):
+    rows = dimensions(spark).customers.rows
+    sinks.write_snapshot(rows, str(tmp_path / "one"))
+    sinks.write_partitioned(rows, str(tmp_path / "many"), ["customer_id"])
+    names = [path.name for path in tmp_path.rglob("part-*.parquet")]
+    assert names and all(".zstd." in name for name in names)
