@@ -43,8 +43,13 @@ def base_name(path: Column) -> Column:
 
 
 def canonical_path(path: Column) -> Column:
-    """One spelling for local paths, which Spark prints with one or three slashes."""
-    return F.regexp_replace(path, "^file:/+", "file:///")
+    """One spelling for local paths, which Spark prints with one or three slashes.
+
+    It is asked for with every row, so paths that are spelled so already are not taken apart by a pattern.
+    """
+    spelled = path.startswith("file:///") & ~path.startswith("file:////")
+    respelled = F.regexp_replace(path, "^file:/+", "file:///")
+    return F.when(spelled | ~path.startswith("file:/"), path).otherwise(respelled)
 
 
 def decoded_path(metadata_path: Column) -> Column:

@@ -6,8 +6,10 @@ from decimal import Decimal
 
 import pytest
 from fixtures import bag, customers, dimensions
+from pyspark.sql import functions as F
 from test_claims import closing, files_named, totals
 
+from tallymart.functions.columns import canonical_path
 from tallymart.operators import sinks, snapshots
 from tallymart.plans import daily_run
 from tallymart.plans.daily_run import Store
@@ -121,3 +123,34 @@ def test_tables_are_written_packed(spark, tmp_path):
     sinks.write_partitioned(rows, str(tmp_path / "many"), ["customer_id"])
     names = [path.name for path in tmp_path.rglob("part-*.parquet")]
     assert names and all(".zstd." in name for name in names)
+
+
+def test_tables_are_packed_by_the_level_that_takes_least_time(spark, tmp_path):
+    def size(folder):
+        return sum(path.stat().st_size for path in (tmp_path / folder).rglob("part-*.parquet"))
+
+    rows = spark.range(0, 20_000, 1, 1).select(F.hex(F.xxhash64("id")).alias("text"), F.lit(1).alias("one"))
+    for level in ("1", "3"):
+        writer = rows.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", level)
+        writer.parquet(str(tmp_path / level))
+    assert size("1") != size("3")
+    sinks.write_snapshot(rows, str(tmp_path / "one"))
+    assert size("one") == size("1")
+    partitioned = {}
+    for name, level in (("many", "1"), ("other", "3")):
+        options = {"compression": "zstd", "parquet.compression.codec.zstd.level": level}
+        rows.write.options(**options).partitionBy("one").parquet(str(tmp_path / name))
+        partitioned[level] = size(name)
+    sinks.write_partitioned(rows, str(tmp_path / "parts"), ["one"], gather=False)
+    assert size("parts") == partitioned["1"] != partitioned["3"]
+
+
+def test_paths_are_spelled_one_way_and_seldom_by_a_pattern(spark):
+    paths = ["file:/a", "file:///a", "file:////a", "file://a", "file:", "s3a://b/file:/a", "/a", "file:///", None]
+    rows = spark.createDataFrame([(path,) for path in paths], "path string")
+    pattern = F.regexp_replace("path", "^file:/+", "file:///")
+    found = rows.select(canonical_path(F.col("path")).alias("one"), pattern.alias("all")).collect()
+    assert all(row["one"] == row["all"] for row in found)
+    # The pattern stands behind a condition.
+    plan = rows.select(canonical_path(F.col("path")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("CASE WHEN") < plan.index("regexp_replace")
